@@ -1,2 +1,2 @@
-from . import projections
+from . import projections, features, reports_clinical
 from .base import ORACLES, QUERIES, Tables
