@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.functions.numeric import col
 
-_NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+NUMERIC_TYPES = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -43,7 +43,7 @@ def drop_sparse_rows(df: DataFrame, min_share: float = 0.5) -> DataFrame:
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     """Numeric columns that are not excluded and carry no time stamp."""
     skip = set(exclude)
-    return [c for c, t in df.dtypes if t in _NUMERIC and c not in skip and not c.endswith("_timestamp")]
+    return [c for c, t in df.dtypes if t in NUMERIC_TYPES and c not in skip and not c.endswith("_timestamp")]
 
 
 def as_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:

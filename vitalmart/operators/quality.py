@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from vitalmart.functions.numeric import fold_sum, pct, ratio, rnd
 from vitalmart.functions.scores import tags
 
+from .clean import NUMERIC_TYPES
 from .aggregate import mean, missing, n, n_if, rate, struct_rows
 
 
 def column_check(df: DataFrame, required: list[str], optional: list[str] = ()) -> DataFrame:
-    """One row per expected column: present or not, hard failure or warning."""
-    have = set(df.columns)
-    rows = [(c, c in have, "error" if c not in have else "ok") for c in required]
-    rows += [(c, c in have, "warning" if c not in have else "ok") for c in optional]
-    return df.sparkSession.createDataFrame(rows, "column_name string, present boolean, status string")
+    """One row per expected column: present or not, hard failure or warning, filled rows."""
+    rows = {}
+    for names, level in ((required, "error"), (optional, "warning")):
+        for c in names:
+            there = c in df.columns
+            rows[c] = {"present": F.lit(there), "status": F.lit("ok" if there else level),
+                       "filled_rows": F.count(F.col(c)) if there else F.lit(0).cast("bigint")}
+    return struct_rows(df, rows, "column_name")
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
@@ -29,10 +33,15 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def type_check(df: DataFrame, numeric: list[str]) -> DataFrame:
+    """Declared type of columns that should be numeric, and how many values would convert."""
     kinds = dict(df.dtypes)
-    ok = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-    rows = [(c, kinds.get(c, "absent"), kinds.get(c) in ok or kinds.get(c, "").startswith("decimal")) for c in numeric]
-    return df.sparkSession.createDataFrame(rows, "column_name string, data_type string, is_numeric boolean")
+    rows = {}
+    for c in numeric:
+        kind = kinds.get(c, "absent")
+        usable = F.count(F.col(c).try_cast("double")) if c in kinds else F.lit(0).cast("bigint")
+        rows[c] = {"data_type": F.lit(kind), "is_numeric": F.lit(kind in NUMERIC_TYPES or kind.startswith("decimal")),
+                   "convertible_rows": usable}
+    return struct_rows(df, rows, "column_name")
 
 
 def require_rows(df: DataFrame) -> DataFrame:

@@ -20,6 +20,15 @@ def scalar_struct(stats: DataFrame) -> Column:
     return stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("s")).scalar()
 
 
+def with_stats(df: DataFrame, name: str, stats: Column) -> DataFrame:
+    """df with the struct as a helper column.
+
+    Expressions then read the column: naming the subquery in each of them would
+    plan it once per mention.
+    """
+    return df.withColumn(name, stats)
+
+
 def global_stats(df: DataFrame, **measures: Column) -> Column:
     return scalar_struct(df.agg(*[c.alias(n) for n, c in measures.items()]))
 
@@ -48,46 +57,52 @@ def impute(df: DataFrame, mean: list[str] = (), median: list[str] = (), constant
            exact_median: bool = False) -> DataFrame:
     """Fill NULL by column mean, column median or a constant. Measures become double."""
     new: dict[str, Column] = {}
+    out = df
     if mean:
-        s = global_stats(df, **{c: F.avg(c) for c in mean})
-        new |= {c: F.coalesce(F.col(c).cast("double"), s.getField(c)) for c in mean}
+        out = with_stats(out, "_means", global_stats(df, **{c: F.avg(c) for c in mean}))
+        new |= {c: F.coalesce(F.col(c).cast("double"), F.col("_means").getField(c)) for c in mean}
     if median:
-        q = column_percentiles(df, list(median), {"p50": 0.5}, exact=exact_median)
-        new |= {c: F.coalesce(F.col(c).cast("double"), q.getField(c).getField("p50").cast("double")) for c in median}
+        out = with_stats(out, "_medians", column_percentiles(df, list(median), {"p50": 0.5}, exact=exact_median))
+        new |= {c: F.coalesce(F.col(c).cast("double"), F.col(f"_medians.{c}.p50").cast("double")) for c in median}
     for c, v in (constant or {}).items():
         new[c] = F.coalesce(F.col(c), F.lit(v))
-    return df.withColumns(new)
+    return out.withColumns(new).drop("_means", "_medians")
 
 
 def zero_to_positive_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace 0 by the exact median of the positive values of the column."""
     q = column_percentiles(df, columns, {"p50": 0.5}, exact=True, where={c: F.col(c) > 0 for c in columns})
-    return df.withColumns({
-        c: F.when(F.col(c) == 0, q.getField(c).getField("p50")).otherwise(F.col(c).cast("double")) for c in columns})
+    return with_stats(df, "_medians", q).withColumns({
+        c: F.when(F.col(c) == 0, F.col(f"_medians.{c}.p50")).otherwise(F.col(c).cast("double"))
+        for c in columns}).drop("_medians")
 
 
-def _fences(df: DataFrame, columns: list[str], exact: bool, k: float) -> dict[str, tuple[Column, Column]]:
+def _with_fences(df: DataFrame, columns: list[str], exact: bool, k: float) -> DataFrame:
+    """Adds _fences: per column the struct (lo, hi)."""
     q = column_percentiles(df, columns, {"q1": 0.25, "q3": 0.75}, exact=exact)
-    out = {}
+    quartiled = with_stats(df, "_quartiles", q)
+    pairs = []
     for c in columns:
-        q1, q3 = (q.getField(c).getField(n).cast("double") for n in ("q1", "q3"))
-        out[c] = (q1 - F.lit(k) * (q3 - q1), q3 + F.lit(k) * (q3 - q1))
-    return out
+        q1, q3 = (F.col(f"_quartiles.{c}.{n}").cast("double") for n in ("q1", "q3"))
+        pairs.append(F.struct((q1 - F.lit(k) * (q3 - q1)).alias("lo"), (q3 + F.lit(k) * (q3 - q1)).alias("hi")).alias(c))
+    return quartiled.withColumn("_fences", F.struct(*pairs)).drop("_quartiles")
 
 
 def cap_outliers(df: DataFrame, columns: list[str], exact: bool = False, k: float = 1.5) -> DataFrame:
     """Clip to [Q1 - k*IQR, Q3 + k*IQR]; NULL stays NULL, unknown fences change nothing."""
-    fences = _fences(df, columns, exact, k)
-    return df.withColumns({
-        c: F.when(F.col(c) < lo, lo).when(F.col(c) > hi, hi).otherwise(F.col(c).cast("double"))
-        for c, (lo, hi) in fences.items()})
+    new = {}
+    for c in columns:
+        lo, hi = F.col(f"_fences.{c}.lo"), F.col(f"_fences.{c}.hi")
+        new[c] = F.when(F.col(c) < lo, lo).when(F.col(c) > hi, hi).otherwise(F.col(c).cast("double"))
+    return _with_fences(df, columns, exact, k).withColumns(new).drop("_fences")
 
 
 def outliers_to_null(df: DataFrame, columns: list[str], exact: bool = False, k: float = 1.5) -> DataFrame:
-    fences = _fences(df, columns, exact, k)
-    return df.withColumns({
-        c: F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(None)).otherwise(F.col(c).cast("double"))
-        for c, (lo, hi) in fences.items()})
+    new = {}
+    for c in columns:
+        lo, hi = F.col(f"_fences.{c}.lo"), F.col(f"_fences.{c}.hi")
+        new[c] = F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(None)).otherwise(F.col(c).cast("double"))
+    return _with_fences(df, columns, exact, k).withColumns(new).drop("_fences")
 
 
 def outlier_report(df: DataFrame, columns: list[str], k: float = 1.5, digits: int = 2) -> DataFrame:
@@ -115,10 +130,10 @@ def min_max(df: DataFrame, columns: list[str], suffix: str = "_normalized", cons
     s = global_stats(df, **{f"{c}_{n}": f(c) for c in columns for n, f in (("min", F.min), ("max", F.max))})
     new = {}
     for c in columns:
-        lo, hi = s.getField(f"{c}_min").cast("double"), s.getField(f"{c}_max").cast("double")
+        lo, hi = F.col(f"_range.{c}_min").cast("double"), F.col(f"_range.{c}_max").cast("double")
         scaled = ratio(F.col(c) - lo, hi - lo)
         new[c + suffix] = scaled if constant_value is None else F.when(hi > lo, scaled).otherwise(F.lit(constant_value))
-    return df.withColumns(new)
+    return with_stats(df, "_range", s).withColumns(new).drop("_range")
 
 
 def fixed_min_max(x: Column | str, lo: float, hi: float) -> Column:
@@ -128,5 +143,6 @@ def fixed_min_max(x: Column | str, lo: float, hi: float) -> Column:
 
 def z_score(df: DataFrame, columns: list[str], suffix: str = "_zscore", digits: int = 4) -> DataFrame:
     s = global_stats(df, **{f"{c}_{n}": f(c) for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_samp))})
-    return df.withColumns({
-        c + suffix: rnd(ratio(F.col(c) - s.getField(f"{c}_mean"), s.getField(f"{c}_sd")), digits) for c in columns})
+    return with_stats(df, "_moments", s).withColumns({
+        c + suffix: rnd(ratio(F.col(c) - F.col(f"_moments.{c}_mean"), F.col(f"_moments.{c}_sd")), digits)
+        for c in columns}).drop("_moments")

@@ -31,13 +31,13 @@ def ingest(spark: SparkSession, source: str, target: str, dataset: str, at: date
     return meta
 
 
-def bronze_to_silver(raw: DataFrame) -> DataFrame:
+def bronze_to_silver(raw: DataFrame, exact_fences: bool = False) -> DataFrame:
     """Zeros to NULL, outliers capped at the fences, gaps filled by the mean, completeness flag.
 
     All statistics of a step come from one aggregate over the step's input.
     """
     capped = cap_outliers(zero_to_null(rename(raw, R.COLUMN_NAMES), R.ZERO_IS_MISSING),
-                          ["glucose", "blood_pressure", "bmi", "insulin"])
+                          ["glucose", "blood_pressure", "bmi", "insulin"], exact=exact_fences)
     filled = impute(capped, mean=R.ZERO_IS_MISSING).withColumnRenamed("outcome", "diabetes")
     return filled.withColumn("data_quality_flag", completeness_flag(["glucose", "blood_pressure", "bmi"]))
 

@@ -1,2 +1,2 @@
-from . import projections, features, reports_clinical, reports_gold, reports_monitoring, aggregates, joins_windows, quality
+from . import projections, features, reports_clinical, reports_gold, reports_monitoring, aggregates, joins_windows, quality, scans, incremental
 from .base import ORACLES, QUERIES, Tables

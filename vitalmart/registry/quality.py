@@ -18,8 +18,14 @@ from .base import query
 C = F.col
 
 
-@query("d1_required_columns", "SELECT column_name, present, status FROM (VALUES ('c_custkey', TRUE, 'ok'), ('c_phone', FALSE, 'error'),"
-       " ('c_acctbal', TRUE, 'ok'), ('c_comment', FALSE, 'warning')) v(column_name, present, status)")
+def _union(name: str, table: dict[str, tuple], columns: list[str]) -> str:
+    return " UNION ALL ".join(S.select({name: S.q(k), **dict(zip(columns, cells))}, "customer") for k, cells in table.items())
+
+
+@query("d1_required_columns", _union("column_name", {
+    "c_custkey": ("TRUE", "'ok'", "COUNT(c_custkey)"), "c_phone": ("FALSE", "'error'", "0 * COUNT(*)"),
+    "c_acctbal": ("TRUE", "'ok'", "COUNT(c_acctbal)"), "c_comment": ("FALSE", "'warning'", "0 * COUNT(*)")},
+    ["present", "status", "filled_rows"]))
 def _(t):
     return Q.column_check(t.customer, ["c_custkey", "c_phone"], ["c_acctbal", "c_comment"])
 
@@ -85,8 +91,9 @@ def _(t):
     return Q.empty_rows_and_columns(z, [*R.ZERO_IS_MISSING, "unused"])
 
 
-@query("d8_column_types", "SELECT * FROM (VALUES ('c_acctbal', 'double', TRUE), ('c_name', 'string', FALSE), ('c_phone', 'absent', FALSE))"
-       " v(column_name, data_type, is_numeric)")
+@query("d8_column_types", _union("column_name", {
+    "c_acctbal": ("'double'", "TRUE", "COUNT(c_acctbal)"), "c_name": ("'string'", "FALSE", "COUNT(TRY_CAST(c_name AS DOUBLE))"),
+    "c_phone": ("'absent'", "FALSE", "0 * COUNT(*)")}, ["data_type", "is_numeric", "convertible_rows"]))
 def _(t):
     return Q.type_check(t.customer, ["c_acctbal", "c_name", "c_phone"])
 
@@ -96,7 +103,7 @@ _LAYER = ["id", "pregnancies", "glucose", "bmi", "age", "outcome", "insulin"]
 
 @query("d9_layer_quality_report", S.WITH_SILVER + " UNION ALL ".join(
     f"SELECT 'silver' AS layer_name, '{k}' AS metric_name, CAST({v} AS DOUBLE) AS metric_value FROM silver" for k, v in {
-        "total_records": "COUNT(*)", "total_columns": "7", **{f"{c}_missing_pct": S.rate(f"{c} IS NULL", 2) for c in _LAYER},
+        "total_records": "COUNT(*)", "total_columns": "7 + 0 * COUNT(*)", **{f"{c}_missing_pct": S.rate(f"{c} IS NULL", 2) for c in _LAYER},
         **{f"{c}_mean": S.avg(c, 4) for c in _LAYER[:5]}}.items()))
 def _(t):
     return Q.layer_report(t.silver.select(*_LAYER), "silver")
