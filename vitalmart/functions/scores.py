@@ -7,23 +7,23 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numeric import clamp, col, fold_sum, rnd
+from .numeric import clamp, col, fold_sum, rnd, rnd_pos
 
 
 def weighted_score(terms: list[tuple[Column | str, float]], *, digits: int | None = None,
                    bounds: tuple[float, float] | None = None) -> Column:
-    """Sum of weight * term, optionally bounded and rounded."""
+    """Sum of weight * term, optionally bounded; ``digits`` rounds a non-negative sum."""
     score = fold_sum([col(t).cast("double") * F.lit(float(w)) for t, w in terms])
     if bounds:
         score = clamp(score, *bounds)
-    return score if digits is None else rnd(score, digits)
+    return score if digits is None else rnd_pos(score, digits)
 
 
 def logistic_score(bias: float, terms: list[tuple[str, float, float]], digits: int = 2) -> Column:
     """100 / (1 + exp(-z)); each term is (column, weight, value used for NULL)."""
     z = F.lit(float(bias)) + fold_sum(
         [F.coalesce(col(c).cast("double"), F.lit(float(d))) * F.lit(float(w)) for c, w, d in terms])
-    return rnd(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) * F.lit(100.0), digits)
+    return rnd_pos(F.lit(100.0) / (F.lit(1.0) + F.exp(-z)), digits)
 
 
 def points(rules: list[tuple[Column, float, float]], base: float = 0.0,
@@ -36,7 +36,7 @@ def points(rules: list[tuple[Column, float, float]], base: float = 0.0,
 
 def deviation_score(terms: list[tuple[Column | str, float, float]], digits: int = 4) -> Column:
     """Sum of weight * |x - centre| / centre."""
-    return rnd(fold_sum([F.abs(col(c) - F.lit(float(m))) / F.lit(float(m)) * F.lit(float(w))
+    return rnd_pos(fold_sum([F.abs(col(c) - F.lit(float(m))) / F.lit(float(m)) * F.lit(float(w))
                          for c, m, w in terms]), digits)
 
 
@@ -46,18 +46,26 @@ def fixed_zscore(x: Column | str, mean: float, sd: float, digits: int = 4) -> Co
 
 def scaled_product(columns: list[Column | str], scale: float = 1.0, digits: int | None = None) -> Column:
     out = reduce(lambda a, b: a * b, [col(c).cast("double") for c in columns]) / F.lit(float(scale))
-    return out if digits is None else rnd(out, digits)
+    return out if digits is None else rnd_pos(out, digits)
 
 
 def tags(rules: list[tuple[Column, str | Column]]) -> Column:
     """Names of all rules that hold, in rule order, without holes."""
-    return F.array_compact(F.array(*[
-        F.when(c, name if isinstance(name, Column) else F.lit(name)) for c, name in rules]))
+    # array_except drops the NULL holes in generated code; array_compact is an interpreted filter
+    return F.array_except(F.array(*_names(rules)), F.array(F.lit(None).cast("string")))
+
+
+def _names(rules: list[tuple[Column, str | Column]]) -> list[Column]:
+    return [F.when(c, name if isinstance(name, Column) else F.lit(name)) for c, name in rules]
+
+
+def tag_text(rules: list[tuple[Column, str | Column]], sep: str = ",") -> Column:
+    """The tags as one text; empty when no rule holds."""
+    return F.concat_ws(sep, *_names(rules))
 
 
 def joined_tags(rules: list[tuple[Column, str]], default: str, sep: str = "; ") -> Column:
-    found = tags(rules)
-    return F.when(F.size(found) > 0, F.array_join(found, sep)).otherwise(F.lit(default))
+    return F.coalesce(F.nullif(tag_text(rules, sep), F.lit("")), F.lit(default))
 
 
 def flag_struct(rules: dict[str, Column]) -> Column:
@@ -80,7 +88,7 @@ def additive_quality(rules: list[tuple[Column, float]], digits: int | None = Non
     total = points([(c, p, 0.0) for c, p in rules])
     if cap is not None:
         total = F.least(F.lit(float(cap)), total)
-    return total if digits is None else rnd(total, digits)
+    return total if digits is None else rnd_pos(total, digits)
 
 
 def penalty_quality(penalties: list[tuple[Column, float]], missing: list[Column] | None = None,
@@ -89,10 +97,10 @@ def penalty_quality(penalties: list[tuple[Column, float]], missing: list[Column]
     lost = points([(c, p, 0.0) for c, p in penalties])
     for m in missing or []:
         lost = lost + F.when(m, F.lit(per_missing)).otherwise(F.lit(0.0))
-    return rnd(F.greatest(F.lit(0.0), F.lit(1.0) - lost), digits)
+    return rnd_pos(F.greatest(F.lit(0.0), F.lit(1.0) - lost), digits)
 
 
 def completeness(present: list[Column], unit: float | None = None, digits: int = 3) -> Column:
     """Share of the conditions that hold, or ``unit`` per condition."""
     hits = points([(c, 1.0, 0.0) for c in present])
-    return rnd(hits / F.lit(float(len(present))) if unit is None else hits * F.lit(unit), digits)
+    return rnd_pos(hits / F.lit(float(len(present))) if unit is None else hits * F.lit(unit), digits)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import first_match
 from vitalmart.functions.numeric import pct, ratio, rnd
-from vitalmart.functions.scores import tags
+from vitalmart.functions.scores import tag_text
 from vitalmart.operators.aggregate import confusion_counts, mean, n, sd, share_of_total
 from vitalmart.rules import clinical as R
 
@@ -86,7 +86,7 @@ def model_gate(metrics: DataFrame) -> DataFrame:
     ready = ok["accuracy"] & ok["f1_score"] & ok["auc_roc"] & ok["false_negative_rate"]
     quality = first_match([((C("accuracy") >= a) & (C("f1_score") >= f), name) for name, a, f in R.GATE_LADDER], R.GATE_DEFAULT)
     return metrics.select("*", quality.alias("model_quality"), ready.alias("deployment_ready"),
-                          F.array_join(tags([(~ok[k], R.GATE_ADVICE[k]) for k in R.GATE]), "; ").alias("improvement_suggestions"))
+                          tag_text([(~ok[k], R.GATE_ADVICE[k]) for k in R.GATE], "; ").alias("improvement_suggestions"))
 
 
 def strict_gate(metrics: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def strict_gate(metrics: DataFrame) -> DataFrame:
               (C("false_positive_rate") > limit["false_positive_rate"], R.STRICT_GATE_ADVICE["false_positive_rate"])]
     return metrics.select("*", first_match([(c, name) for c, name, _ in steps], "POOR").alias("model_quality"),
                           first_match([(c, go) for c, _, go in steps], False).alias("deployment_ready"),
-                          F.array_join(tags(advice), "; ").alias("improvement_suggestions"))
+                          tag_text(advice, "; ").alias("improvement_suggestions"))
 
 
 def feature_importances(model: PipelineModel, columns: list[str], spark) -> DataFrame:

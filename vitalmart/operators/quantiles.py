@@ -20,9 +20,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
 
     NULL values are ignored; keys without any value do not appear.
     """
+    # the bucket is declared non-NULL: otherwise the join below adds a NULL test to
+    # one of its two inputs and they no longer share one shuffle
+    bucket = F.coalesce(sort_bucket("_v"), F.lit(0).cast("bigint"))
     counts = (df.where(F.col(value).isNotNull())
               .select(*keys, F.col(value).cast("double").alias("_v"))
-              .groupBy(*keys, sort_bucket("_v").alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n")))
+              .groupBy(*keys, bucket.alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n")))
 
     # one row per bucket: its first and last rank within the key (0-based)
     by_bucket = Window.partitionBy(*keys).orderBy("_b")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import band, first_match, recode
-from vitalmart.functions.numeric import clamp, clamp_ignoring_null, col, fold_sum, rnd
+from vitalmart.functions.numeric import clamp, clamp_ignoring_null, col, fold_sum, rnd_pos
+from vitalmart.functions.reuse import per_context
 from vitalmart.functions.scores import (additive_quality, all_hold, any_flag, completeness, deviation_score,
                                         fixed_zscore, flag_struct, joined_tags, logistic_score, penalty_quality,
                                         points, scaled_product, tags, weighted_score)
@@ -31,8 +32,13 @@ def _measured(cols: list[str], positive: tuple[str, ...]) -> list[Column]:
 # ---- silver ----------------------------------------------------------------
 def silver_standard(df: DataFrame) -> DataFrame:
     """Range-cleaned measures with validity, quality, completeness and flag structs."""
+    return out_of_bounds_to_null(df.withColumns(_standard_checks()), R.STANDARD_BOUNDS)
+
+
+@per_context
+def _standard_checks() -> dict[str, Column]:
     valid = {c: in_bounds(c, b) for c, b in R.STANDARD_VALIDITY.items()}
-    checks = {
+    return {
         "is_valid": all_hold(list(valid.values())),
         "quality_score": additive_quality([(v, 0.2) for v in valid.values()], digits=3),
         "completeness_score": completeness(
@@ -50,7 +56,6 @@ def silver_standard(df: DataFrame) -> DataFrame:
         "glucose_valid": valid["glucose"], "bmi_valid": valid["bmi"], "age_valid": valid["age"],
         "bp_valid": valid["blood_pressure"],
     }
-    return out_of_bounds_to_null(df.withColumns(checks), R.STANDARD_BOUNDS)
 
 
 def silver_tagged(df: DataFrame) -> DataFrame:
@@ -157,6 +162,7 @@ def gold_full(silver: DataFrame) -> DataFrame:
     return base.withColumns(gold_columns())
 
 
+@per_context
 def gold_columns() -> dict[str, Column]:
     g, b, a, p = C("glucose"), C("bmi"), C("age"), C("blood_pressure")
     preg, ins, dpf = C("pregnancies"), C("insulin"), C("diabetes_pedigree_function")
@@ -188,8 +194,8 @@ def gold_columns() -> dict[str, Column]:
             (_any(g >= 110, b >= 25), "Quarterly")], "Annually"),
         "specialist_referral_needed": _any(g >= 140, b >= 35, p >= 160, (g >= 126) & (preg > 0)),
         **sub_scores(),
-        "age_percentile": rnd(a / F.lit(100.0), 4),
-        "risk_percentile": rnd(F.least(F.lit(1.0), (g / 126.0 + b / 40.0) / 2), 4),
+        "age_percentile": rnd_pos(a / F.lit(100.0), 4),
+        "risk_percentile": rnd_pos(F.least(F.lit(1.0), (g / 126.0 + b / 40.0) / 2), 4),
     }
     for name, (x, y, scale) in R.INTERACTIONS_GOLD.items():
         x_col = F.coalesce(C(x), F.lit(0.0)) if x == "insulin" else C(x)
@@ -207,18 +213,18 @@ def prediction_probability() -> Column:
     g, b = C("glucose"), C("bmi")
     parts = (g / 126.0 * 0.30 + F.when(b > 25, (b - 25) / 15.0 * 0.25).otherwise(F.lit(0.0)) + C("age") / 100.0 * 0.20
              + C("diabetes_pedigree_function") * 0.15 + F.when(C("blood_pressure") > 140, F.lit(0.10)).otherwise(F.lit(0.0)))
-    return rnd(F.least(F.lit(1.0), parts), 4)
+    return rnd_pos(F.least(F.lit(1.0), parts), 4)
 
 
 def sub_scores() -> dict[str, Column]:
     g, b, a, p = C("glucose") / 200.0, C("bmi") / 50.0, C("age") / 100.0, C("blood_pressure") / 200.0
     ins, preg = C("insulin"), C("pregnancies")
     return {
-        "metabolic_syndrome_risk": rnd((b + g + p + F.when(ins == 0, F.lit(0.2)).otherwise(F.lit(0.0))) / 4, 4),
-        "cardiovascular_risk": rnd((a + p + b + C("diabetes_pedigree_function")) / 4, 4),
-        "pregnancy_risk_factor": rnd(F.when(preg > 0, preg / 10.0 + g).otherwise(F.lit(0.0)) / 2, 4),
-        "lifestyle_risk_score": rnd((b + a + F.when(C("glucose") > 100, F.lit(0.2)).otherwise(F.lit(0.0))) / 3, 4),
-        "insulin_resistance_score": rnd((F.when(ins == 0, F.lit(0.5)).otherwise(ins / 200.0) + g + b) / 3, 4),
+        "metabolic_syndrome_risk": rnd_pos((b + g + p + F.when(ins == 0, F.lit(0.2)).otherwise(F.lit(0.0))) / 4, 4),
+        "cardiovascular_risk": rnd_pos((a + p + b + C("diabetes_pedigree_function")) / 4, 4),
+        "pregnancy_risk_factor": rnd_pos(F.when(preg > 0, preg / 10.0 + g).otherwise(F.lit(0.0)) / 2, 4),
+        "lifestyle_risk_score": rnd_pos((b + a + F.when(C("glucose") > 100, F.lit(0.2)).otherwise(F.lit(0.0))) / 3, 4),
+        "insulin_resistance_score": rnd_pos((F.when(ins == 0, F.lit(0.5)).otherwise(ins / 200.0) + g + b) / 3, 4),
     }
 
 
@@ -230,7 +236,7 @@ def gold_features(silver: DataFrame) -> DataFrame:
         "age_group": band(a, R.AGE_DECADES), "bmi_category": band(b, R.BMI_SIMPLE),
         "glucose_category": band(g, R.GLUCOSE_140),
         "risk_score": F.when(g.isNull() | b.isNull() | a.isNull(), F.lit(0.0))
-                       .otherwise(rnd(F.least(F.lit(1.0), capped), 2)),
+                       .otherwise(rnd_pos(F.least(F.lit(1.0), capped), 2)),
         "high_risk_flag": F.coalesce(_any((g > 140) & (b > 30), g > 160, b > 35, (a > 60) & (g > 120)), F.lit(False)),
     })
 
@@ -274,10 +280,10 @@ def gold_compact(silver: DataFrame) -> DataFrame:
         "health_risk_level": ladder(["Critical", "High", "Medium", "Low"]),
         "intervention_priority": ladder(["Immediate", "Soon", "Routine", "Monitor"]),
         "estimated_cost_category": ladder(["Very High", "High", "Medium", "Low"]),
-        "metabolic_syndrome_risk": rnd((b / 50.0 + g / 200.0 + p / 200.0) / 3, 3),
-        "cardiovascular_risk": rnd((a / 100.0 + p / 200.0 + b / 50.0) / 3, 3),
-        "pregnancy_risk_factor": rnd((C("pregnancies") / 10.0 + g / 200.0) / 2, 3),
-        "lifestyle_risk_score": rnd((b / 50.0 + a / 100.0) / 2, 3),
+        "metabolic_syndrome_risk": rnd_pos((b / 50.0 + g / 200.0 + p / 200.0) / 3, 3),
+        "cardiovascular_risk": rnd_pos((a / 100.0 + p / 200.0 + b / 50.0) / 3, 3),
+        "pregnancy_risk_factor": rnd_pos((C("pregnancies") / 10.0 + g / 200.0) / 2, 3),
+        "lifestyle_risk_score": rnd_pos((b / 50.0 + a / 100.0) / 2, 3),
     }
     for name, (x, y, scale) in R.INTERACTIONS_COMPACT.items():
         out[name] = scaled_product([x, y], scale)

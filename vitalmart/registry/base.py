@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from vitalmart.plans import layers
+from vitalmart.session import tune
 from vitalmart.sources.schemas import clinical_from_lineitem, wearable_from_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +27,7 @@ class Tables:
     """Lazy access to the Parquet tables and the layers derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir = tune(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalmart.functions.reuse import per_context
+
 _D, _I, _S = T.DoubleType(), T.IntegerType(), T.StringType()
 
 CLINICAL_RAW = T.StructType([
@@ -41,8 +43,13 @@ MODEL_REGISTRY = T.StructType([
 
 def clinical_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """The nine clinical measures plus key and dates, computed from order lines."""
+    return lineitem.select(*_clinical_columns())
+
+
+@per_context
+def _clinical_columns() -> list[Column]:
     qty, price = F.col("l_quantity"), F.col("l_extendedprice")
-    return lineitem.select(
+    return [
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id"),
         (F.col("l_partkey") % 18).cast("int").alias("pregnancies"),
         F.when(qty == 1, F.lit(0.0)).otherwise(F.floor(price / 500.0).cast("double")).alias("glucose"),
@@ -58,7 +65,7 @@ def clinical_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("processing_date"),
         (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_orderkey") % 24, mins=F.col("l_partkey") % 60))
         .alias("processed_timestamp"),
-    )
+    ]
 
 
 def wearable_from_orders(orders: DataFrame) -> DataFrame:
