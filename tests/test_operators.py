@@ -157,7 +157,7 @@ def test_new_rows_ignores_null_target_keys(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 def test_salted_join_equals_plain_join(spark, how):
-    left = table(spark, [(1 if i % 3 else i, i) for i in range(300)], "k int, v int")
+    left = table(spark, [(1 if i % 3 else i, i) for i in range(300)] + [(None, 1000), (None, 1001)], "k int, v int")
     right = table(spark, [(k, k * 10) for k in range(0, 200, 2)] + [(1, 7)], "k int, w int")
     plain, salted = (sorted(map(tuple, joins.salted_join(left, right, ["k"], how, s).collect()), key=repr) for s in (1, 5))
     assert plain == salted
@@ -166,11 +166,10 @@ def test_salted_join_equals_plain_join(spark, how):
 
 
 @pytest.mark.parametrize("limit", [10_000, 0])
-def test_band_join_small_and_large_tables(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+def test_band_join_small_and_large_tables(spark, limit):
     df = table(spark, [(0.0,), (0.305,), (0.31,), (1.0,), (1.5,), (None,)], "x double")
     bands = joins.half_open(R.RISK_TABLE, ["name", "lo", "hi", "color"], spark)
-    got = {r["x"]: r["name"] for r in joins.band_join(df, bands, "x", "lo", "hi", bin_width=0.1).collect()}
+    got = {r["x"]: r["name"] for r in joins.band_join(df, bands, "x", "lo", "hi", bin_width=0.1, max_broadcast_rows=limit).collect()}
     assert got == {0.0: "Low Risk", 0.305: "Low Risk", 0.31: "Moderate Risk", 1.0: "Critical Risk", 1.5: None, None: None}
 
 

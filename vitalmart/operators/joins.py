@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,33 +37,43 @@ def missing_parents(child: DataFrame, child_key: str, parent: DataFrame, parent_
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 1,
-                spread: list[str] | None = None) -> DataFrame:
-    """Equi-join; with salts > 1 every left key is spread over that many tasks.
-
-    The right side, one row per key, is repeated per salt. ``spread`` are left
-    columns that differ between rows of one key. AQE splits skewed partitions at
-    run time, so salts are for keys known to be hot beyond that.
+                spread: list[str] | None = None, hot_share: float = 0.01) -> DataFrame:
+    """Equi-join; with salts > 1 the hot left keys are spread over that many tasks.
+
+    A key is hot when it owns more than ``hot_share`` of the left rows, so there
+    are at most 1 / hot_share hot keys: that bounds the broadcast lists and the
+    right rows that are repeated. Left rows with a NULL key match nothing and are
+    spread as well. ``spread`` are left columns that differ between rows of one
+    key. AQE splits skewed partitions at run time; salts are for keys known to be
+    hot beyond that.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salting repeats the right side, so the left side must drive the join")
     if salts <= 1:
         return left.join(right, keys, how)
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).scalar()
+    hot = counts.where(F.col("_n") > total * F.lit(hot_share)).select(*keys, F.lit(True).alias("_hot"))
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in (spread or left.columns)]), F.lit(salts)).cast("int")
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
+    marked = left.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | any_null, salt).otherwise(F.lit(0))).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return marked.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def band_join(df: DataFrame, bands: DataFrame, x: str, lo: str, hi: str, how: str = "left",
-              bin_width: float | None = None) -> DataFrame:
+              bin_width: float | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows with the band [lo, hi) that holds x; bands must not overlap.
 
-    A band table up to MAX_BROADCAST_ROWS rows is counted, then broadcast. A
+    A band table up to max_broadcast_rows rows is counted, then broadcast. A
     larger one is joined on shared bins of ``bin_width``: equal-key shuffle, then
     the exact test, no all-pairs step.
     """
     value = F.col(x).cast("double")
     inside = (value >= F.col(lo)) & (value < F.col(hi))
-    if bands.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+    if bands.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         return df.join(F.broadcast(bands), inside, how)
     if not bin_width:
         raise ValueError("a band table this large needs bin_width")

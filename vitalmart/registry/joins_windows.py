@@ -81,11 +81,8 @@ def _(t):
     size = t.part.agg(F.min("p_retailprice").alias("lo"), F.max("p_retailprice").alias("hi"))
     bands = size.select(F.explode(F.sequence(F.floor(C("lo") / 50), F.floor(C("hi") / 50))).alias("b")).select(
         (C("b") * 50.0).alias("band_lo"), (C("b") * 50.0 + 50.0).alias("band_hi"))
-    limit, J.MAX_BROADCAST_ROWS = J.MAX_BROADCAST_ROWS, 0
-    try:
-        out = J.band_join(t.part.select("p_size", "p_retailprice"), bands, "p_retailprice", "band_lo", "band_hi", "inner", 25.0)
-    finally:
-        J.MAX_BROADCAST_ROWS = limit
+    out = J.band_join(t.part.select("p_size", "p_retailprice"), bands, "p_retailprice", "band_lo", "band_hi", "inner", 25.0,
+                      max_broadcast_rows=0)
     return out.select("p_size", "p_retailprice", "band_lo")
 
 

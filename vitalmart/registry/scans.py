@@ -90,8 +90,8 @@ def _(t):
        " FROM lineitem")
 def _(t):
     """Order numbers of the whole key range that no line uses."""
-    span = t.orders.agg(F.sequence(F.lit(0).cast("bigint"), F.max("o_orderkey")).alias("s"))
-    ids = span.select(F.explode("s").alias("id"))
+    last = t.orders.agg(F.max("o_orderkey")).first()[0]  # one number; the range itself is generated by the tasks
+    ids = readers.sequence(t.spark, 0, last)
     return ids.join(t.lineitem.select(C("l_orderkey").alias("id")).distinct(), "id", "left_anti")
 
 
@@ -171,6 +171,18 @@ def _(t):
                            F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested"), "row_number")
 
 
+@query("s17_model_save_load", None)
+def _(t):
+    """A feature pipeline fitted, saved under a time-stamped name, loaded by newest version, applied to all rows."""
+    from vitalmart.ml.training import feature_pipeline, load_model, save_model
+    root = writers.scratch_path(t.spark, "s17")
+    measures = t.clinical.select("id", "glucose", "bmi")
+    path = f"{root}/features_20240115_120000"
+    save_model(feature_pipeline(["glucose", "bmi"]).fit(measures), path)
+    newest = versions.latest_versions(t.spark.createDataFrame([(path,), (f"{root}/features_20230101_000000",)], "path string"))
+    return load_model(newest.first()["path"]).transform(measures).agg(n().alias("scaled_rows"))
+
+
 @query("s18_latest_version", "WITH v AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'forest' ELSE 'logistic' END AS kind,"
        " strftime(o_orderdate, '%Y%m%d_%H%M%S') AS stamp FROM orders), m AS (SELECT kind, MAX(stamp) AS stamp FROM v GROUP BY kind) SELECT kind,"
        " '/models/' || kind || '_' || stamp AS path, stamp FROM m WHERE stamp = (SELECT MAX(stamp) FROM m)")
