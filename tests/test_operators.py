@@ -179,11 +179,18 @@ def test_missing_parents_counts_rows(spark):
     assert [(r["missing_key"], r["row_count"]) for r in got] == [(9, 500)]
 
 
+def test_missing_parents_counts_before_the_join(spark):
+    child = spark.range(1000).select((C("id") % 5).alias("k"))
+    out = joins.missing_parents(child, "k", spark.range(3), "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate [k")
+
+
 def test_row_numbers_across_buckets(spark):
-    rows = [("f", x) for x in (-5, 0, 3, 1000000, 7, -2)] + [("g", 4)]
+    rows = [("f", x) for x in (-5, 0, 3, 1000000, 7, -2)] + [("g", 4), (None, 8), (None, None)]
     got = windows.number_rows(table(spark, rows, "f string, x int"), ["f"], ["x"]).collect()
     assert {(r["f"], r["x"]): r["row_number"] for r in got} == {
-        ("f", -5): 1, ("f", -2): 2, ("f", 0): 3, ("f", 3): 4, ("f", 7): 5, ("f", 1000000): 6, ("g", 4): 1}
+        ("f", -5): 1, ("f", -2): 2, ("f", 0): 3, ("f", 3): 4, ("f", 7): 5, ("f", 1000000): 6, ("g", 4): 1, (None, None): 1, (None, 8): 2}
 
 
 def test_trend_starts_stable_and_days_are_filled(spark):

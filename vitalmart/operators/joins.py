@@ -33,7 +33,9 @@ def missing_parents(child: DataFrame, child_key: str, parent: DataFrame, parent_
     used = (child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("missing_key"))
             .agg(F.count(F.lit(1)).alias("row_count")))
     known = parent.select(F.col(parent_key).alias("_k")).distinct()
-    return used.join(known, F.col("missing_key") == F.col("_k"), "left_anti")
+    # an outer join, not an anti join: the optimizer moves anti joins below the
+    # count and would shuffle the uncounted rows
+    return used.join(known, F.col("missing_key") == F.col("_k"), "left").where(F.col("_k").isNull()).drop("_k")
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 1,

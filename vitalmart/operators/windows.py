@@ -46,9 +46,11 @@ def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "row_
         lead = F.unix_micros(lead)
     bucketed = df.withColumn("_b", F.coalesce(sort_bucket(lead), F.lit(-(2 ** 62))))
     sizes = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    before = sizes.select(*by, "_b", (F.sum("_bn").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_bn"))
-                          .alias("_before"))
+    before = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_b").alias("_by_b"), (
+        F.sum("_bn").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_bn")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
-    return (bucketed.withColumn("_rn", inside).join(before, [*by, "_b"])
+    # NULL is a file of its own, so keys are compared NULL-safe
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_b") == F.col("_by_b")]
+    return (bucketed.withColumn("_rn", inside).join(before, same)
             .withColumn(out, (F.col("_before") + F.col("_rn")).cast("bigint"))
-            .drop("_b", "_rn", "_before"))
+            .select(*df.columns, out))

@@ -17,15 +17,16 @@ _SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
-# Settings of a running session that the wide projections need.
-_RUNTIME = {
-    # HotSpot never compiles methods above 8000 bytes of bytecode. A fused stage
-    # larger than that runs interpreted, more than ten times slower; below this
-    # limit Spark falls back to per-operator code split into small methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    # call-site capture costs several round trips to the JVM per Column operation
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
-}
+# Fixed when a session starts: call-site capture costs several round trips to the
+# JVM per Column operation.
+_STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+# Can be set on a running session. HotSpot never compiles methods above 8000 bytes
+# of bytecode. A fused stage larger than that runs interpreted, more than ten times
+# slower; below this limit Spark falls back to per-operator code split into small
+# methods.
+_RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+_SPARK_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "65535"}
 
 
 def build_session(app_name: str = "vitalmart", master: str | None = None,
@@ -33,15 +34,15 @@ def build_session(app_name: str = "vitalmart", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**_SETTINGS, **_RUNTIME, **(extra or {})}.items():
+    for key, value in {**_SETTINGS, **_STATIC, **_RUNTIME, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session made elsewhere; explicit user values stay."""
+    """Apply the run-time settings to a session made elsewhere; values the user chose stay."""
     for key, value in _RUNTIME.items():
-        if spark.sparkContext.getConf().get(key) is None:
+        if spark.conf.get(key) == _SPARK_DEFAULTS[key]:
             spark.conf.set(key, value)
     return spark
 
