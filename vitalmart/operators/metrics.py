@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.functions.numeric import rnd
 
-from .aggregate import mean, n, n_if, rate
+from .aggregate import mean, n, n_if, rate, report
 
 
 def business_metrics(gold: DataFrame, levels: list[str], outcome: str = "diabetes") -> DataFrame:
@@ -45,7 +45,6 @@ def pick_keys(docs: DataFrame, json_col: str, picks: dict[str, str]) -> DataFram
 
 def pivot_free_counts(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
     """Counts of a category with its share, one row per level."""
-    from .aggregate import report
     return report(df, [key], {"row_count": n()}, {"share_pct": ("row_count", digits)})
 
 

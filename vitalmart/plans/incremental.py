@@ -13,9 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.operators.joins import new_rows
-from vitalmart.operators.aggregate import metric_rows, n, n_if, rate, report
+from vitalmart.functions.bands import recode
 from vitalmart.functions.numeric import rnd
+from vitalmart.operators.aggregate import metric_rows, n, n_if, rate, report, text_number
+from vitalmart.operators.joins import new_rows
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -152,12 +153,10 @@ def insight_rates(insights: DataFrame, day: str = "processing_date") -> DataFram
 
 def metric_snapshot(gold: DataFrame) -> DataFrame:
     """Long latest-metrics rows, every metric out of one pass."""
-    from vitalmart.operators.aggregate import text_number
     high = F.col("health_risk_level").isin("High", "Critical")
     sick = F.col("diabetes") == 1
     kinds = {"total_patients": "count", "diabetic_patients": "count", "high_risk_patients": "count",
              "avg_glucose": "average", "avg_bmi": "average", "diabetes_rate": "percentage", "high_risk_rate": "percentage"}
-    from vitalmart.functions.bands import recode
     rows = metric_rows(gold, {
         "total_patients": n(), "diabetic_patients": n_if(sick), "high_risk_patients": n_if(high),
         "avg_glucose": text_number(F.avg("glucose"), 1), "avg_bmi": text_number(F.avg("bmi"), 1),

@@ -9,16 +9,15 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import band, first_match, order_rank, recode
 from vitalmart.functions.numeric import pct, ratio, rnd
-from vitalmart.operators.aggregate import (column_profile, confusion_counts, corr, joined_values, mean, mean_if,
-                                           metric_rows, n, n_if, rate, report, sd, share_of_total, struct_rows,
+from vitalmart.operators.aggregate import (confusion_counts, corr, joined_values, mean, mean_if,
+                                           metric_rows, n, n_if, rate, report, sd, struct_rows,
                                            text_number, total)
 from vitalmart.operators.quantiles import exact_percentiles
-from vitalmart.operators.statistics import scalar_struct
 from vitalmart.operators.windows import previous, trailing_mean, trend_label
 from vitalmart.rules import clinical as R
 
@@ -421,7 +420,6 @@ def prediction_accuracy_analysis(gold: DataFrame, as_of: date) -> DataFrame:
     groups = report(recent(gold, as_of, 30), {"prediction": "prediction", "actual_outcome": "diabetes"}, {
         "case_count": n(), "avg_prediction_probability": mean("prediction_probability", 3),
         "avg_risk_score": mean("risk_score", 3), "avg_glucose": mean("glucose", 1), "avg_bmi": mean("bmi", 1)})
-    from pyspark.sql import Window
     everything = Window.partitionBy()
     cell = lambda p, a: F.sum(F.when((C("prediction") == p) & (C("actual_outcome") == a), C("case_count"))
                               .otherwise(0)).over(everything)

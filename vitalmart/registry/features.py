@@ -6,9 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from vitalmart.functions.bands import band, first_match
 from vitalmart.functions.numeric import clamp, ratio, rnd
-from vitalmart.functions.scores import (fixed_zscore, joined_tags, logistic_score, scaled_product, tags, weighted_score)
+from vitalmart.functions.scores import (fixed_zscore, logistic_score, scaled_product, tags, weighted_score)
 from vitalmart.functions.udf import register_sql_functions
 from vitalmart.operators import statistics as st
 from vitalmart.operators.aggregate import mean, n, report

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from vitalmart.functions.bands import recode
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators import quality as Q
-from vitalmart.operators.aggregate import mean, n, report
+from vitalmart.operators.aggregate import n, report
 from vitalmart.plans import incremental as I
 from vitalmart.plans import jobs, layers, reports, samples
 from vitalmart.rules import clinical as R
@@ -103,7 +104,6 @@ _STATUS = {"view": "running", "click": "running", "purchase": "completed", "erro
 
 
 def _run_events(t):
-    from vitalmart.functions.bands import recode
     return t.events.select(
         C("user_id").cast("string").alias("execution_id"), F.lit("clinical").alias("pipeline_name"), F.lit("load").alias("pipeline_stage"),
         recode("event_type", _STATUS, "running").alias("status"), C("ts").alias("event_time"), C("event_id").alias("records_processed"),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vitalmart.functions.numeric import rnd
+from vitalmart.functions.numeric import pct, rnd
 from vitalmart.operators import aggregate as A
 from vitalmart.operators import joins as J
 from vitalmart.operators import windows as W
-from vitalmart.plans import reports, samples
+from vitalmart.plans import samples
 from vitalmart.rules import clinical as R
 
 from . import sql as S
@@ -30,14 +31,12 @@ def _(t):
 def _(t):
     base = t.customer.agg(A.n().alias("patients"), A.mean("c_acctbal", 4).alias("avg_balance"))
     total = t.orders.agg(A.n().alias("c")).scalar()
-    from vitalmart.functions.numeric import pct
     return base.select("patients", pct("patients", total, 4).alias("share_of_orders"), "avg_balance")
 
 
 @query("j3_totals_on_detail_groups", "WITH g AS (SELECT o_orderstatus, o_orderpriority, COUNT(*) AS orders FROM orders GROUP BY ALL) SELECT *,"
        " CAST(SUM(orders) OVER () AS BIGINT) AS all_orders, CAST(SUM(orders) OVER (PARTITION BY o_orderstatus) AS BIGINT) AS status_orders FROM g")
 def _(t):
-    from pyspark.sql import Window
     g = A.report(t.orders, ["o_orderstatus", "o_orderpriority"], {"orders": A.n()})
     return g.withColumns({"all_orders": F.sum("orders").over(Window.partitionBy()),
                           "status_orders": F.sum("orders").over(Window.partitionBy("o_orderstatus"))})

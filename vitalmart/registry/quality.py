@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from vitalmart.operators import quality as Q
-from vitalmart.operators.aggregate import mean, n, n_if, report
+from vitalmart.operators.aggregate import mean, metric_rows, n, n_if, rate, report
 from vitalmart.operators.clean import zero_to_null
-from vitalmart.plans import reports
+from vitalmart.operators.joins import attach_scalars
+from vitalmart.operators.statistics import scalar_struct
 from vitalmart.rules import clinical as R
 
 from . import sql as S
@@ -129,8 +130,6 @@ def _(t):
        " risk_levels, COUNT(DISTINCT age_group) AS age_groups, COUNT(DISTINCT bmi_category) AS bmi_categories, " + S.avg("risk_score", 6)
        + " AS avg_risk_score FROM gold")
 def _(t):
-    from vitalmart.operators.joins import attach_scalars
-    from vitalmart.operators.statistics import scalar_struct
     levels = lambda c: F.size(F.collect_set(c)).cast("bigint")
     gold = t.gold.agg(levels("health_risk_level").alias("risk_levels"), levels("age_group").alias("age_groups"),
                       levels("bmi_category").alias("bmi_categories"), mean("risk_score", 6).alias("avg_risk_score"))
@@ -155,7 +154,6 @@ def _(t):
        " threshold_value IS NULL OR CASE WHEN metric_name = 'row_count' THEN metric_value <= threshold_value ELSE metric_value >= threshold_value"
        " END AS is_passed FROM m")
 def _(t):
-    from vitalmart.operators.aggregate import metric_rows
     rows = metric_rows(t.orders, {"row_count": n(), "avg_price": mean("o_totalprice", 4), "max_price": F.max("o_totalprice")})
     log = Q.log_metrics(rows, "sales", "orders", {"row_count": 1e6, "avg_price": 1000.0}, F.lit(_NOW))
     return log.drop("check_timestamp")
@@ -165,7 +163,6 @@ def _(t):
        + S.pct(S.cnt("glucose >= 0 AND glucose <= 400 AND bmi >= 10 AND bmi <= 60 AND age >= 0 AND age <= 120"), "COUNT(*)", 2)
        + " AS accuracy FROM clinical")
 def _(t):
-    from vitalmart.operators.aggregate import rate
     ok = C("glucose").between(0, 400) & C("bmi").between(10, 60) & C("age").between(0, 120)
     return t.clinical.agg(rate((C("glucose") > 0) & (C("bmi") > 0), 2).alias("completeness"), rate(ok, 2).alias("accuracy"))
 

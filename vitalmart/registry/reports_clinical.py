@@ -6,10 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from vitalmart.functions.bands import band
 from vitalmart.functions.numeric import rnd
-from vitalmart.operators.aggregate import n, n_if, value_distribution, most_common
-from vitalmart.operators.quality import log_metrics
-from vitalmart.operators.aggregate import metric_rows
+from vitalmart.operators.aggregate import most_common, value_distribution
 from vitalmart.plans import jobs, reports, samples
 from vitalmart.rules import clinical as R
 
@@ -276,6 +275,5 @@ def _(t):
        + " AS health_score_change, CASE WHEN avg_health_score > prev_health_score THEN 'Increasing' WHEN avg_health_score <"
        " prev_health_score THEN 'Decreasing' ELSE 'Stable' END AS health_trend FROM l")
 def _(t):
-    from vitalmart.functions.bands import band
     people = jobs.clean_wearable(t.wearable).withColumn("age_group", band("age", R.AGE_THREE))
     return reports.wearable_period_trends(people, F.date_trunc("year", "timestamp_parsed").cast("date"), ["age_group", "gender"])
