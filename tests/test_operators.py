@@ -88,6 +88,14 @@ def test_exact_percentiles_match_numpy_with_a_hot_key(spark):
             assert got[k][name] == pytest.approx(np.quantile(xs, p), rel=1e-12, abs=1e-12)
 
 
+def test_percentiles_of_narrow_values(spark):
+    xs = [1.7e15 + i * 37 % 1001 for i in range(1001)]
+    df = table(spark, [(x,) for x in xs], "x double")
+    for narrow in (False, True):
+        row = exact_percentiles(df, [], "x", {"q1": 0.25, "p50": 0.5}, narrow).first()
+        assert (row["q1"], row["p50"]) == (np.quantile(xs, 0.25), np.quantile(xs, 0.5))
+
+
 def test_percentiles_with_null_key(spark):
     df = table(spark, [(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, x double")
     got = {r["k"]: r["m"] for r in exact_percentiles(df, ["k"], "x", {"m": 0.5}).collect()}
@@ -193,6 +201,13 @@ def test_row_numbers_across_buckets(spark):
         ("f", -5): 1, ("f", -2): 2, ("f", 0): 3, ("f", 3): 4, ("f", 7): 5, ("f", 1000000): 6, ("g", 4): 1, (None, None): 1, (None, 8): 2}
 
 
+def test_row_numbers_by_time_use_many_buckets(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = table(spark, [("f", t0 + dt.timedelta(seconds=(i * 17) % 500), i) for i in range(500)], "f string, at timestamp_ntz, i int")
+    got = [(r["at"], r["row_number"]) for r in windows.number_rows(df, ["f"], ["at", "i"]).collect()]
+    assert [n for _, n in sorted(got)] == list(range(1, 501))
+
+
 def test_trend_starts_stable_and_days_are_filled(spark):
     d = lambda k: dt.date(2024, 1, k)
     df = table(spark, [(d(1), 1.0), (d(2), 3.0), (d(4), 2.0)], "day date, v double")

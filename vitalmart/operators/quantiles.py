@@ -15,14 +15,21 @@ from pyspark.sql import functions as F
 from vitalmart.functions.numeric import sort_bucket
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                      narrow: bool = False) -> DataFrame:
     """Interpolated percentiles of ``value`` per key, one column per entry of ``probs``.
 
-    NULL values are ignored; keys without any value do not appear.
+    NULL values are ignored; keys without any value do not appear. ``narrow`` is
+    for values whose range is small against their size (epoch times): buckets are
+    then taken from the distance to the smallest value, at the price of one more
+    pass over the column.
     """
     # the bucket is declared non-NULL: otherwise the join below adds a NULL test to
     # one of its two inputs and they no longer share one shuffle
-    bucket = F.coalesce(sort_bucket("_v"), F.lit(0).cast("bigint"))
+    place = F.col("_v")
+    if narrow:
+        place = place - df.agg(F.min(F.col(value).cast("double")).alias("least")).scalar()
+    bucket = F.coalesce(sort_bucket(place), F.lit(0).cast("bigint"))
     counts = (df.where(F.col(value).isNotNull())
               .select(*keys, F.col(value).cast("double").alias("_v"))
               .groupBy(*keys, bucket.alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n")))

@@ -34,16 +34,19 @@ def fill_days(daily: DataFrame, day: str) -> DataFrame:
 def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "row_number") -> DataFrame:
     """1-based row number per ``by`` in the given order.
 
-    The leading order column must be numeric or a date. Rows are numbered inside
-    order-preserving buckets and shifted by the rows before the bucket, so one
-    huge file is numbered by many tasks.
+    The leading order column must be numeric, a date or a time stamp. Rows are
+    numbered inside order-preserving buckets and shifted by the rows before the
+    bucket, so one huge file is numbered by many tasks. Time stamps are counted
+    from the first one: buckets are relative to the size of a number, and epoch
+    microseconds of one day would all share one.
     """
     lead = F.col(order[0])
     kind = dict(df.dtypes)[order[0]]
     if kind == "date":
         lead = F.unix_date(lead)
-    elif kind == "timestamp":
-        lead = F.unix_micros(lead)
+    elif kind in ("timestamp", "timestamp_ntz"):
+        micros = F.unix_micros(lead.cast("timestamp"))
+        lead = micros - df.agg(F.min(micros).alias("first")).scalar()
     bucketed = df.withColumn("_b", F.coalesce(sort_bucket(lead), F.lit(-(2 ** 62))))
     sizes = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     before = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_b").alias("_by_b"), (

@@ -116,6 +116,15 @@ def _(t):
     return out.select(*[rnd(k, 6).alias(k) for k in _P])
 
 
+@query("a9_exact_percentiles_of_times", "SELECT event_type, " + S.r("quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.5)", 3) + " AS median_second, "
+       + S.r("quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.9)", 3) + " AS late_second FROM events GROUP BY event_type")
+def _(t):
+    """Epoch seconds: a narrow range of large numbers."""
+    seconds = t.events.select("event_type", F.unix_seconds(C("ts").cast("timestamp")).alias("s"))
+    out = exact_percentiles(seconds, ["event_type"], "s", {"median_second": 0.5, "late_second": 0.9}, narrow=True)
+    return out.select("event_type", rnd("median_second", 3).alias("median_second"), rnd("late_second", 3).alias("late_second"))
+
+
 @query("a10_approx_percentiles", None)
 def _(t):
     """Rows-only: sketch percentiles return members of the data."""

@@ -148,3 +148,9 @@ def _(t):
 def _(t):
     rows = t.orders.select("o_orderkey", C("o_orderdate").cast("date").alias("day"), F.lit("orders").alias("file_name"))
     return W.number_rows(rows, ["file_name"], ["day", "o_orderkey"]).select("o_orderkey", "row_number")
+
+
+@query("w4_row_number_by_time", "SELECT event_id, event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS BIGINT) AS row_number"
+       " FROM events")
+def _(t):
+    return W.number_rows(t.events.select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"]).drop("ts")
