@@ -6,6 +6,7 @@ import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 def chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of text, one row at least."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column("text")).to_pylist()
+        sizes = pc.binary_length(batch.column("text")).to_pylist()
         begin = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > limit:

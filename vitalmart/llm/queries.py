@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, langid, phrases, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +27,108 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> tuple[str, str]:
+    """Path of the public ranks file and the pre-token pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 @query("op1_simhash_pivot")
 def op1_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_decontamination_index", """
+WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, sizes WHERE len(w) >= n)),
+matches AS (SELECT p.doc_id, m.item_id, p.i, p.n FROM places p JOIN windows m ON p.n = m.n AND p.phrase = m.phrase),
+hits AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM matches) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM tokens t LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op9_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), reach=0)
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_bpe_two_tier")
+def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
+
+
+@query("op6_secret_links")
+def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def _quality_sql(risk: float = 0.03, error: float = 0.05) -> str:
+    words = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+    kept_chars = lambda c: f"CAST(length(regexp_replace(coalesce(text, ''), '[^{c}]', '', 'g')) AS BIGINT)"
+    rules = " UNION ALL ".join(
+        f"SELECT doc_id, stratum, base_failed, '{r}' AS rule, CASE WHEN {b} > 0 THEN {t} / {b} ELSE 0 END AS v FROM counts"
+        for r, (t, b, _) in quality.RULES.items())
+    grid = ", ".join(f"('{r}', CAST({c} AS DOUBLE))" for r, (_, _, cs) in quality.RULES.items() for c in cs)
+    share, n_rules = risk / len(quality.RULES), len(quality.RULES)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS stratum, text, {words} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS run
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM texts WHERE len(w) >= 5)),
+repeated AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS k FROM repeated) GROUP BY doc_id),
+counts AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM (
+    SELECT t.doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+      {kept_chars('#*$%&|<>')} AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+      CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+      {kept_chars('A-Z')} AS n_upper, {kept_chars('!?')} AS n_marks
+    FROM texts t LEFT JOIN covered c USING (doc_id))),
+vals AS ({rules}),
+grid(rule, cutoff) AS (VALUES {grid}),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING bool_and(coalesce(quality = 1, false))),
+held AS (SELECT * FROM vals WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+sizes AS (SELECT stratum, count(*) / {n_rules} AS n, count(DISTINCT stratum) OVER () AS strata FROM held GROUP BY stratum),
+tails AS (
+  SELECT stratum, k, strata, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({share}) + (n - k) * ln(1 - {share})))
+    OVER (PARTITION BY stratum ORDER BY k) AS tail
+  FROM (SELECT *, unnest(range(0, CAST(floor(n * {share}) AS BIGINT) + 1)) AS k FROM sizes)),
+allowed AS (SELECT stratum, max(k) AS k FROM tails WHERE tail <= {error} / (strata * {n_rules}) GROUP BY stratum),
+tested AS (SELECT h.stratum, h.rule, cutoff, count(*) FILTER (WHERE v > cutoff) AS rejected
+  FROM held h JOIN grid g ON h.rule = g.rule GROUP BY ALL),
+cutoffs AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tested JOIN allowed USING (stratum) WHERE rejected <= k GROUP BY ALL),
+failed AS (SELECT DISTINCT doc_id FROM vals JOIN cutoffs USING (stratum, rule) WHERE v > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept
+FROM counts"""
+
+
+@query("op7_quality_certified", _quality_sql())
+def op7_quality_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), stratum=F.col("lang"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_language_codes")
+def op4_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
