@@ -196,6 +196,13 @@ def _digests(tokenizer, batch, encoded):
     return record_batch(schema, [batch.column("doc_id"), *([r[i] for r in rows] for i in range(4))])
 
 
+def _both(tokenizer, batch, encoded):
+    listed = list(encoded)
+    digest = _digests(tokenizer, batch, listed)
+    ids = pa.array(listed, pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays([*digest.columns, ids], schema=digest.schema.append(pa.field("ids", ids.type)))
+
+
 def _decoded(ranks, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokens = {i: t for t, i in ranks.value.items()}
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
@@ -230,3 +237,9 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     from them, and whether these bytes are the text's. NULL texts read as empty."""
     return _mapped(docs, path, pattern, _digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, "
                                                   "decoded_sha256 string, round_trip boolean", id_col, text_col)
+
+
+def encode_with_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of ``digests`` and ``encode`` in one pass."""
+    return _mapped(docs, path, pattern, _both, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
+                                               "round_trip boolean, ids array<int>", id_col, text_col)

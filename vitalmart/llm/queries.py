@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, phrases, quality, secrets, simhash
+from . import bpe, chat, hmm, langid, lines, phrases, quality, resampling, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +132,70 @@ def op7_quality_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_codes")
 def op4_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op2_hmm_scores")
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_line_similarity", """
+WITH cuts AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, ln, ls[ln] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS ln FROM cuts)),
+sets AS (SELECT doc_id, ln, row_number() OVER (ORDER BY doc_id, ln) AS id, w, len(w) AS n
+  FROM (SELECT doc_id, ln, list_distinct(regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+')) AS w FROM lines) WHERE len(w) > 0),
+tokens AS (SELECT id, n, unnest(w) AS tok FROM sets),
+rarity AS (SELECT tok, count(*) AS df FROM tokens GROUP BY tok),
+prefix AS (SELECT id, n, tok FROM (
+  SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY df, tok) AS at FROM tokens JOIN rarity USING (tok))
+  WHERE at <= n - CAST(ceil(n * 4 / 5.0) AS BIGINT) + 1),
+pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.tok = b.tok AND a.id < b.id
+  AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT pairs.b AS id FROM pairs JOIN sets x ON x.id = pairs.a JOIN sets y ON y.id = pairs.b
+  WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (x.n + y.n)),
+marked AS (SELECT l.doc_id, l.ln, line, s.id IS NOT NULL AS worded, g.id IS NOT NULL AS removed
+  FROM lines l LEFT JOIN sets s ON l.doc_id = s.doc_id AND l.ln = s.ln LEFT JOIN gone g ON s.id = g.id),
+kept AS (SELECT doc_id, CAST(count(*) FILTER (WHERE worded) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE removed) AS BIGINT) AS n_removed,
+  coalesce(string_agg(line, chr(10) ORDER BY ln) FILTER (WHERE NOT removed), '') AS text FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, k.text FROM documents d LEFT JOIN kept k USING (doc_id)
+""")
+def op3_line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("row.doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_removed").cast("bigint").alias("n_removed"), "text")
+
+
+@query("op8_preference_pairs", """
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+talks AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS ts FROM turns GROUP BY conv_id),
+pairs AS (SELECT conv_id // 2 AS pair_id, max(conv_id) FILTER (WHERE conv_id % 2 = 0) AS c, max(conv_id) FILTER (WHERE conv_id % 2 = 1) AS r
+  FROM turns GROUP BY 1),
+both_sides AS (SELECT pair_id, coalesce(x.ts, []) AS a, coalesce(y.ts, []) AS b FROM pairs LEFT JOIN talks x ON x.conv_id = c LEFT JOIN talks y ON y.conv_id = r),
+same AS (SELECT *, list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]) AS s FROM both_sides),
+cut AS (SELECT *, CAST(CASE WHEN list_contains(s, false) THEN list_position(s, false) - 1 ELSE len(s) END AS INT) AS n FROM same),
+drawn AS (SELECT pair_id, n,
+    list_transform(a[1:n], lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS p,
+    list_transform(a[n + 1:], lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS c,
+    list_transform(b[n + 1:], lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS r,
+    a[n + 1:] AS ca, b[n + 1:] AS rb FROM cut)
+SELECT pair_id, n AS n_prompt_turns, array_to_string(p, '') AS prompt, array_to_string(c, '') AS chosen, array_to_string(r, '') AS rejected,
+  array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: ca[i].role = 'assistant'), lambda i:
+    (length(array_to_string(c[1:i - 1], '')) + 14)::VARCHAR || ':' || length(array_to_string(c[1:i], ''))::VARCHAR), ',') AS chosen_mask,
+  array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: rb[i].role = 'assistant'), lambda i:
+    (length(array_to_string(r[1:i - 1], '')) + 14)::VARCHAR || ':' || length(array_to_string(r[1:i], ''))::VARCHAR), ',') AS rejected_mask
+FROM drawn
+""")
+def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table names no preferences: conversation 2k stands as chosen, 2k + 1 as rejected of pair k."""
+    turns = table(spark, sf_dir, "conversations")
+    half = F.col("conv_id").cast("bigint")
+    pairs = turns.where("conv_id is not null and turn is not null").groupBy(F.expr("conv_id div 2").alias("pair_id")).agg(
+        F.max(F.when(half % 2 == 0, half)).alias("chosen_id"), F.max(F.when(half % 2 == 1, half)).alias("rejected_id"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(c)
+    return chat.preference_examples(turns, pairs).withColumns({c: listed(c) for c in ("chosen_mask", "rejected_mask")})
+
+
+@query("op10_importance_resampling")
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return resampling.resample(table(spark, sf_dir, "documents"), good)
