@@ -37,7 +37,7 @@ def test_allowed_is_the_exact_binomial_bound(spark):
     def plain(n, risk, error):
         tail, best = 0.0, -1
         for k in range(int(n * risk) + 1):
-            tail += math.comb(n, k) * risk ** k * (1 - risk) ** (n - k)
+            tail += math.exp(math.log(math.comb(n, k)) + k * math.log(risk) + (n - k) * math.log1p(-risk))
             best = k if tail <= error else best
         return best
 
