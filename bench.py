@@ -36,6 +36,7 @@ HEADLINE = [
     "i2_upsert_by_key",                    # replace and add
     "d6_duplicate_full_rows",              # duplicates over all columns
     "t1_tumbling_hourly",                  # hourly windows over the event stream
+    "v60_wearable_insights",               # cleaned table, cohort measures, exact medians
 ]
 
 

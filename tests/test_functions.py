@@ -28,6 +28,17 @@ def test_rounding_is_decimal_half_up(spark, digits):
     assert values(spark, [abs(x) for x in xs], rnd_pos("x", digits)) == [abs(w) for w in want]
 
 
+@pytest.mark.parametrize("digits", range(7))
+def test_rounding_leaves_values_without_decimals(spark, digits):
+    inf = math.inf
+    xs = [1e13, 5e16, -1e13, -5e16, 1e300, inf, -inf, 2.0 ** 53, 4503599627370495.5]
+    got = values(spark, xs, rnd("x", digits))
+    assert got[:-1] == xs[:-1]
+    assert got[-1] == (xs[-1] if digits else 4503599627370496.0)
+    assert values(spark, [x for x in xs if x > 0], rnd_pos("x", digits)) == [g for g, x in zip(got, xs) if x > 0]
+    assert all(math.isnan(v) for f in (rnd, rnd_pos) for v in values(spark, [math.nan], f("x", digits)))
+
+
 def test_rounding_keeps_null(spark):
     assert values(spark, [None], rnd("x", 2)) == [None]
 

@@ -10,10 +10,10 @@ from vitalmart.ml import evaluation as E
 from vitalmart.ml import training as M
 from vitalmart.operators.aggregate import confusion_counts, n
 from vitalmart.plans import incremental as I
-from vitalmart.plans import reports
+from vitalmart.plans import jobs, reports
+from vitalmart.registry import QUERIES
 from vitalmart.registry.base import Tables
 from vitalmart.sources import readers, versions, writers
-from vitalmart.streaming.jobs import event_measures
 
 C = F.col
 DATA = "/root/testdata/sf0.001"
@@ -92,6 +92,13 @@ def test_snapshot_returns_all_newest_rows(spark):
     assert {r["id"]: r["risk_assessment"] for r in reports.latest_predictions(df, ["id"]).collect()} == {1: "Low", 2: "Critical"}
 
 
+def test_wearable_insights_read_the_cleaned_table_at_most_four_times(spark):
+    plan = QUERIES["v60_wearable_insights"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("Relation [") <= 4 and "scalar-subquery" not in plan
+    cleaning = jobs.clean_wearable(Tables(spark, DATA).wearable)._jdf.queryExecution().optimizedPlan().toString()
+    assert cleaning.count("Relation [") <= 4 and "scalar-subquery" not in cleaning
+
+
 # ---- streams ---------------------------------------------------------------
 @pytest.fixture(scope="module")
 def event_files(spark):
@@ -100,27 +107,75 @@ def event_files(spark):
     return path, spark.read.parquet(path).schema
 
 
+def _daily(spark, folder, schema, every=1):
+    stream = T.open_stream(spark, folder, schema, files_per_batch=every, event_time="ts")
+    return T.daily(stream, "ts", {"events": n()}, ["event_type"])
+
+
+def _want_daily(spark, path):
+    rows = spark.read.parquet(path).groupBy(C("ts").cast("date").alias("day"), "event_type").count().collect()
+    return {(r["day"], r["event_type"], r["count"]) for r in rows}
+
+
+def _rows(df):
+    return {(r["day"], r["event_type"], r["events"]) for r in df.collect()}
+
+
 def test_stream_in_several_batches_equals_batch(spark, event_files):
     path, schema = event_files
-    stream = T.open_stream(spark, path, schema, files_per_batch=1, event_time="ts")
-    got = T.run_available(T.tumbling(stream, "ts", "1 day", event_measures()), "test-tumbling")
-    batch = spark.read.parquet(path).groupBy(F.date_trunc("day", "ts").alias("window_start")).agg(n().alias("events"))
-    assert {(r["window_start"], r["events"]) for r in got.collect()} == {(r["window_start"], r["events"]) for r in batch.collect()}
+    run = T.run_upsert(_daily(spark, path, schema), writers.scratch_path(spark, "t-upsert"), ["day", "event_type"], ["day"])
+    assert _rows(run.finished()) == _want_daily(spark, path)
 
 
-def test_streaming_upsert_over_batches(spark, event_files):
+def test_stopped_stream_resumes_where_it_was(spark, event_files):
     path, schema = event_files
-    stream = T.open_stream(spark, path, schema, files_per_batch=2, event_time="ts")
-    totals = stream.groupBy("event_type").agg(n().alias("events"))
-    got = {r["event_type"]: r["events"] for r in T.run_upsert(totals, "test-upsert-stream", ["event_type"]).collect()}
-    want = {r["event_type"]: r["count"] for r in spark.read.parquet(path).groupBy("event_type").count().collect()}
-    assert got == want
+    files = sorted(spark.read.parquet(path).inputFiles())
+    inbox, target, checkpoint = (writers.scratch_path(spark, x) for x in ("t-inbox", "t-target", "t-checkpoint"))
+    move = lambda some: spark.read.schema(schema).parquet(*some).write.mode("append").parquet(inbox)
+    start = lambda: T.run_upsert(_daily(spark, inbox, schema), target, ["day", "event_type"], ["day"], checkpoint)
+    move(files[:2])
+    first = _rows(start().finished())
+    move(files[2:])
+    run = start()
+    second = _rows(run.finished())
+    assert first < second or len(first) < len(second)
+    assert second == _want_daily(spark, path)
+    assert run.query.lastProgress is None or run.query.lastProgress["batchId"] > 1
+
+
+def test_interval_run_can_be_read_and_stopped(spark, event_files):
+    path, schema = event_files
+    stream = T.open_stream(spark, path, schema, event_time="ts")
+    collect = lambda b: b.agg(n().alias("events"))
+    run = T.run_metrics_collection(stream, writers.scratch_path(spark, "t-interval"), collect, "events bigint", every="1 second")
+    assert run.read().count() >= 0 and run.query.isActive
+    run.query.processAllAvailable()
+    assert run.stop().agg(F.sum("events")).first()[0] == spark.read.parquet(path).count()
+    assert not run.query.isActive
+
+
+def test_windows_beyond_the_watermark_ignore_late_rows(spark):
+    inbox, target = writers.scratch_path(spark, "t-late"), writers.scratch_path(spark, "t-late-out")
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    add = lambda rows: spark.createDataFrame(rows, "ts timestamp_ntz, v int").coalesce(1).write.mode("append").parquet(inbox)
+
+    def run():
+        stream = T.open_stream(spark, inbox, "ts timestamp_ntz, v int", event_time="ts")
+        return T.run_append(T.tumbling(stream, "ts", "1 hour", {"n": n()}, lateness="2 hours"), target).finished()
+
+    add([(at(1, 0), 1), (at(1, 1), 1)])
+    run()
+    add([(at(1, 0), 2), (at(1, 9), 1)])  # late by less than two hours against what was seen
+    run()
+    add([(at(1, 1), 3), (at(1, 20), 1)])  # its window is closed
+    got = {(r["window_start"].hour, r["n"]) for r in run().collect()}
+    assert {x for x in got if x[0] < 2} == {(0, 2), (1, 1)}
 
 
 def test_metrics_collection_keeps_one_set_per_batch(spark, event_files):
     path, schema = event_files
     stream = T.open_stream(spark, path, schema, files_per_batch=1, event_time="ts")
-    out = T.run_metrics_collection(stream, "test-metrics", lambda b: b.agg(n().alias("events")))
+    out = T.run_metrics_collection(stream, writers.scratch_path(spark, "t-metrics"), lambda b: b.agg(n().alias("events")), "events bigint").finished()
     files = len(spark.read.parquet(path).inputFiles())
     assert out.count() == files and out.agg(F.sum("events")).first()[0] == spark.read.parquet(path).count()
 
@@ -128,7 +183,7 @@ def test_metrics_collection_keeps_one_set_per_batch(spark, event_files):
 def test_copies_inside_the_watermark_are_dropped(spark, event_files):
     path, schema = event_files
     s = lambda: T.open_stream(spark, path, schema, event_time="ts")
-    out = T.run_available(T.clean_stream(s().unionByName(s()), "event_id", "ts", {}), "test-dedupe", "append")
+    out = T.run_append(T.clean_stream(s().unionByName(s()), "event_id", "ts", {}), writers.scratch_path(spark, "t-dedupe")).finished()
     assert out.count() == spark.read.parquet(path).count()
 
 

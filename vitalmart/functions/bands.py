@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +58,26 @@ def first_match(rules: list[tuple[Column, object]], default: object) -> Column:
     return chain if default is None else chain.otherwise(_lit(default))
 
 
+_COMPARE = {">=": Column.__ge__, ">": Column.__gt__, "<=": Column.__le__, "<": Column.__lt__}
+
+
+def holds(rules: list[list[tuple[str, str, float]]]) -> Column:
+    """Any rule holds, a rule being limits that all hold; unknown ones do not count beside a true one."""
+    one = lambda rule: reduce(and_, [_COMPARE[op](F.col(c), F.lit(limit)) for c, op, limit in rule])
+    return reduce(or_, [one(rule) for rule in rules])
+
+
+def level(ladder: list[tuple[str, list]], default: str) -> Column:
+    """Label of the first level whose rules hold."""
+    return first_match([(holds(rules), label) for label, rules in ladder], default)
+
+
+def step_points(steps: list[tuple[str, list[tuple[str, float, float]]]]) -> Column:
+    """Sum over measures of the points of the first step that holds, as double."""
+    parts = [first_match([(_COMPARE[op](F.col(c), F.lit(limit)), float(p)) for op, limit, p in rungs], 0.0) for c, rungs in steps]
+    return reduce(lambda x, y: x + y, parts)
+
+
 def _lit(value: object) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 

@@ -17,22 +17,29 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# From here on a scaled double has no fraction left to round.
+_WHOLE = float(2 ** 53)
+
+
 def rnd(x: Column | str, digits: int) -> Column:
     """Round half away from zero to ``digits`` decimals, as double.
 
     Plain double arithmetic instead of ``round``: Spark's ``round`` on doubles
-    builds a BigDecimal from the printed number for every row.
+    builds a BigDecimal from the printed number for every row. Values too large to
+    have such decimals, infinities and NaN stay as they are.
     """
     x = col(x).cast("double")
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5 + _TIE_SLACK * scale)) / F.lit(scale)
+    size = F.abs(x) * F.lit(scale)
+    return F.when(size < F.lit(_WHOLE), F.signum(x) * F.floor(size + F.lit(0.5 + _TIE_SLACK * scale)) / F.lit(scale)).otherwise(x)
 
 
 def rnd_pos(x: Column | str, digits: int) -> Column:
-    """rnd for x >= 0. x appears once, which keeps wide projections below the
-    size HotSpot still compiles (8000 bytes of bytecode per method)."""
+    """rnd for x >= 0, in fewer operations: wide projections must stay below the size HotSpot
+    still compiles (8000 bytes of bytecode per method)."""
+    x = col(x).cast("double")
     scale = float(10 ** digits)
-    return F.floor(col(x).cast("double") * F.lit(scale) + F.lit(0.5 + _TIE_SLACK * scale)) / F.lit(scale)
+    return F.when(x < F.lit(_WHOLE / scale), F.floor(x * F.lit(scale) + F.lit(0.5 + _TIE_SLACK * scale)) / F.lit(scale)).otherwise(x)
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
@@ -71,6 +78,7 @@ def sort_bucket(x: Column | str, per_octave: int = 4096) -> Column:
     need no statistics, are the same on every retry, and split any value range
     into at least ``per_octave`` parts per doubling. log2 may be off by one step
     next to a power of two; the piecewise-linear form gives the same bucket then.
+    Both infinities have buckets of their own, and NaN has the highest, as in sorting.
     """
     x = col(x).cast("double")
     size = F.abs(x)
@@ -78,5 +86,7 @@ def sort_bucket(x: Column | str, per_octave: int = 4096) -> Column:
     mantissa = size / F.pow(F.lit(2.0), exponent.cast("double"))
     bucket = ((exponent + F.lit(1100)) * F.lit(per_octave)
               + F.floor((mantissa - F.lit(1.0)) * F.lit(float(per_octave)))).cast("bigint")
-    return (F.when(x > 0, bucket).when(x < 0, -bucket)
-            .when(x == 0, F.lit(0).cast("bigint")))
+    edge = lambda v: F.lit(v).cast("bigint")
+    infinite = float("inf")
+    return (F.when(F.isnan(x), edge(2 ** 62)).when(x == infinite, edge(2 ** 61)).when(x == -infinite, edge(-2 ** 61))
+            .when(x > 0, bucket).when(x < 0, -bucket).when(x == 0, edge(0)))

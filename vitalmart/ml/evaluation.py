@@ -41,11 +41,13 @@ def weighted_metrics(confusion: DataFrame, digits: int = 6) -> DataFrame:
 def evaluate(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     """One metrics row: areas under ROC and PR, accuracy, weighted precision/recall, F1.
 
-    Predictions feed three passes, so they are kept while the metrics are made.
+    Rows without prediction or label have nothing to compare and are left out. The curves
+    have a point per score (no bins). Predictions feed three passes, so they are kept while
+    the metrics are made.
     """
-    kept = predictions.select(label, "rawPrediction", "prediction").persist()
+    kept = predictions.where(C("prediction").isNotNull() & C(label).isNotNull()).select(label, "rawPrediction", "prediction").persist()
     try:
-        areas = {name: BinaryClassificationEvaluator(labelCol=label, metricName=metric).evaluate(kept)
+        areas = {name: BinaryClassificationEvaluator(labelCol=label, metricName=metric, numBins=0).evaluate(kept)
                  for name, metric in (("auc_roc", "areaUnderROC"), ("auc_pr", "areaUnderPR"))}
         row = weighted_metrics(confusion_counts(kept, label, "prediction")).first()
     finally:

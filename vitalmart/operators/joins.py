@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from vitalmart.functions.numeric import col, flag
 
-# Largest band table that is sent to every executor; beyond it the join is
-# made on shared bins.
-MAX_BROADCAST_ROWS = 10_000
+# Bins a band table is cut into; they reach every task as one row.
+BAND_BINS = 128
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
@@ -65,24 +64,23 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return marked.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def band_join(df: DataFrame, bands: DataFrame, x: str, lo: str, hi: str, how: str = "left",
-              bin_width: float | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def band_join(df: DataFrame, bands: DataFrame, x: str, lo: str, hi: str, how: str = "left", bins: int = BAND_BINS) -> DataFrame:
     """Rows with the band [lo, hi) that holds x; bands must not overlap.
 
-    A band table up to max_broadcast_rows rows is counted, then broadcast. A
-    larger one is joined on shared bins of ``bin_width``: equal-key shuffle, then
-    the exact test, no all-pairs step.
+    Bins are cut at quantiles of the lower ends, at most ``bins`` of them, and reach all tasks
+    as one row. A band stands in every bin it touches: without overlaps that adds at most one
+    row per bin, and open ends (infinity) are ordinary values. Rows meet bands on equal bins
+    and the exact test follows, the same way for any size of the band table.
     """
     value = F.col(x).cast("double")
     inside = (value >= F.col(lo)) & (value < F.col(hi))
-    if bands.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return df.join(F.broadcast(bands), inside, how)
-    if not bin_width:
-        raise ValueError("a band table this large needs bin_width")
-    first, last = (F.floor(F.col(c) / F.lit(bin_width)).cast("bigint") for c in (lo, hi))
-    binned = bands.withColumn("_band_bin", F.explode(F.sequence(first, last)))
-    bin_of = F.floor(value / F.lit(bin_width)).cast("bigint")
-    return df.join(binned, (bin_of == F.col("_band_bin")) & inside, how).drop("_band_bin")
+    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
+    cuts = bands.agg(F.array_distinct(F.percentile_approx(F.col(lo).cast("double"), shares, 10 * bins)).alias("_cuts"))
+    bin_of = lambda v: F.coalesce(F.size(F.filter("_cuts", lambda c: c <= v)), F.lit(0))
+    binned = bands.crossJoin(F.broadcast(cuts)).withColumn("_band_bin", F.explode(F.sequence(
+        bin_of(F.col(lo).cast("double")), F.greatest(bin_of(F.col(lo).cast("double")), bin_of(F.col(hi).cast("double")))))).drop("_cuts")
+    rows = df.crossJoin(F.broadcast(cuts)).withColumn("_row_bin", bin_of(value)).drop("_cuts")
+    return rows.join(binned, (F.col("_row_bin") == F.col("_band_bin")) & inside, how).drop("_band_bin", "_row_bin")
 
 
 def half_open(bands: list[tuple], names: list[str], spark) -> DataFrame:

@@ -46,7 +46,3 @@ def pick_keys(docs: DataFrame, json_col: str, picks: dict[str, str]) -> DataFram
 def pivot_free_counts(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
     """Counts of a category with its share, one row per level."""
     return report(df, [key], {"row_count": n()}, {"share_pct": ("row_count", digits)})
-
-
-def mean_of(df: DataFrame, x: str, digits: int) -> Column:
-    return df.agg(rnd(F.avg(x), digits).alias("v")).scalar()

@@ -87,11 +87,11 @@ def empty_rows_and_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(n_if(all_null).alias("empty_rows"), filled.cast("bigint").alias("empty_columns"))
 
 
-def layer_report(df: DataFrame, layer: str, skip: list[str] = (), means: int = 5) -> DataFrame:
-    """Long quality rows of a layer: rows, columns, missing % per column, first means."""
+def layer_report(df: DataFrame, layer: str, skip: list[str] = ()) -> DataFrame:
+    """Long quality rows of a layer: rows, columns, missing % per column, mean of each numeric column."""
     types = dict(df.dtypes)
     watched = [c for c in df.columns if c not in skip]
-    numeric = [c for c in watched if types[c] in ("int", "bigint", "double", "float")][:means]
+    numeric = [c for c in watched if types[c] in ("int", "bigint", "double", "float")]
     metrics = {"total_records": n(), "total_columns": F.lit(len(df.columns))}
     metrics |= {f"{c}_missing_pct": rate(missing(c, types[c]), 2) for c in watched}
     metrics |= {f"{c}_mean": mean(c, 4) for c in numeric}

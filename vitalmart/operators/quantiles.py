@@ -1,10 +1,10 @@
 """Exact percentiles that no single task has to hold.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here values
-are counted first (partial sums run map-side), spread over order-preserving
-buckets, and only the buckets that hold a wanted rank are looked into. A group
-holding a third of all rows is spread like any other: the shuffle key contains
-the value itself.
+``percentile`` keeps every distinct value of a group in one buffer. Here the first
+pass only counts order-preserving buckets, which partial sums shrink to a few
+thousand rows per task before the shuffle. The buckets that hold a wanted rank are
+then looked into by a second pass over the column; no other value is shuffled
+by value. A group holding a third of all rows is spread like any other.
 """
 
 from __future__ import annotations
@@ -16,42 +16,38 @@ from vitalmart.functions.numeric import sort_bucket
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                      narrow: bool = False) -> DataFrame:
+                      narrow: bool = False, few_keys: bool = False) -> DataFrame:
     """Interpolated percentiles of ``value`` per key, one column per entry of ``probs``.
 
-    NULL values are ignored; keys without any value do not appear. ``narrow`` is
-    for values whose range is small against their size (epoch times): buckets are
-    then taken from the distance to the smallest value, at the price of one more
-    pass over the column.
+    NULL values are ignored; keys without any value do not appear. NaN counts as the
+    largest value, as in sorting. ``narrow`` is for values whose range is small against
+    their size (epoch times): buckets are then taken from the distance to the smallest
+    value, at the price of one more pass over the column. ``few_keys`` says that the keys
+    are bounded by code, not by data (names of columns or bands): the wanted buckets, at
+    most two per key and percentile, then go to all tasks. Otherwise Spark chooses the join.
     """
-    # the bucket is declared non-NULL: otherwise the join below adds a NULL test to
-    # one of its two inputs and they no longer share one shuffle
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     place = F.col("_v")
     if narrow:
-        place = place - df.agg(F.min(F.col(value).cast("double")).alias("least")).scalar()
-    bucket = F.coalesce(sort_bucket(place), F.lit(0).cast("bigint"))
-    counts = (df.where(F.col(value).isNotNull())
-              .select(*keys, F.col(value).cast("double").alias("_v"))
-              .groupBy(*keys, bucket.alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n")))
+        rows = rows.crossJoin(F.broadcast(df.agg(F.min(F.col(value).cast("double")).alias("_least"))))
+        place = place - F.col("_least")
+    rows = rows.select(*keys, "_v", F.coalesce(sort_bucket(place), F.lit(0).cast("bigint")).alias("_b"))
 
     # one row per bucket: its first and last rank within the key (0-based)
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     whole_key = Window.partitionBy(*keys)
-    buckets = (counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
+    buckets = (rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
                .select(*keys, "_b", (F.sum("_bn").over(by_bucket) - F.col("_bn")).alias("_before"), "_bn",
                        F.sum("_bn").over(whole_key).alias("_total")))
     ranks = {name: F.col("_total").cast("double").__sub__(1.0) * F.lit(float(p)) for name, p in probs.items()}
     edges: list[Column] = [f(r).cast("bigint") for r in ranks.values() for f in (F.floor, F.ceil)]
     holds_rank = F.exists(F.array(*edges), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_bn")))
-    wanted = buckets.where(holds_rank).select(*keys, "_b", "_before", "_total")
+    wanted = buckets.where(holds_rank).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_b").alias("_of_b"), "_before", "_total")
+    if few_keys or not keys:
+        wanted = F.broadcast(wanted)
 
-    if keys:
-        cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
-        cond.append(F.col("c._b") == F.col("w._b"))
-    else:
-        cond = [F.col("c._b") == F.col("w._b")]
-    inside = counts.alias("c").join(wanted.alias("w"), cond).select(
-        *[F.col(f"c.{k}").alias(k) for k in keys], "c._b", "c._v", "c._n", "w._before", "w._total")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys] + [F.col("_b") == F.col("_of_b")]
+    inside = rows.join(wanted, same).groupBy(*keys, "_b", "_v", "_before", "_total").agg(F.count(F.lit(1)).alias("_n"))
 
     order = Window.partitionBy(*keys, "_b").orderBy("_v")
     ranked = (inside.withColumn("_end", F.col("_before") + F.sum("_n").over(order))
@@ -65,8 +61,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         measures += [at(F.floor(r).cast("bigint")).alias(f"_{name}_lo"), at(F.ceil(r).cast("bigint")).alias(f"_{name}_hi"),
                      F.max(r - F.floor(r)).alias(f"_{name}_w")]
     picked = ranked.groupBy(*keys).agg(*measures)
+    # differences of infinities are undefined, so they are weighed; equal ends need neither
+    lo, hi, w = ((lambda n, e=e: F.col(f"_{n}_{e}")) for e in ("lo", "hi", "w"))
+    endless = lambda n: (F.abs(lo(n)) == float("inf")) | (F.abs(hi(n)) == float("inf"))
     return picked.select(*keys, *[
-        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_w")).alias(n) for n in probs])
+        F.when((lo(n) == hi(n)) | (w(n) == 0), lo(n)).when(endless(n), lo(n) * (1 - w(n)) + hi(n) * w(n))
+        .otherwise(lo(n) + (hi(n) - lo(n)) * w(n)).alias(n) for n in probs])
 
 
 def percentiles_of_columns(df: DataFrame, columns: list[str], probs: dict[str, float],
@@ -79,4 +79,4 @@ def percentiles_of_columns(df: DataFrame, columns: list[str], probs: dict[str, f
     picked = df.select(*[F.when(where[c], F.col(c)).otherwise(F.lit(None)).cast("double").alias(c) if c in where
                          else F.col(c).cast("double").alias(c) for c in columns])
     long = picked.unpivot([], columns, "column_name", "_value")
-    return exact_percentiles(long, ["column_name"], "_value", probs)
+    return exact_percentiles(long, ["column_name"], "_value", probs, few_keys=True)

@@ -1,8 +1,8 @@
 """Imputation, outlier handling and scaling from whole-table statistics.
 
-Statistics are one aggregate row read through a scalar subquery: the plan stays
-lazy, all statistics of a step cost one pass, and nothing visits the driver
-program.
+Statistics are one aggregate row that a broadcast join adds to every row: the plan stays
+lazy, all statistics of a step cost one pass, nothing visits the driver program, and no
+expression repeats the plan that makes them.
 """
 
 from __future__ import annotations
@@ -16,41 +16,36 @@ from .quantiles import percentiles_of_columns
 
 
 def scalar_struct(stats: DataFrame) -> Column:
-    """A one-row table as a struct-valued scalar subquery."""
+    """A one-row table as a struct-valued scalar subquery, for expressions that name it once."""
     return stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("s")).scalar()
 
 
-def with_stats(df: DataFrame, name: str, stats: Column) -> DataFrame:
-    """df with the struct as a helper column.
-
-    Expressions then read the column: naming the subquery in each of them would
-    plan it once per mention.
-    """
-    return df.withColumn(name, stats)
+def with_stats(df: DataFrame, name: str, stats: DataFrame) -> DataFrame:
+    """df with the one row of ``stats`` as a struct column."""
+    return df.crossJoin(F.broadcast(stats.select(F.struct(*stats.columns).alias(name))))
 
 
-def global_stats(df: DataFrame, **measures: Column) -> Column:
-    return scalar_struct(df.agg(*[c.alias(n) for n, c in measures.items()]))
+def global_stats(df: DataFrame, **measures: Column) -> DataFrame:
+    return df.agg(*[c.alias(n) for n, c in measures.items()])
 
 
 def column_percentiles(df: DataFrame, columns: list[str], probs: dict[str, float], *, exact: bool,
-                       accuracy: int = 10000, where: dict[str, Column] | None = None) -> Column:
-    """Struct with one field per column, each holding a struct of percentiles.
+                       accuracy: int = 10000, where: dict[str, Column] | None = None) -> DataFrame:
+    """One row with a field per column, each holding a struct of percentiles.
 
     exact=False uses the mergeable sketch (bounded memory, returns members of
     the data); exact=True the distributed interpolated percentiles.
     """
     if exact:
         rows = percentiles_of_columns(df, columns, probs, where)
-        one = rows.agg(*[F.max(F.when(F.col("column_name") == c, F.struct(*probs))).alias(c) for c in columns])
-        return scalar_struct(one)
+        return rows.agg(*[F.max(F.when(F.col("column_name") == c, F.struct(*probs))).alias(c) for c in columns])
     where = where or {}
     parts = []
     for c in columns:
         x = F.when(where[c], F.col(c)) if c in where else F.col(c)
         q = F.percentile_approx(x, list(probs.values()), accuracy)
         parts.append(F.struct(*[q[i].alias(n) for i, n in enumerate(probs)]).alias(c))
-    return scalar_struct(df.agg(*parts))
+    return df.agg(*parts)
 
 
 def impute(df: DataFrame, mean: list[str] = (), median: list[str] = (), constant: dict[str, object] | None = None,
@@ -108,19 +103,16 @@ def outliers_to_null(df: DataFrame, columns: list[str], exact: bool = False, k:
 def outlier_report(df: DataFrame, columns: list[str], k: float = 1.5, digits: int = 2) -> DataFrame:
     """One row per column: quartiles, fences, outlier count and percentage.
 
-    Counts come from (column, value) counts, so the table is scanned once for
-    the quartiles and once, pre-aggregated, for the counts.
+    Rows are counted against the fences where they are read; no value is shuffled for it.
     """
     quartiles = percentiles_of_columns(df, columns, {"q1": 0.25, "q3": 0.75})
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v")
-    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - F.lit(k) * iqr, F.col("q3") + F.lit(k) * iqr
-    outside = F.sum(F.when((F.col("v") < lo) | (F.col("v") > hi), F.col("n")).otherwise(F.lit(0)))
+    outside = F.count_if((F.col("v") < lo) | (F.col("v") > hi))
     # quartiles has one row per column name: bounded by the schema, safe to broadcast
-    return (counts.join(F.broadcast(quartiles), "column_name")
-            .groupBy("column_name", "q1", "q3").agg(outside.cast("bigint").alias("outliers_count"),
-                                                    F.sum("n").alias("rows"))
+    return (long.join(F.broadcast(quartiles), "column_name")
+            .groupBy("column_name", "q1", "q3").agg(outside.alias("outliers_count"), F.count(F.lit(1)).alias("rows"))
             .select("column_name", "q1", "q3", iqr.alias("iqr"), lo.alias("lower_bound"), hi.alias("upper_bound"),
                     "outliers_count", pct("outliers_count", "rows", digits).alias("outliers_percentage")))
 

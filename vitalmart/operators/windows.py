@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalmart.functions.numeric import rnd, sort_bucket
+from vitalmart.functions.numeric import rnd
+from vitalmart.sources.writers import staged
 
 
 def trailing_mean(x: Column | str, order: str, rows: int, digits: int, by: list[str] | None = None) -> Column:
@@ -32,28 +33,23 @@ def fill_days(daily: DataFrame, day: str) -> DataFrame:
 
 
 def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "row_number") -> DataFrame:
-    """1-based row number per ``by`` in the given order.
+    """1-based row number per ``by`` in the given order, of columns of any sortable type.
 
-    The leading order column must be numeric, a date or a time stamp. Rows are
-    numbered inside order-preserving buckets and shifted by the rows before the
-    bucket, so one huge file is numbered by many tasks. Time stamps are counted
-    from the first one: buckets are relative to the size of a number, and epoch
-    microseconds of one day would all share one.
+    Rows are dealt by ranges of (by, order, hash of the row), so one huge file, one day or one
+    NULL is numbered by many tasks. The dealt rows are written once; the rows of a file
+    before each range are then added to the numbers inside it. NULL comes first, NaN last; rows
+    equal in all order columns follow their hash, so a retry numbers them alike.
     """
-    lead = F.col(order[0])
-    kind = dict(df.dtypes)[order[0]]
-    if kind == "date":
-        lead = F.unix_date(lead)
-    elif kind in ("timestamp", "timestamp_ntz"):
-        micros = F.unix_micros(lead.cast("timestamp"))
-        lead = micros - df.agg(F.min(micros).alias("first")).scalar()
-    bucketed = df.withColumn("_b", F.coalesce(sort_bucket(lead), F.lit(-(2 ** 62))))
-    sizes = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    before = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_b").alias("_by_b"), (
-        F.sum("_bn").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_bn")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
+    tie = F.xxhash64(*df.columns)
+    dealt = df.withColumn("_tie", tie).repartitionByRange(*by, *order, "_tie").withColumn("_part", F.spark_partition_id())
+    dealt = staged(dealt, "numbered")
+    # one row per file and range
+    sizes = dealt.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of_part"), (
+        F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order, "_tie"))
     # NULL is a file of its own, so keys are compared NULL-safe
-    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_b") == F.col("_by_b")]
-    return (bucketed.withColumn("_rn", inside).join(before, same)
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_part") == F.col("_of_part")]
+    return (dealt.withColumn("_rn", inside).join(before, same)
             .withColumn(out, (F.col("_before") + F.col("_rn")).cast("bigint"))
             .select(*df.columns, out))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import recode
@@ -26,15 +26,31 @@ def newest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_r").getField(c).alias(c) for c in rest]).select(*df.columns)
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Target with changed rows replaced and new rows added. ``changes`` has one row per key."""
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df unchanged; the job fails if a key has several rows."""
+    rows = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    alone = F.assert_true(F.col("_n") == 1, F.lit(f"several changes of one key ({', '.join(keys)}): name their order"))
+    return rows.where(alone.isNull()).drop("_n")
+
+
+def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Target with changed rows replaced and new rows added.
+
+    Of several changes of one key the one with the largest ``order`` counts; without an
+    order such changes are an error, as none of them is the right one.
+    """
+    changes = newest_per_key(changes, keys, order) if order else one_per_key(changes, keys)
     untouched = target.join(changes.select(*keys), keys, "left_anti")
     return untouched.unionByName(changes.select(*target.columns))
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Target plus the rows whose key it lacks; the first of equal new keys is any one."""
-    fresh = rows.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
+    """Target plus the rows whose key it lacks; of new rows with one key the smallest counts,
+    column by column, so a retry keeps the same."""
+    rest = [c for c in rows.columns if c not in keys]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, *[F.col("_r")[c].alias(c) for c in rest]) if rest \
+        else rows.distinct()
+    fresh = first.join(target.select(*keys).distinct(), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -46,16 +62,17 @@ def append_new(source: DataFrame, target_path: str, key: str, partition_by: list
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target_path)
 
 
-def upsert_partitions(changes: DataFrame, target_path: str, keys: list[str], partition_by: list[str]) -> None:
+def upsert_partitions(changes: DataFrame, target_path: str, keys: list[str], partition_by: list[str], schema=None) -> None:
     """Upsert into a Parquet table partitioned by part of its key.
 
     Reads only the partitions the changes touch (a semi-join Spark turns into
-    partition pruning) and rewrites only those.
+    partition pruning) and rewrites only those. ``schema`` is that of a table that may
+    still be empty.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key, or a changed row could stay in two partitions")
     spark = changes.sparkSession
-    old = spark.read.parquet(target_path)
+    old = (spark.read.schema(schema) if schema else spark.read).parquet(target_path)
     touched = changes.select(*partition_by).distinct()
     merged = upsert(old.join(touched, partition_by, "left_semi"), changes, keys)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target_path)

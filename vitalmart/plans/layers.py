@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalmart.functions.bands import band, first_match, recode
+from vitalmart.functions.bands import band, first_match, holds, level, recode, step_points
 from vitalmart.functions.numeric import clamp, clamp_ignoring_null, col, fold_sum, rnd_pos
 from vitalmart.functions.reuse import per_context
 from vitalmart.functions.scores import (additive_quality, all_hold, any_flag, completeness, deviation_score,
@@ -137,10 +137,7 @@ def silver_categories(df: DataFrame) -> DataFrame:
 
 
 def risk_points() -> Column:
-    g, b, a = C("glucose"), C("bmi"), C("age")
-    return points([(g >= 126, 3, 0), ((g >= 100) & (g < 126), 2, 0), (b >= 30, 2, 0), ((b >= 25) & (b < 30), 1, 0),
-                   (a >= 65, 2, 0), ((a >= 50) & (a < 65), 1, 0), (C("pregnancies") > 5, 1, 0),
-                   (C("diabetes_pedigree_function") > 0.5, 1, 0)])
+    return step_points(R.POINT_STEPS)
 
 
 def risk_category() -> Column:
@@ -148,14 +145,6 @@ def risk_category() -> Column:
 
 
 # ---- gold ------------------------------------------------------------------
-def _any(*conds: Column) -> Column:
-    """True when one condition is true; unknown ones do not count."""
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
-
-
 def gold_full(silver: DataFrame) -> DataFrame:
     """Wide gold features of valid silver rows; ``outcome`` becomes ``diabetes``."""
     base = silver.where("is_valid").withColumnRenamed("outcome", "diabetes")
@@ -172,27 +161,14 @@ def gold_columns() -> dict[str, Column]:
         "insulin_category": F.when(ins == 0, F.lit(R.INSULIN_NOT_MEASURED)).otherwise(band(ins, R.INSULIN_LEVELS)),
         "pregnancies_category": band(preg, R.PREGNANCY_PARITY),
         "risk_score": weighted_score([(clamp_ignoring_null(C(c) / F.lit(d)), w) for c, d, w in R.RATIO_SCORE], digits=4),
-        "prediction": F.when(_any(g >= 126, (b >= 30) & (g >= 100), (a >= 45) & (g >= 110) & (b >= 25)), F.lit(1))
-                       .otherwise(F.lit(0)),
+        "prediction": F.when(holds(R.PREDICTION), F.lit(1)).otherwise(F.lit(0)),
         "prediction_probability": prediction_probability(),
-        "health_risk_level": first_match([
-            (_any(g >= 200, b >= 40, (g >= 180) & (b >= 35), p >= 180), "Critical"),
-            (_any(g >= 140, b >= 30, (g >= 126) & (b >= 25), (a >= 60) & (g >= 110)), "High"),
-            (_any(g >= 110, b >= 25, (a >= 45) & (g >= 100)), "Medium")], "Low"),
-        "intervention_priority": first_match([
-            (_any(g >= 200, b >= 40, p >= 180), "Immediate"), (_any(g >= 140, b >= 30, p >= 160), "Soon"),
-            (_any(g >= 110, b >= 25, p >= 140), "Routine")], "Monitor"),
-        "estimated_cost_category": first_match([
-            (_any(g >= 200, b >= 40), "Very High"), (_any(g >= 140, b >= 30), "High"),
-            (_any(g >= 110, b >= 25), "Medium")], "Low"),
-        "treatment_recommendation": first_match([
-            (g >= 200, R.TREATMENT_TEXT["glucose_200"]), (g >= 140, R.TREATMENT_TEXT["glucose_140"]),
-            (g >= 110, R.TREATMENT_TEXT["glucose_110"]), (b >= 30, R.TREATMENT_TEXT["bmi_30"])],
-            R.TREATMENT_TEXT["default"]),
-        "followup_frequency": first_match([
-            (_any(g >= 200, b >= 40), "Weekly"), (_any(g >= 140, b >= 30), "Monthly"),
-            (_any(g >= 110, b >= 25), "Quarterly")], "Annually"),
-        "specialist_referral_needed": _any(g >= 140, b >= 35, p >= 160, (g >= 126) & (preg > 0)),
+        "health_risk_level": level(R.HEALTH_RISK, R.HEALTH_RISK_DEFAULT),
+        "intervention_priority": level(R.INTERVENTION, R.INTERVENTION_DEFAULT),
+        "estimated_cost_category": level(R.COST, R.COST_DEFAULT),
+        "treatment_recommendation": level(R.TREATMENT, R.TREATMENT_DEFAULT),
+        "followup_frequency": level(R.FOLLOWUP, R.FOLLOWUP_DEFAULT),
+        "specialist_referral_needed": holds(R.REFERRAL),
         **sub_scores(),
         "age_percentile": rnd_pos(a / F.lit(100.0), 4),
         "risk_percentile": rnd_pos(F.least(F.lit(1.0), (g / 126.0 + b / 40.0) / 2), 4),
@@ -237,7 +213,7 @@ def gold_features(silver: DataFrame) -> DataFrame:
         "glucose_category": band(g, R.GLUCOSE_140),
         "risk_score": F.when(g.isNull() | b.isNull() | a.isNull(), F.lit(0.0))
                        .otherwise(rnd_pos(F.least(F.lit(1.0), capped), 2)),
-        "high_risk_flag": F.coalesce(_any((g > 140) & (b > 30), g > 160, b > 35, (a > 60) & (g > 120)), F.lit(False)),
+        "high_risk_flag": F.coalesce(holds(R.HIGH_RISK), F.lit(False)),
     })
 
 

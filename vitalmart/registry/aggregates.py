@@ -125,12 +125,16 @@ def _(t):
     return out.select("event_type", rnd("median_second", 3).alias("median_second"), rnd("late_second", 3).alias("late_second"))
 
 
-@query("a10_approx_percentiles", None)
-def _(t):
-    """Rows-only: sketch percentiles return members of the data."""
-    q = F.percentile_approx("l_extendedprice", list(_P.values()), 10000)
-    return A.report(t.lineitem, ["l_returnflag"], {"q": q}).select(
-        "l_returnflag", *[C("q")[i].alias(k) for i, k in enumerate(_P)])
+@query("a10_approx_percentiles", "SELECT l_returnflag, " + ", ".join(f"true AS {k}_within_bound" for k in _P) + " FROM lineitem GROUP BY l_returnflag")
+def _(t):
+    """Sketch percentiles, each held against its rank bound (1 / accuracy of the rows) by a count."""
+    accuracy, value = 10_000, C("l_extendedprice")
+    sketch = A.report(t.lineitem, ["l_returnflag"], {"q": F.percentile_approx(value, list(_P.values()), accuracy)})
+    counts = t.lineitem.join(sketch, "l_returnflag").groupBy("l_returnflag").agg(A.n().alias("total"), *[
+        c for i, k in enumerate(_P) for c in (F.count_if(value < C("q")[i]).alias(f"{k}_below"), F.count_if(value <= C("q")[i]).alias(f"{k}_upto"))])
+    slack = C("total") / accuracy + 1
+    return counts.select("l_returnflag", *[((C(f"{k}_below") <= C("total") * p + slack) & (C(f"{k}_upto") >= C("total") * p - slack)).alias(
+        f"{k}_within_bound") for k, p in _P.items()])
 
 
 _PROF = ["glucose", "bmi", "age", "blood_pressure"]

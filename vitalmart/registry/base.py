@@ -20,7 +20,6 @@ ORACLES: dict[str, str] = {}
 EARLY = dt.date(1995, 1, 2)
 EARLY_TS = dt.datetime(1995, 1, 2)
 MIDDLE = dt.date(1998, 7, 15)
-MIDDLE_TS = dt.datetime(1998, 7, 15, 12, 0, 0)
 
 
 class Tables:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from vitalmart.functions.numeric import clamp, ratio, rnd
+from vitalmart.functions.numeric import clamp, ratio, rnd, rnd_pos
 from vitalmart.functions.scores import (fixed_zscore, logistic_score, scaled_product, tags, weighted_score)
 from vitalmart.functions.udf import register_sql_functions
 from vitalmart.operators import statistics as st
@@ -36,6 +36,16 @@ def _(t):
         ratio(size, size - 25).alias("guarded"))
 
 
+@query("f1_rounding_of_large_sums", "WITH s AS (SELECT o_orderstatus, SUM(CAST(o_totalprice AS DOUBLE)) AS total FROM orders GROUP BY o_orderstatus) SELECT"
+       " o_orderstatus, total * 1e10 AS rounded_0, total * 1e10 AS rounded_6, -total * 1e10 AS rounded_4, " + S.r("total / 1e3", 2) + " AS small FROM s")
+def _(t):
+    """Sums above 1e16 have no decimals left: rounding returns them as they are."""
+    total = t.orders.groupBy("o_orderstatus").agg(F.sum(C("o_totalprice").cast("double")).alias("total"))
+    big = C("total") * 1e10
+    return total.select("o_orderstatus", rnd_pos(big, 0).alias("rounded_0"), rnd(big, 6).alias("rounded_6"), rnd(-big, 4).alias("rounded_4"),
+                        rnd(C("total") / 1e3, 2).alias("small"))
+
+
 @query("f2_null_functions", """
     SELECT c_custkey, COALESCE(CASE WHEN c_acctbal > 0 THEN c_acctbal END, 0e0) AS balance,
            NULLIF(c_mktsegment, 'MACHINERY') AS segment, NULLIF(c_mktsegment, 'MACHINERY') IS NULL AS is_gap FROM customer""")

@@ -76,12 +76,11 @@ def _(t):
 
 @query("j5_range_join_binned", "SELECT p_size, p_retailprice, floor(p_retailprice / 50e0) * 50e0 AS band_lo FROM part")
 def _(t):
-    """The path for band tables too large to broadcast: shared bins, then the exact test."""
+    """A band table derived from the data, met on shared bins."""
     size = t.part.agg(F.min("p_retailprice").alias("lo"), F.max("p_retailprice").alias("hi"))
     bands = size.select(F.explode(F.sequence(F.floor(C("lo") / 50), F.floor(C("hi") / 50))).alias("b")).select(
         (C("b") * 50.0).alias("band_lo"), (C("b") * 50.0 + 50.0).alias("band_hi"))
-    out = J.band_join(t.part.select("p_size", "p_retailprice"), bands, "p_retailprice", "band_lo", "band_hi", "inner", 25.0,
-                      max_broadcast_rows=0)
+    out = J.band_join(t.part.select("p_size", "p_retailprice"), bands, "p_retailprice", "band_lo", "band_hi", "inner")
     return out.select("p_size", "p_retailprice", "band_lo")
 
 
@@ -118,13 +117,12 @@ def _(t):
     return d.withColumn("ma7", W.trailing_mean("v", "day", 7, 4))
 
 
-@query("w2_trailing_mean_calendar", "WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS v FROM orders WHERE o_totalprice > 400000"
-       " GROUP BY 1), s AS (SELECT CAST(unnest(generate_series((SELECT MIN(day) FROM d)::TIMESTAMP, (SELECT MAX(day) FROM d)::TIMESTAMP,"
+@query("w2_trailing_mean_calendar", "WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS v FROM orders GROUP BY 1), s AS (SELECT CAST(unnest(generate_series((SELECT MIN(day) FROM d)::TIMESTAMP, (SELECT MAX(day) FROM d)::TIMESTAMP,"
        " INTERVAL 1 DAY)) AS DATE) AS day), f AS (SELECT day, COALESCE(v, 0) AS v FROM s LEFT JOIN d USING (day)) SELECT day, v, "
        + S.r("AVG(v) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4) + " AS ma7 FROM f")
 def _(t):
     """Missing days filled first, so seven rows are seven days."""
-    d = A.report(t.orders.where(C("o_totalprice") > 400000), {"day": C("o_orderdate").cast("date")}, {"v": A.n()})
+    d = A.report(t.orders, {"day": C("o_orderdate").cast("date")}, {"v": A.n()})
     full = W.fill_days(d, "day").withColumn("v", F.coalesce("v", F.lit(0).cast("bigint")))
     return full.withColumn("ma7", W.trailing_mean("v", "day", 7, 4))
 

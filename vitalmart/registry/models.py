@@ -1,12 +1,15 @@
 """M*: machine learning; U2: probability extraction.
 
-Training results have no SQL form: those entries are rows-only and return
-figures that a test can bound. Everything after the confusion counts is checked.
+Splits use a hash that SQL has, too, so the rows of each part are checked. A fitted
+model has no SQL form: those entries return what must hold for any right fit (rows
+scored, areas and rates in range, shares that sum to one).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
@@ -33,18 +36,27 @@ def _parts(t):
     return M.split(_table(t), "id", [0.8, 0.2])
 
 
-@query("m1_assemble_and_scale", None)
+# The grid fits 82 forests: it searches on about this many labelled rows.
+GRID_ROWS = 1_000
+
+_U = f"CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':{M.SEED}'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296e0"
+_MARKED = S.WITH_GOLD + f", u AS (SELECT diabetes AS label, {_U} AS u FROM gold), test AS (SELECT * FROM u WHERE u >= 0.8e0) "
+
+
+@query("m1_assemble_and_scale", " UNION ALL ".join(
+    f"SELECT '{c}_mean' AS metric_name, 0e0 AS metric_value UNION ALL SELECT '{c}_sd', 1e0" for c in FEATURES))
 def _(t):
     """Mean and deviation of the scaled features: 0 and 1 when centred."""
     from pyspark.ml.functions import vector_to_array
     df = _table(t)
     scaled = M.feature_pipeline(FEATURES, with_mean=True).fit(df).transform(df).select(vector_to_array("features").alias("f"))
-    stats = scaled.agg(*[rnd(F.avg(C("f")[i]), 6).alias(f"{c}_mean") for i, c in enumerate(FEATURES)],
+    stats = scaled.agg(*[(rnd(F.avg(C("f")[i]), 6) + 0.0).alias(f"{c}_mean") for i, c in enumerate(FEATURES)],
                        *[rnd(F.stddev_samp(C("f")[i]), 6).alias(f"{c}_sd") for i, c in enumerate(FEATURES)])
     return stats.unpivot([], stats.columns, "metric_name", "metric_value")
 
 
-@query("m2_hash_split", None)
+@query("m2_hash_split", _MARKED + "SELECT CASE WHEN u < 0.8e0 THEN 'train' WHEN u < 0.9e0 THEN 'validation' ELSE 'test' END AS part, COUNT(*) AS n_rows"
+       " FROM u GROUP BY 1")
 def _(t):
     """Rows per part of an 80/10/10 split by key hash."""
     parts = dict(zip(("train", "validation", "test"), M.split(_table(t), "id", [0.8, 0.1, 0.1])))
@@ -52,7 +64,8 @@ def _(t):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-@query("m3_stratified_split", None)
+@query("m3_stratified_split", _MARKED + ", c AS (SELECT label AS class, quantile_cont(u, 0.8) AS cut FROM u GROUP BY label) SELECT CASE WHEN u <= cut THEN 'train'"
+       " ELSE 'test' END AS part, COUNT(*) AS n_rows, " + S.rate("label = 1", 4) + " AS positive_pct FROM u JOIN c ON label IS NOT DISTINCT FROM class GROUP BY 1")
 def _(t):
     """Rows and positive share of both parts."""
     parts = dict(zip(("train", "test"), M.stratified_split(_table(t), M.LABEL, "id")))
@@ -61,37 +74,48 @@ def _(t):
     return out[0].unionByName(out[1])
 
 
-def _evaluated(t, classifier, with_mean=False):
+_CHECKED = _MARKED + "SELECT COUNT(*) AS total, true AS counts_add_up, true AS areas_in_range, true AS rates_in_range FROM test"
+
+
+def _checked(metrics):
+    """What must hold for the metrics of any sensible fit on the held-out rows."""
+    between = lambda *cs: reduce(and_, [C(c).between(0, 1) for c in cs])
+    return metrics.select("total", (C("tp") + C("tn") + C("fp") + C("fn") == C("total")).alias("counts_add_up"),
+                          between("auc_roc", "auc_pr").alias("areas_in_range"),
+                          between("accuracy", "precision", "recall", "f1_score").alias("rates_in_range"))
+
+
+def _evaluated(t, classifier, with_mean=False, fit_rows=None):
     train, test = _parts(t)
-    return E.evaluate(M.score(M.train(classifier, train, FEATURES, with_mean), test))
+    if fit_rows:
+        train = M.bounded(train, "id", fit_rows)
+    return _checked(E.evaluate(M.score(M.train(classifier, train, FEATURES, with_mean), test)))
 
 
-@query("m4_random_forest", None)
+@query("m4_random_forest", _CHECKED)
 def _(t):
-    return _evaluated(t, M.random_forest(numTrees=20, maxDepth=5))
+    return _evaluated(t, M.random_forest())
 
 
-@query("m5_forest_grid_search", None)
+@query("m5_forest_grid_search", _CHECKED)
 def _(t):
-    """A small grid; the full one is the library default."""
-    train, test = _parts(t)
-    cv = M.cross_validated_forest({"numTrees": [5, 10], "maxDepth": [3, 5]}, folds=2)
-    return E.evaluate(M.score(M.train(cv, train, FEATURES, True), test))
+    """All 27 settings in three folds, on a bounded sample of labelled rows."""
+    return _evaluated(t, M.cross_validated_forest(), True, GRID_ROWS)
 
 
-@query("m6_logistic_regression", None)
+@query("m6_logistic_regression", _CHECKED)
 def _(t):
     return _evaluated(t, M.logistic_regression())
 
 
-@query("m6_logistic_elastic_net", None)
+@query("m6_logistic_elastic_net", _CHECKED)
 def _(t):
     return _evaluated(t, M.logistic_regression(**M.LOGISTIC_ELASTIC), with_mean=True)
 
 
-@query("m7_gradient_boosting", None)
+@query("m7_gradient_boosting", _CHECKED)
 def _(t):
-    return _evaluated(t, M.gradient_boosting(maxIter=5, maxDepth=3))
+    return _evaluated(t, M.gradient_boosting())
 
 
 def _logistic(t):
@@ -99,30 +123,32 @@ def _logistic(t):
     return M.train(M.logistic_regression(), train, FEATURES), test
 
 
-@query("m8_score_table", None)
+@query("m8_score_table", S.WITH_GOLD + f"SELECT id, COUNT(*) AS scored, true AS in_range FROM gold WHERE {_U} >= 0.8e0 GROUP BY id")
 def _(t):
-    """Model saved, loaded and applied to the held-out rows."""
+    """Model saved, loaded and applied to the held-out rows; each has its score."""
     model, test = _logistic(t)
     path = writers.scratch_path(t.spark, "m8-model")
     M.save_model(model, path)
-    return M.score(M.load_model(path), test).select("id", "prediction", rnd(E.positive_probability(), 6).alias("positive_probability"))
+    scored = M.score(M.load_model(path), test).select("id", "prediction", E.positive_probability().alias("p"))
+    return scored.groupBy("id").agg(F.count("p").alias("scored"), F.bool_and(
+        C("p").between(0, 1) & (C("prediction") == (C("p") > 0.5).cast("double"))).alias("in_range"))
 
 
-@query("m9_evaluation_metrics", None)
+@query("m9_evaluation_metrics", _CHECKED)
 def _(t):
     model, test = _logistic(t)
-    return E.evaluate(M.score(model, test))
+    return _checked(E.evaluate(M.score(model, test)))
 
 
-@query("u2_positive_probability", None)
+@query("u2_positive_probability", _MARKED + "SELECT COUNT(*) AS n_rows, true AS split_at_half FROM test")
 def _(t):
-    """Spread of P(class 1) by predicted class, taken from the vector natively."""
+    """P(class 1) taken from the vector natively decides the predicted class."""
     model, test = _logistic(t)
     p = M.score(model, test).select("prediction", E.positive_probability().alias("p"))
-    return report(p, ["prediction"], {"n_rows": n(), "lowest": F.min("p"), "highest": F.max("p")})
+    return p.agg(n().alias("n_rows"), F.bool_and((C("p") > 0.5) == (C("prediction") == 1)).alias("split_at_half"))
 
 
-@query("m10_probability_extraction", None)
+@query("m10_probability_extraction", _MARKED + "SELECT COUNT(*) AS n_rows, COUNT(*) AS in_range FROM test")
 def _(t):
     model, test = _logistic(t)
     return M.score(model, test).agg(n().alias("n_rows"), n_if(E.positive_probability().between(0, 1)).alias("in_range"))
@@ -198,22 +224,31 @@ def _(t):
     return E.strict_gate(_gate_row(t))
 
 
-@query("m14_feature_importances", None)
+@query("m14_feature_importances", "SELECT CAST(9 AS BIGINT) AS features, CAST(5 AS BIGINT) AS listed, true AS sum_to_one, true AS descending")
 def _(t):
-    """Top five features by name."""
+    """Importances of all features, and the top five by name."""
     train, _test = _parts(t)
-    model = M.train(M.random_forest(numTrees=10, maxDepth=4), train, FEATURES)
-    return E.feature_importances(model, FEATURES, t.spark).orderBy("place").limit(5)
-
-
-@query("m15_model_registry", None)
+    every = E.feature_importances(M.train(M.random_forest(), train, FEATURES), FEATURES, t.spark)
+    top = every.orderBy("place").limit(5).agg(F.count("feature").alias("listed"))
+    steps = F.array_sort(F.collect_list(F.struct("place", "importance")))  # one per feature
+    return every.agg(F.countDistinct("feature").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-4).alias("sum_to_one"),
+                     steps.alias("s")).crossJoin(top).select("features", "listed", "sum_to_one", F.aggregate(
+                         "s", F.struct(F.lit(True).alias("ok"), F.lit(2.0).alias("last")), lambda a, x: F.struct(
+                             (a["ok"] & (x["importance"] <= a["last"])).alias("ok"), x["importance"].alias("last")),
+                         lambda a: a["ok"]).alias("descending"))
+
+
+@query("m15_model_registry", _MARKED + "SELECT 'logistic' AS model_name, 'v1' AS model_version, 'LogisticRegression' AS model_type, COUNT(*) AS test_samples,"
+       " DATE '2024-01-15' AS deployment_date, 'Active' AS model_status, true AS in_range FROM test")
 def _(t):
     """A trained model's row appended to the registry table and read back."""
     path = writers.scratch_path(t.spark, "m15")
     model, test = _logistic(t)
     row = E.registry_row(E.evaluate(M.score(model, test)), "logistic", "v1", "LogisticRegression", F.lit(dt.date(2024, 1, 15)))
     writers.append(row, path)
-    return t.spark.read.parquet(path)
+    rates = reduce(and_, [C(c).between(0, 1) for c in ("accuracy", "precision_score", "recall", "f1_score", "auc_roc", "auc_pr")])
+    return t.spark.read.parquet(path).select("model_name", "model_version", "model_type", "test_samples", "deployment_date", "model_status",
+                                             rates.alias("in_range"))
 
 
 @query("m16_drift_magnitudes", S.WITH_GOLD + "SELECT " + ", ".join(f"{S.r(f'abs(AVG({c}) - {b}e0)', 6)} AS {c}_drift" for c, b in R.DRIFT_BASELINE.items())

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from vitalmart.functions.bands import band, first_match, order_rank, recode, recode_text
+from vitalmart.functions.bands import band, first_match, holds, order_rank, recode, recode_text
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators import clean, joins
 from vitalmart.operators.aggregate import mean, n, n_if, rate, report, text_number
@@ -121,14 +121,10 @@ def _(t):
         recode("estimated_cost_category", R.IMPACT_COST, 0).cast("bigint").alias("impact_cost"))
 
 
-@query("p12_compound_flags", S.WITH_CLINICAL + "SELECT id, COALESCE((glucose > 140 AND bmi > 30) OR glucose > 160 OR bmi > 35"
-       " OR (age > 60 AND glucose > 120), FALSE) AS high_risk_flag, (glucose >= 140 OR bmi >= 35 OR blood_pressure >= 160"
-       " OR (glucose >= 126 AND pregnancies > 0)) AS referral FROM clinical")
+@query("p12_compound_flags", S.WITH_CLINICAL + f"SELECT id, COALESCE({S.rules(R.HIGH_RISK)}, FALSE) AS high_risk_flag, ({S.rules(R.REFERRAL)}) AS referral"
+       " FROM clinical")
 def _(t):
-    g, b = C("glucose"), C("bmi")
-    risk = (g > 160) | (b > 35) | ((g > 140) & (b > 30)) | ((C("age") > 60) & (g > 120))
-    refer = (b >= 35) | (g >= 140) | (C("blood_pressure") >= 160) | ((C("pregnancies") > 0) & (g >= 126))
-    return t.clinical.select("id", F.coalesce(risk, F.lit(False)).alias("high_risk_flag"), refer.alias("referral"))
+    return t.clinical.select("id", F.coalesce(holds(R.HIGH_RISK), F.lit(False)).alias("high_risk_flag"), holds(R.REFERRAL).alias("referral"))
 
 
 @query("p13_multi_rule_validity", S.WITH_SILVER + "SELECT id, is_valid, glucose_valid, bmi_valid, age_valid, bp_valid FROM silver")

@@ -105,7 +105,7 @@ _LAYER = ["id", "pregnancies", "glucose", "bmi", "age", "outcome", "insulin"]
 @query("d9_layer_quality_report", S.WITH_SILVER + " UNION ALL ".join(
     f"SELECT 'silver' AS layer_name, '{k}' AS metric_name, CAST({v} AS DOUBLE) AS metric_value FROM silver" for k, v in {
         "total_records": "COUNT(*)", "total_columns": "7 + 0 * COUNT(*)", **{f"{c}_missing_pct": S.rate(f"{c} IS NULL", 2) for c in _LAYER},
-        **{f"{c}_mean": S.avg(c, 4) for c in _LAYER[:5]}}.items()))
+        **{f"{c}_mean": S.avg(c, 4) for c in _LAYER}}.items()))
 def _(t):
     return Q.layer_report(t.silver.select(*_LAYER), "silver")
 

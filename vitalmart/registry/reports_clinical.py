@@ -11,6 +11,7 @@ from vitalmart.functions.numeric import rnd
 from vitalmart.operators.aggregate import most_common, value_distribution
 from vitalmart.plans import jobs, reports, samples
 from vitalmart.rules import clinical as R
+from vitalmart.sources.writers import staged
 
 from . import sql as S
 from .base import query
@@ -249,7 +250,8 @@ _RISKY = "health_risk_category IN ('High_Risk', 'Critical_Risk')"
     "stddev_heart_rate": S.sd("heart_rate", 2), "avg_bmi": S.avg("bmi_calculated", 2), "high_risk_count": S.cnt(_RISKY),
     "high_risk_percentage": S.rate(_RISKY, 2), "median_heart_rate": S.r("quantile_cont(heart_rate, 0.5)", 6)}, "people"))
 def _(t):
-    out = reports.wearable_insights(jobs.clean_wearable(t.wearable), ["gender", "health_risk_category"])
+    people = staged(jobs.clean_wearable(t.wearable), "wearable")  # read three times
+    out = reports.wearable_insights(people, ["gender", "health_risk_category"])
     return out.withColumn("median_heart_rate", rnd("median_heart_rate", 6))
 
 

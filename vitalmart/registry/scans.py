@@ -73,7 +73,7 @@ def _(t):
                                  {"clinical": CLINICAL_RAW, "personal_health": WEARABLE_RAW},
                                  {"clinical": R.COLUMN_NAMES, "personal_health": R.WEARABLE_COLUMN_NAMES})
     folder = {"clinical": "diabetes_batch.csv", "personal_health": "personal_health_batch.csv"}
-    parts = [df.where(C("file_name").startswith("part-") & C("age").isNotNull()).agg(n().alias("n_rows")).select(
+    parts = [df.agg(n().alias("n_rows")).select(
         F.lit(name).alias("target"), "n_rows", F.lit(folder[name]).alias("folder")) for name, df in sorted(tables.items())]
     return parts[0].unionByName(parts[1])
 
@@ -171,7 +171,7 @@ def _(t):
                            F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested"), "row_number")
 
 
-@query("s17_model_save_load", None)
+@query("s17_model_save_load", S.WITH_CLINICAL + "SELECT COUNT(*) AS scaled_rows FROM clinical")
 def _(t):
     """A feature pipeline fitted, saved under a time-stamped name, loaded by newest version, applied to all rows."""
     from vitalmart.ml.training import feature_pipeline, load_model, save_model
@@ -205,15 +205,11 @@ def _(t):
 
 @query("s20_bucketed_layout", "SELECT c_mktsegment, COUNT(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def _(t):
-    """Two tables bucketed on the join key: the join needs no shuffle."""
-    import uuid
-    tag = uuid.uuid4().hex[:8]
-    t.spark.conf.set("spark.sql.legacy.createHiveTableByDefault", "false")
-    for name, df, key in ((f"vm_orders_{tag}", t.orders.select("o_custkey"), "o_custkey"),
-                          (f"vm_customer_{tag}", t.customer.select("c_custkey", "c_mktsegment"), "c_custkey")):
-        path = writers.scratch_path(t.spark, name)
-        df.write.format("parquet").bucketBy(4, key).sortBy(key).option("path", path).saveAsTable(name)
-    o, c = t.spark.table(f"vm_orders_{tag}"), t.spark.table(f"vm_customer_{tag}")
+    """Two tables bucketed on the join key into as many buckets as a shuffle has partitions: the
+    join needs no shuffle. Writing again replaces the tables."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    o = writers.write_bucketed(t.orders.select("o_custkey"), "vitalmart_orders_by_customer", ["o_custkey"], buckets)
+    c = writers.write_bucketed(t.customer.select("c_custkey", "c_mktsegment"), "vitalmart_customer_by_key", ["c_custkey"], buckets)
     return report(o.join(c, o["o_custkey"] == c["c_custkey"]), ["c_mktsegment"], {"orders": n()})
 
 

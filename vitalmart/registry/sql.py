@@ -92,6 +92,15 @@ def points(pairs: list[tuple[str, float]]) -> str:
     return " + ".join(f"(CASE WHEN {c} THEN {float(p)}e0 ELSE 0e0 END)" for c, p in pairs)
 
 
+def rules(alternatives: list[list[tuple[str, str, float]]]) -> str:
+    """Rules kept as data, as SQL."""
+    return " OR ".join("(" + " AND ".join(f"{c} {op} {limit}" for c, op, limit in rule) + ")" for rule in alternatives)
+
+
+def levels(ladder: list[tuple[str, list]], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {rules(alternatives)} THEN {q(label)}" for label, alternatives in ladder) + f" ELSE {q(default)} END"
+
+
 # ---- the clinical table and its layers -------------------------------------
 CLINICAL = """clinical AS (
   SELECT l_orderkey * 8 + l_linenumber AS id,
@@ -149,32 +158,17 @@ _gold = {
     "insulin_category": f"CASE WHEN insulin = 0 THEN {q(R.INSULIN_NOT_MEASURED)} ELSE {ladder('insulin', R.INSULIN_LEVELS)} END",
     "pregnancies_category": ladder("pregnancies", R.PREGNANCY_PARITY),
     "risk_score": r(_ratio, 4),
-    "prediction": "CASE WHEN glucose >= 126 OR (glucose >= 100 AND bmi >= 30) OR (glucose >= 110 AND bmi >= 25 AND age >= 45)"
-                  " THEN 1 ELSE 0 END",
+    "prediction": f"CASE WHEN {rules(R.PREDICTION)} THEN 1 ELSE 0 END",
     "prediction_probability": r(
         "LEAST(1e0, glucose / 126e0 * 0.3e0 + (CASE WHEN bmi > 25 THEN (bmi - 25) / 15e0 * 0.25e0 ELSE 0e0 END)"
         " + age / 100e0 * 0.2e0 + diabetes_pedigree_function * 0.15e0"
         " + (CASE WHEN blood_pressure > 140 THEN 0.1e0 ELSE 0e0 END))", 4),
-    "health_risk_level":
-        "CASE WHEN blood_pressure >= 180 OR bmi >= 40 OR glucose >= 200 OR (bmi >= 35 AND glucose >= 180) THEN 'Critical'"
-        " WHEN bmi >= 30 OR glucose >= 140 OR (bmi >= 25 AND glucose >= 126) OR (glucose >= 110 AND age >= 60) THEN 'High'"
-        " WHEN bmi >= 25 OR glucose >= 110 OR (glucose >= 100 AND age >= 45) THEN 'Medium' ELSE 'Low' END",
-    "intervention_priority":
-        "CASE WHEN bmi >= 40 OR glucose >= 200 OR blood_pressure >= 180 THEN 'Immediate'"
-        " WHEN bmi >= 30 OR glucose >= 140 OR blood_pressure >= 160 THEN 'Soon'"
-        " WHEN bmi >= 25 OR glucose >= 110 OR blood_pressure >= 140 THEN 'Routine' ELSE 'Monitor' END",
-    "estimated_cost_category":
-        "CASE WHEN bmi >= 40 OR glucose >= 200 THEN 'Very High' WHEN bmi >= 30 OR glucose >= 140 THEN 'High'"
-        " WHEN bmi >= 25 OR glucose >= 110 THEN 'Medium' ELSE 'Low' END",
-    "treatment_recommendation":
-        f"CASE WHEN glucose >= 200 THEN {q(R.TREATMENT_TEXT['glucose_200'])} WHEN glucose >= 140 THEN"
-        f" {q(R.TREATMENT_TEXT['glucose_140'])} WHEN glucose >= 110 THEN {q(R.TREATMENT_TEXT['glucose_110'])}"
-        f" WHEN bmi >= 30 THEN {q(R.TREATMENT_TEXT['bmi_30'])} ELSE {q(R.TREATMENT_TEXT['default'])} END",
-    "followup_frequency":
-        "CASE WHEN bmi >= 40 OR glucose >= 200 THEN 'Weekly' WHEN bmi >= 30 OR glucose >= 140 THEN 'Monthly'"
-        " WHEN bmi >= 25 OR glucose >= 110 THEN 'Quarterly' ELSE 'Annually' END",
-    "specialist_referral_needed":
-        "(bmi >= 35 OR glucose >= 140 OR blood_pressure >= 160 OR (pregnancies > 0 AND glucose >= 126))",
+    "health_risk_level": levels(R.HEALTH_RISK, R.HEALTH_RISK_DEFAULT),
+    "intervention_priority": levels(R.INTERVENTION, R.INTERVENTION_DEFAULT),
+    "estimated_cost_category": levels(R.COST, R.COST_DEFAULT),
+    "treatment_recommendation": levels(R.TREATMENT, R.TREATMENT_DEFAULT),
+    "followup_frequency": levels(R.FOLLOWUP, R.FOLLOWUP_DEFAULT),
+    "specialist_referral_needed": f"({rules(R.REFERRAL)})",
     "metabolic_syndrome_risk": r("(bmi / 50e0 + glucose / 200e0 + blood_pressure / 200e0"
                                  " + (CASE WHEN insulin = 0 THEN 0.2e0 ELSE 0e0 END)) / 4e0", 4),
     "cardiovascular_risk": r("(age / 100e0 + blood_pressure / 200e0 + bmi / 50e0 + diabetes_pedigree_function) / 4e0", 4),
@@ -193,8 +187,7 @@ _gold = {
 }
 GOLD_NAMES = list(_gold)
 GOLD = ("gold AS (SELECT *, outcome AS diabetes, " + ", ".join(f"{e} AS {n}" for n, e in _gold.items())
-        + ", " + lookup("(CASE WHEN bmi >= 40 OR glucose >= 200 THEN 'Very High' WHEN bmi >= 30 OR glucose >= 140 THEN"
-                        " 'High' WHEN bmi >= 25 OR glucose >= 110 THEN 'Medium' ELSE 'Low' END)",
+        + ", " + lookup(f"({levels(R.COST, R.COST_DEFAULT)})",
                         R.ANNUAL_COST, R.ANNUAL_COST_OTHER) + " AS annual_cost FROM silver WHERE is_valid)")
 
 WITH_CLINICAL = f"WITH {CLINICAL} "
@@ -212,15 +205,11 @@ _capped = " + ".join(f"{c} / {d}e0 * {w}e0" for c, d, w in R.CAPPED_SCORE)
 FEATURES = (f"features AS (SELECT *, {ladder('age', R.AGE_DECADES)} AS age_group, {ladder('bmi', R.BMI_SIMPLE)} AS bmi_category,"
             f" {ladder('glucose', R.GLUCOSE_140)} AS glucose_category,"
             f" CASE WHEN glucose IS NULL OR bmi IS NULL OR age IS NULL THEN 0e0 ELSE {r(f'LEAST(1e0, {_capped})', 2)} END AS risk_score,"
-            " COALESCE((glucose > 140 AND bmi > 30) OR glucose > 160 OR bmi > 35 OR (age > 60 AND glucose > 120), FALSE)"
-            " AS high_risk_flag FROM basic WHERE is_valid)")
+            f" COALESCE({rules(R.HIGH_RISK)}, FALSE) AS high_risk_flag FROM basic WHERE is_valid)")
 WITH_FEATURES = f"WITH {CLINICAL}, {BASIC}, {FEATURES} "
 
-_pts = ("(CASE WHEN glucose >= 126 THEN 3 WHEN glucose >= 100 THEN 2 ELSE 0 END"
-        " + CASE WHEN bmi >= 30 THEN 2 WHEN bmi >= 25 THEN 1 ELSE 0 END"
-        " + CASE WHEN age >= 65 THEN 2 WHEN age >= 50 THEN 1 ELSE 0 END"
-        " + CASE WHEN pregnancies > 5 THEN 1 ELSE 0 END"
-        " + CASE WHEN diabetes_pedigree_function > 0.5 THEN 1 ELSE 0 END)")
+_pts = "(" + " + ".join("CASE " + " ".join(f"WHEN {c} {op} {limit} THEN {p}" for op, limit, p in rungs) + " ELSE 0 END"
+                         for c, rungs in R.POINT_STEPS) + ")"
 RISK_POINTS = _pts
 CATEGORIES = (f"categories AS (SELECT *, CASE WHEN {_pts} >= 6 THEN 'High' WHEN {_pts} >= 3 THEN 'Medium' ELSE 'Low' END"
               f" AS risk_category, {ladder('bmi', R.BMI_SIMPLE)} AS bmi_category, {ladder('age', R.AGE_RANGES)} AS age_group,"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from vitalmart import streaming as T
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators.aggregate import mean, metric_rows, n, n_if
-from vitalmart.streaming.jobs import PRESSURE_LIMITS, error_rate, event_measures
+from vitalmart.sources.writers import scratch_path
+from vitalmart.streaming.jobs import PRESSURE_LIMITS, event_measures
 
 from . import sql as S
 from .base import query
@@ -36,20 +37,31 @@ def _tumbling_sql(unit: str, span: str) -> str:
         "events": S.cnt(), "errors": S.cnt("event_type = 'error'"), "avg_value": S.avg("value", 6)}, "events")
 
 
+def _target(t, name):
+    return scratch_path(t.spark, name)
+
+
+def _windows(t, every, name, start=None):
+    """Windows upserted as they change, in partitions by day."""
+    windows = T.tumbling(_events(t), "ts", every, event_measures(), start=start)
+    windows = windows.withColumn("day", C("window_start").cast("date"))
+    run = T.run_upsert(windows, _target(t, name), ["day", "window_start"], ["day"])
+    return _text(run.finished().drop("day"), "window_start", "window_end")
+
+
 @query("t1_tumbling_hourly", _tumbling_sql("hour", "1 HOUR"))
 def _(t):
-    return _text(T.run_available(T.tumbling(_events(t), "ts", "1 hour", event_measures()), "t1-hour"), "window_start", "window_end")
+    return _windows(t, "1 hour", "t1-hour")
 
 
 @query("t1_tumbling_daily", _tumbling_sql("day", "1 DAY"))
 def _(t):
-    return _text(T.run_available(T.tumbling(_events(t), "ts", "1 day", event_measures()), "t1-day"), "window_start", "window_end")
+    return _windows(t, "1 day", "t1-day")
 
 
 @query("t1_tumbling_weekly", _tumbling_sql("week", "7 DAY"))
 def _(t):
-    weekly = T.tumbling(_events(t), "ts", "7 days", event_measures(), start="4 days")
-    return _text(T.run_available(weekly, "t1-week"), "window_start", "window_end")
+    return _windows(t, "7 days", "t1-week", start="4 days")
 
 
 @query("t2_sliding_alerts", "WITH x AS (SELECT ts, event_type, unnest(range(24)) AS back FROM events), w AS (SELECT date_trunc('hour', ts) -"
@@ -58,8 +70,11 @@ def _(t):
        " '%Y-%m-%d %H:%M:%S') AS window_end, events, current_value, CASE WHEN current_value > 22 THEN 'Critical' ELSE 'Warning' END AS alert_level"
        " FROM a WHERE current_value > 20")
 def _(t):
-    alerts = T.sliding_alerts(_events(t), "ts", "24 hours", "1 hour", error_rate(), 22.0, 20.0)
-    return _text(T.run_available(alerts, "t2"), "window_start", "window_end")
+    """Hourly sums come from the stream; the overlapping windows are made of these few rows."""
+    hours = T.tumbling(_events(t), "ts", "1 hour", {"events": n(), "errors": n_if(C("event_type") == "error")})
+    hours = hours.withColumn("day", C("window_start").cast("date"))
+    sums = T.run_upsert(hours, _target(t, "t2"), ["day", "window_start"], ["day"]).finished()
+    return _text(T.sliding_alerts(sums, "window_start", ("events", "errors"), 24, 22.0, 20.0), "window_start", "window_end")
 
 
 @query("t3_metrics_collection", "SELECT 'events' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM events UNION ALL SELECT 'avg_value', "
@@ -67,25 +82,26 @@ def _(t):
 def _(t):
     collect = lambda batch: metric_rows(batch, {"events": n(), "avg_value": mean("value", 6),
                                                 "errors": n_if(C("event_type") == "error")})
-    return T.run_metrics_collection(_events(t), "t3", collect).select("metric_name", "metric_value")
+    run = T.run_metrics_collection(_events(t), _target(t, "t3"), collect, "metric_name string, metric_value double")
+    return run.finished().select("metric_name", "metric_value")
 
 
 @query("t4_streaming_cleaning", "SELECT event_id, event_type, CASE WHEN value >= 1 AND value <= 200 THEN value END AS value FROM events")
 def _(t):
     """Every event arrives twice; the copy is dropped inside the watermark."""
     twice = _events(t).unionByName(_events(t))
-    return T.run_available(T.clean_stream(twice, "event_id", "ts", PRESSURE_LIMITS), "t4", "append").select(
+    return T.run_append(T.clean_stream(twice, "event_id", "ts", PRESSURE_LIMITS), _target(t, "t4")).finished().select(
         "event_id", "event_type", "value")
 
 
 @query("t5_streaming_upsert", "SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS events, " + S.r("SUM(value)", 4) + " AS total FROM events GROUP BY ALL")
 def _(t):
-    daily = _events(t).groupBy(C("ts").cast("date").alias("day"), "event_type").agg(n().alias("events"), rnd(F.sum("value"), 4).alias("total"))
-    return T.run_upsert(daily, "t5", ["day", "event_type"])
+    totals = T.daily(_events(t), "ts", {"events": n(), "total": rnd(F.sum("value"), 4)}, ["event_type"])
+    return T.run_upsert(totals, _target(t, "t5"), ["day", "event_type"], ["day"]).finished()
 
 
 @query("t6_freshness_and_lag", "SELECT event_type, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS newest, " + S.r(
     "(epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(MAX(ts))) / 1e6", 3) + " AS lag_seconds FROM events GROUP BY event_type")
 def _(t):
     now = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
-    return _text(T.run_available(T.freshness(_events(t), "ts", now, ["event_type"]), "t6"), "newest")
+    return _text(T.run_complete(T.freshness(_events(t), "ts", now, ["event_type"]), _target(t, "t6")).finished(), "newest")

@@ -179,8 +179,6 @@ QUALITY_RATING = Ladder((0.70, 0.85, 0.95), ("Needs Improvement", "Acceptable",
 # Band tables: name, lowest, highest (both inclusive as published), extra value
 RISK_TABLE = [("Low Risk", 0.00, 0.30, "#28a745"), ("Moderate Risk", 0.31, 0.60, "#ffc107"),
               ("High Risk", 0.61, 0.80, "#fd7e14"), ("Critical Risk", 0.81, 1.00, "#dc3545")]
-AGE_TABLE = [("Young Adult", 18, 30), ("Adult", 31, 45), ("Middle Age", 46, 60),
-             ("Senior", 61, 80), ("Elderly", 81, 120)]
 BMI_TABLE = [("Underweight", 0.0, 18.4, 1.1), ("Normal Weight", 18.5, 24.9, 1.0), ("Overweight", 25.0, 29.9, 1.3),
              ("Obese Class I", 30.0, 34.9, 1.6), ("Obese Class II", 35.0, 39.9, 2.0),
              ("Obese Class III", 40.0, 99.9, 2.5)]
@@ -257,14 +255,55 @@ IMPACT_COST = {"High": 15000, "Medium": 8000, "Low": 3000}
 IMPACT_PREVENTION_SAVING = 25000
 LEVEL_TO_COST = {"Critical": "Very High", "High": "High", "Medium": "Medium", "Low": "Low"}
 
+# ---- rules over several measures -------------------------------------------
+# Fixed values. A level holds when any of its rules does, a rule when all its limits do:
+# (measure, comparison, limit). The first level that holds counts.
+PREDICTION = [[("glucose", ">=", 126)],
+              [("bmi", ">=", 30), ("glucose", ">=", 100)],
+              [("age", ">=", 45), ("glucose", ">=", 110), ("bmi", ">=", 25)]]
+HEALTH_RISK = [
+    ("Critical", [[("glucose", ">=", 200)], [("bmi", ">=", 40)], [("glucose", ">=", 180), ("bmi", ">=", 35)], [("blood_pressure", ">=", 180)]]),
+    ("High", [[("glucose", ">=", 140)], [("bmi", ">=", 30)], [("glucose", ">=", 126), ("bmi", ">=", 25)], [("age", ">=", 60), ("glucose", ">=", 110)]]),
+    ("Medium", [[("glucose", ">=", 110)], [("bmi", ">=", 25)], [("age", ">=", 45), ("glucose", ">=", 100)]]),
+]
+HEALTH_RISK_DEFAULT = "Low"
+INTERVENTION = [
+    ("Immediate", [[("glucose", ">=", 200)], [("bmi", ">=", 40)], [("blood_pressure", ">=", 180)]]),
+    ("Soon", [[("glucose", ">=", 140)], [("bmi", ">=", 30)], [("blood_pressure", ">=", 160)]]),
+    ("Routine", [[("glucose", ">=", 110)], [("bmi", ">=", 25)], [("blood_pressure", ">=", 140)]]),
+]
+INTERVENTION_DEFAULT = "Monitor"
+COST = [
+    ("Very High", [[("glucose", ">=", 200)], [("bmi", ">=", 40)]]),
+    ("High", [[("glucose", ">=", 140)], [("bmi", ">=", 30)]]),
+    ("Medium", [[("glucose", ">=", 110)], [("bmi", ">=", 25)]]),
+]
+COST_DEFAULT = "Low"
+FOLLOWUP = [
+    ("Weekly", [[("glucose", ">=", 200)], [("bmi", ">=", 40)]]),
+    ("Monthly", [[("glucose", ">=", 140)], [("bmi", ">=", 30)]]),
+    ("Quarterly", [[("glucose", ">=", 110)], [("bmi", ">=", 25)]]),
+]
+FOLLOWUP_DEFAULT = "Annually"
+REFERRAL = [[("glucose", ">=", 140)], [("bmi", ">=", 35)], [("blood_pressure", ">=", 160)], [("glucose", ">=", 126), ("pregnancies", ">", 0)]]
+HIGH_RISK = [[("glucose", ">", 140), ("bmi", ">", 30)], [("glucose", ">", 160)], [("bmi", ">", 35)], [("age", ">", 60), ("glucose", ">", 120)]]
+# Points of the first step that holds, per measure.
+POINT_STEPS = [
+    ("glucose", [(">=", 126, 3), (">=", 100, 2)]),
+    ("bmi", [(">=", 30, 2), (">=", 25, 1)]),
+    ("age", [(">=", 65, 2), (">=", 50, 1)]),
+    ("pregnancies", [(">", 5, 1)]),
+    ("diabetes_pedigree_function", [(">", 0.5, 1)]),
+]
+
 # ---- texts -----------------------------------------------------------------
-TREATMENT_TEXT = {
-    "glucose_200": "Immediate endocrinologist referral, insulin therapy consideration",
-    "glucose_140": "Diabetes medication, lifestyle intervention, regular monitoring",
-    "glucose_110": "Lifestyle modification, diet counseling, exercise program",
-    "bmi_30": "Weight management program, nutritionist consultation",
-    "default": "Preventive care, annual screening, healthy lifestyle maintenance",
-}
+TREATMENT = [
+    ("Immediate endocrinologist referral, insulin therapy consideration", [[("glucose", ">=", 200)]]),
+    ("Diabetes medication, lifestyle intervention, regular monitoring", [[("glucose", ">=", 140)]]),
+    ("Lifestyle modification, diet counseling, exercise program", [[("glucose", ">=", 110)]]),
+    ("Weight management program, nutritionist consultation", [[("bmi", ">=", 30)]]),
+]
+TREATMENT_DEFAULT = "Preventive care, annual screening, healthy lifestyle maintenance"
 CARE_TEXT = {
     "critical": "Immediate medical consultation required",
     "critical_plan": "Comprehensive diabetes management plan",

@@ -26,20 +26,6 @@ WEARABLE_RAW = T.StructType([
     T.StructField("Health_Score", _D), T.StructField("Medical_Conditions", _S), T.StructField("Timestamp", _S),
 ])
 
-RUN_LOG = T.StructType([
-    T.StructField("execution_id", _S), T.StructField("pipeline_name", _S), T.StructField("pipeline_stage", _S),
-    T.StructField("status", _S), T.StructField("event_time", T.TimestampType()),
-    T.StructField("records_processed", T.LongType()), T.StructField("error_message", _S),
-])
-
-MODEL_REGISTRY = T.StructType([
-    T.StructField("model_name", _S), T.StructField("model_version", _S), T.StructField("model_type", _S),
-    T.StructField("accuracy", _D), T.StructField("precision_score", _D), T.StructField("recall", _D),
-    T.StructField("f1_score", _D), T.StructField("auc_roc", _D), T.StructField("auc_pr", _D),
-    T.StructField("test_samples", T.LongType()), T.StructField("deployment_date", T.DateType()),
-    T.StructField("model_status", _S),
-])
-
 
 def clinical_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """The nine clinical measures plus key and dates, computed from order lines."""

@@ -15,6 +15,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitalmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written below the shared checkpoint folder and read back: a step others read several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_bronze(df: DataFrame, parquet_path: str, csv_path: str | None = None) -> None:
     df.write.mode("overwrite").parquet(parquet_path)
     if csv_path:
@@ -43,10 +50,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **optio
         **options).mode("append").save()
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: str | None = None) -> None:
-    """Bucketed catalog table: joins and groupings on key need no shuffle."""
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
-    (writer.sortBy(sort) if sort else writer).saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> DataFrame:
+    """Bucketed and sorted catalog table, read back: joins and groupings on the keys need no
+    shuffle when both sides have the same number of buckets."""
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", scratch_path(df.sparkSession, table)).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -82,9 +91,3 @@ def ingest_metadata(df: DataFrame, dataset: str, source: str, target: str, at: C
 def add_lineage(df: DataFrame, at: Column, dataset: str, version: str = "1.0") -> DataFrame:
     return df.withColumns({"ingestion_timestamp": at, "dataset_name": F.lit(dataset), "data_source": F.lit(dataset),
                            "ingestion_version": F.lit(version)})
-
-
-def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
-    """Make tables available to spark.sql under their names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(prefix + name)

@@ -8,18 +8,18 @@ depend on how often a batch is retried.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalmart.functions.bands import first_match
-from vitalmart.functions.numeric import rnd
-from vitalmart.operators.aggregate import n, n_if, rate
+from vitalmart.functions.numeric import pct, rnd
+from vitalmart.operators.aggregate import n, n_if
 from vitalmart.operators.clean import out_of_bounds_to_null
-from vitalmart.plans.incremental import upsert
+from vitalmart.plans.incremental import upsert_partitions
 from vitalmart.rules import clinical as R
-from vitalmart.sources.writers import scratch_path
 
 
 def open_stream(spark: SparkSession, folder: str, schema, glob: str | None = None, files_per_batch: int | None = None,
@@ -43,15 +43,27 @@ def tumbling(df: DataFrame, ts: str, every: str, measures: dict[str, Column], ke
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, *measures)
 
 
-def sliding_alerts(df: DataFrame, ts: str, span: str, step: str, measure: Column, crit: float, warn: float,
-                   lateness: str = "1 hour") -> DataFrame:
-    """Alert level of a measure over overlapping windows, Normal ones left out."""
-    found = df.withWatermark(ts, lateness).groupBy(F.window(ts, span, step).alias("w")).agg(
-        n().alias("events"), measure.alias("current_value"))
+def daily(df: DataFrame, ts: str, measures: dict[str, Column], keys: list[str], lateness: str = "2 days") -> DataFrame:
+    """Aggregates per day and keys; days older than the watermark leave the state."""
+    return tumbling(df, ts, "1 day", measures, keys, lateness).select(
+        F.col("window_start").cast("date").alias("day"), *keys, *measures)
+
+
+def sliding_alerts(sums: DataFrame, start: str, counts: tuple[str, str], hours: int, crit: float, warn: float, digits: int = 4) -> DataFrame:
+    """Alert level of a rate over windows of ``hours`` hours that begin every hour, Normal ones left out.
+
+    ``sums`` has one row per hour, so only these few rows stand in several windows;
+    ``counts`` names the rows counted and those among them that raise the rate.
+    """
+    total, bad = counts
+    begins = F.transform(F.sequence(F.lit(0), F.lit(hours - 1)), lambda h: F.col(start) - F.make_dt_interval(hours=h))
+    slid = sums.select(F.explode(begins).alias("window_start"), total, bad).groupBy("window_start").agg(
+        F.sum(total).alias("events"), F.sum(bad).alias("_bad"))
+    found = slid.withColumn("current_value", pct("_bad", "events", digits))
     v = F.col("current_value")
     level = first_match([(v > crit, "Critical"), (v > warn, "Warning")], "Normal")
-    return found.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events", "current_value",
-                        level.alias("alert_level")).where(F.col("alert_level") != "Normal")
+    return found.select("window_start", (F.col("window_start") + F.make_dt_interval(hours=F.lit(hours))).alias("window_end"), "events",
+                        "current_value", level.alias("alert_level")).where(F.col("alert_level") != "Normal")
 
 
 def clean_stream(df: DataFrame, key: str, ts: str, bounds: dict, lateness: str = "1 hour") -> DataFrame:
@@ -67,72 +79,86 @@ def freshness(df: DataFrame, ts: str, as_of: Column, keys: list[str] = ()) -> Da
 
 
 # ---- running ---------------------------------------------------------------
-def _trigger(writer, every: str | None):
-    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+@dataclass
+class Run:
+    """A started stream and its sink. The same target and checkpoint, given again, resume it."""
 
+    query: StreamingQuery
+    read: Callable[[], DataFrame]
 
-def _finish(query: StreamingQuery, every: str | None) -> StreamingQuery:
-    if every is None:
-        query.awaitTermination()
-        if query.exception():
-            raise query.exception()
-    return query
+    def finished(self) -> DataFrame:
+        """Wait for the end of the stream (availableNow, or stopped elsewhere) and read the sink."""
+        self.query.awaitTermination()
+        return self.read()
 
+    def stop(self) -> DataFrame:
+        """Stop between or within batches; a batch cut off is run again on resuming."""
+        self.query.stop()
+        return self.read()
 
-def run_available(df: DataFrame, name: str, mode: str = "complete", every: str | None = None) -> DataFrame:
-    """Run the stream and return the sink table.
 
-    complete: each batch replaces the result. append: the file sink, which
-    commits each batch exactly once.
-    """
-    spark = df.sparkSession
-    root = scratch_path(spark, name)
-    out, checkpoint = f"{root}/out", f"{root}/checkpoint"
-    if mode == "append":
-        writer = df.writeStream.format("parquet").option("path", out).outputMode("append")
-    else:
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-        writer = df.writeStream.foreachBatch(replace).outputMode("complete")
-    _finish(_trigger(writer.option("checkpointLocation", checkpoint), every).start(), every)
-    return spark.read.schema(df.schema).parquet(out)
-
-
-def run_upsert(df: DataFrame, name: str, keys: list[str], every: str | None = None) -> DataFrame:
+def _start(writer, target: str, checkpoint: str | None, every: str | None, read: Callable[[], DataFrame]) -> Run:
+    writer = writer.option("checkpointLocation", checkpoint or f"{target.rstrip('/')}-checkpoint")
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return Run(writer.start(), read)
+
+
+def _prepared(df: DataFrame, target: str, partition_by: list[str] = ()) -> Callable[[], DataFrame]:
+    """Make the sink if it is not there yet, so that it can be read before the first batch."""
+    spark, schema = df.sparkSession, df.schema
+    empty = spark.createDataFrame([], schema).write.mode("ignore")
+    (empty.partitionBy(*partition_by) if partition_by else empty).parquet(target)
+    return lambda: spark.read.schema(schema).parquet(target).select(*schema.names)
+
+
+def run_append(df: DataFrame, target: str, checkpoint: str | None = None, every: str | None = None) -> Run:
+    """Rows added to a Parquet folder, each batch exactly once."""
+    read = lambda: df.sparkSession.read.schema(df.schema).parquet(target)
+    writer = df.writeStream.format("parquet").option("path", target).outputMode("append")
+    return _start(writer, target, checkpoint, every, read)
+
+
+def run_complete(df: DataFrame, target: str, checkpoint: str | None = None, every: str | None = None) -> Run:
+    """The whole result replaced by each batch: for results of a few rows without event time."""
+    read = _prepared(df, target)
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(target)
+
+    return _start(df.writeStream.foreachBatch(replace).outputMode("complete"), target, checkpoint, every, read)
+
+
+def run_upsert(df: DataFrame, target: str, keys: list[str], partition_by: list[str], checkpoint: str | None = None,
+               every: str | None = None) -> Run:
     """Changed totals of a stateful aggregate upserted by key.
 
-    The state holds running totals, so a batch writes final values for its keys
-    and repeating it changes nothing. Versions alternate between paths named by
-    the batch; a batch reads its predecessor and writes its own.
+    The state holds running totals, so a batch writes final values for its keys and repeating it
+    changes nothing. Only the partitions a batch touches are read and rewritten; old versions
+    of them are not kept.
     """
-    spark = df.sparkSession
-    root = scratch_path(spark, name)
+    read = _prepared(df, target, partition_by)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        own = f"{root}/v{batch_id}"
-        merged = batch
-        if batch_id > 0:
-            merged = upsert(batch.sparkSession.read.parquet(f"{root}/v{batch_id - 1}"), batch, keys)
-        merged.write.mode("overwrite").parquet(own)
-        batch.sparkSession.range(1).select(F.lit(own).alias("path")).write.mode("overwrite").json(f"{root}/current")
+    def merge(batch: DataFrame, _: int) -> None:
+        kept = batch.persist()  # read three times: touched partitions, untouched rows, new rows
+        try:
+            upsert_partitions(kept, target, keys, partition_by, df.schema)
+        finally:
+            kept.unpersist()
 
-    writer = df.writeStream.foreachBatch(merge).outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
-    _finish(_trigger(writer, every).start(), every)
-    current = spark.read.schema("path string").json(f"{root}/current").first()["path"]
-    return spark.read.parquet(current)
+    return _start(df.writeStream.foreachBatch(merge).outputMode("update"), target, checkpoint, every, read)
 
 
-def run_metrics_collection(df: DataFrame, name: str, collect: Callable[[DataFrame], DataFrame], every: str | None = None) -> DataFrame:
+def run_metrics_collection(df: DataFrame, target: str, collect: Callable[[DataFrame], DataFrame], schema: str,
+                           checkpoint: str | None = None, every: str | None = None) -> Run:
     """Metric rows of each batch, kept under the batch's own partition (a retry overwrites it)."""
     spark = df.sparkSession
-    root = scratch_path(spark, name)
+    spark.createDataFrame([], f"{schema}, batch_id bigint").write.mode("ignore").partitionBy("batch_id").parquet(target)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        collect(batch).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+        collect(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
-    _finish(_trigger(writer, every).start(), every)
-    return spark.read.parquet(f"{root}/out")
+    read = lambda: spark.read.schema(f"{schema}, batch_id bigint").parquet(target)
+    return _start(df.writeStream.foreachBatch(write), target, checkpoint, every, read)
 
 
 # Measures of the event stream used by the registered streams
@@ -140,8 +166,4 @@ def event_measures() -> dict[str, Column]:
     return {"events": n(), "errors": n_if(F.col("event_type") == "error"), "avg_value": rnd(F.avg("value"), 6)}
 
 
-def error_rate() -> Column:
-    return rate(F.col("event_type") == "error", 4)
-
-
 PRESSURE_LIMITS = {"value": R.Bounds(1, 200, False)}
