@@ -109,7 +109,7 @@ def event_files(spark):
 
 def _daily(spark, folder, schema, every=1):
     stream = T.open_stream(spark, folder, schema, files_per_batch=every, event_time="ts")
-    return T.daily(stream, "ts", {"events": n()}, ["event_type"])
+    return T.daily(stream, "ts", {"events": n()}, ["event_type"], lateness="60 days")  # files come in any order
 
 
 def _want_daily(spark, path):
