@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vitalmart import streaming as T
 from vitalmart.ml import evaluation as E
 from vitalmart.ml import training as M
+from vitalmart.operators import windows
 from vitalmart.operators.aggregate import confusion_counts, n
 from vitalmart.plans import incremental as I
 from vitalmart.plans import jobs, reports
@@ -99,6 +100,32 @@ def test_wearable_insights_read_the_cleaned_table_at_most_four_times(spark):
     assert cleaning.count("Relation [") <= 4 and "scalar-subquery" not in cleaning
 
 
+def test_several_changes_of_one_key(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
+    new = spark.createDataFrame([(2, "x", 5), (2, "y", 7), (3, "z", 2)], "k int, v string, at int")
+    with pytest.raises(Exception, match="several changes of one key"):
+        I.upsert(old, new, ["k"]).collect()
+    got = {(r["k"], r["v"]) for r in I.upsert(old, new, ["k"], "at").collect()}
+    assert got == {(1, "a"), (2, "y"), (3, "z")}
+    kept = {(r["k"], r["v"]) for r in I.insert_ignore(old, new.union(spark.createDataFrame([(3, "c", 9)], new.schema)), ["k"]).collect()}
+    assert kept == {(1, "a"), (2, "b"), (3, "c")}
+
+
+def test_missing_days_are_filled(spark):
+    days = spark.createDataFrame([(dt.date(2024, 1, d), 1) for d in (1, 2, 9)], "day date, v int")
+    filled = windows.fill_days(days, "day")
+    assert filled.count() == 9 and filled.where("v is null").count() == 6
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    a = writers.write_bucketed(spark.range(500).withColumnRenamed("id", "k"), "vm_test_a", ["k"], 8)
+    b = writers.write_bucketed(spark.range(300).withColumnRenamed("id", "k"), "vm_test_b", ["k"], 8)
+    joined = a.hint("merge").join(b, "k")
+    assert joined.count() == 300
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 # ---- streams ---------------------------------------------------------------
 @pytest.fixture(scope="module")
 def event_files(spark):
@@ -210,6 +237,40 @@ def test_stratified_split_keeps_class_shares(learnable):
     assert train.count() + test.count() == 3000 and abs(share(train) - share(test)) < 0.02
 
 
+def test_rows_with_gaps_are_counted_and_keep_their_place(spark, learnable):
+    gaps = learnable.withColumn("a", F.when(C("id") % 10 == 0, F.lit(None)).when(C("id") % 10 == 1, F.lit(float("nan"))).otherwise(C("a")))
+    row = M.incomplete_counts(gaps, ["a", "b"]).first()
+    assert (row["n_rows"], row["incomplete_rows"], row["a_missing"], row["b_missing"]) == (3000, 600, 600, 0)
+    model = M.train(M.logistic_regression(), gaps, ["a", "b"])
+    scored = M.score(model, gaps)
+    assert scored.count() == 3000 and scored.where("prediction is null").count() == 600
+    assert E.evaluate(scored).first()["total"] == 2400
+
+
+def test_stratified_split_keeps_rows_without_label(spark, learnable):
+    some = learnable.withColumn(M.LABEL, F.when(C("id") % 5 > 0, C(M.LABEL)))
+    train, test = M.stratified_split(some, M.LABEL, "id")
+    assert train.count() + test.count() == 3000
+    assert 400 < train.where(C(M.LABEL).isNull()).count() < 560
+
+
+def test_single_classifiers_are_saved_and_loaded(spark, learnable):
+    model = M.train(M.random_forest(numTrees=3, maxDepth=3), learnable, ["a", "b"])
+    from pyspark.ml.feature import VectorAssembler
+    alone = M.random_forest(numTrees=3, maxDepth=3).fit(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(learnable))
+    for one, columns in ((model, None), (alone, ["a", "b"])):
+        path = writers.scratch_path(spark, "test-single")
+        M.save_model(one, path)
+        back = M.load_model(path)
+        assert type(back) is type(one)
+        assert E.evaluate(M.score(back, learnable, columns)).first()["auc_roc"] > 0.9
+
+
+def test_bounded_sample(learnable):
+    assert M.bounded(learnable, "id", 5000).count() == 3000
+    assert 380 < M.bounded(learnable, "id", 500).count() < 620
+
+
 def test_training_scoring_and_metrics(spark, learnable):
     train, test = M.split(learnable, "id", [0.8, 0.2])
     for clf in (M.logistic_regression(), M.random_forest(numTrees=5, maxDepth=4)):

@@ -133,10 +133,16 @@ def missing_report(df: DataFrame, columns: list[str] | None = None, digits: int
         for c in columns}, "column_name")
 
 
+def value_counts(df: DataFrame, keys: list[str], x: str, out: str = "n_rows") -> DataFrame:
+    """One row per key and value with its count: the form for columns of any width, as no task
+    holds a whole group. NULL values are left out."""
+    return df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(n().alias(out))
+
+
 def value_distribution(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
-    """Map value -> count per key. Counts are made before values are gathered,
-    so the map holds one entry per level of a category, not per row."""
-    counted = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(n().alias("_n"))
+    """Map value -> count per key, for categories: the map is one value and holds all levels
+    of a group. Counts are made before they are gathered. Wide columns take ``value_counts``."""
+    counted = value_counts(df, keys, x, "_n")
     entries = F.array_sort(F.collect_list(F.struct(F.col(x).alias("key"), F.col("_n").alias("value"))))
     return counted.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
 
@@ -152,7 +158,8 @@ def most_common(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
 
 
 def joined_values(x: Column | str, sep: str) -> Column:
-    """Distinct values of a category as sorted text."""
+    """Distinct values of a category as sorted text: one value that holds all levels of a group.
+    Wide columns take ``value_counts``, which lists them as rows."""
     return F.array_join(F.array_sort(F.collect_set(col(x))), sep)
 
 

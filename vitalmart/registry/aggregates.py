@@ -161,6 +161,12 @@ def _(t):
     return m.select("o_orderstatus", F.to_json("m").alias("distribution"))
 
 
+@query("a13_value_counts", "SELECT o_orderstatus, o_custkey, COUNT(*) AS n_rows FROM orders GROUP BY ALL")
+def _(t):
+    """Values and counts as rows, for a column with as many values as there are customers."""
+    return A.value_counts(t.orders, ["o_orderstatus"], "o_custkey")
+
+
 @query("a14_most_common", "WITH c AS (SELECT o_orderstatus, o_orderpriority, COUNT(*) AS k FROM orders GROUP BY ALL), r AS (SELECT *,"
        " row_number() OVER (PARTITION BY o_orderstatus ORDER BY k DESC, o_orderpriority) AS rn FROM c) SELECT o_orderstatus,"
        " o_orderpriority AS common_priority FROM r WHERE rn = 1")

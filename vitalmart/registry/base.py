@@ -56,6 +56,11 @@ class Tables:
         return layers.silver_categories(self.clinical)
 
 
+def cut(name: str, report: Callable[..., DataFrame], as_of: object) -> None:
+    """Register ``name`` once more at MIDDLE, where its look-back window leaves rows out."""
+    query(f"{name}_cut", ORACLES[name].replace(str(EARLY), str(MIDDLE)))(lambda t: report(t.gold, as_of))
+
+
 def query(name: str, sql: str | None = None):
     """Register fn(Tables) under name, with its oracle SQL if SQL can say it."""
 

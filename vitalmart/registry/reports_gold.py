@@ -11,7 +11,7 @@ from vitalmart.plans import reports, samples
 from vitalmart.rules import clinical as R
 
 from . import sql as S
-from .base import EARLY, query
+from .base import EARLY, MIDDLE, cut, query
 
 C = F.col
 SICK = "diabetes = 1"
@@ -373,3 +373,8 @@ def _(t):
 def _(t):
     return report(samples.model_performance(t.gold), ["model_id"], {
         "evaluation_count": n(), "avg_accuracy": mean("accuracy", 6), "latest_evaluation": F.max("evaluation_date")})
+
+
+for _name, _report in (("v27_clinical_risk_distribution", reports.clinical_risk_distribution), ("v33_trends_timeseries", reports.trends_timeseries),
+                       ("v36_population_health_dashboard", reports.population_health_dashboard)):
+    cut(_name, _report, MIDDLE)

@@ -12,7 +12,7 @@ from vitalmart.plans import reports, samples
 from vitalmart.rules import clinical as R
 
 from . import sql as S
-from .base import EARLY, EARLY_TS, query
+from .base import EARLY, EARLY_TS, MIDDLE, cut, query
 from .reports_clinical import JOBS
 from .reports_gold import DEEP, DEMOGRAPHIC, HIGH, PREVENT, SICK, _is, _level, _prio, _share, _since, _stamp, _text
 
@@ -312,3 +312,6 @@ def _(t):
     rows = t.gold.where(C("risk_score").isNotNull() & C("diabetes").isNotNull())
     return rows.orderBy(C("risk_score").desc(), C("id").desc(), "diabetes", "age_group").limit(1000).select(
         "risk_score", "diabetes", "age_group")
+
+
+cut("v38_alert_threshold_monitoring", reports.alert_threshold_monitoring, dt.datetime.combine(MIDDLE, dt.time()))
