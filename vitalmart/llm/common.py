@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,16 +16,23 @@ from vitalmart.sources.writers import scratch_path
 
 # Bytes split() without arguments cuts at exactly these: \x20 and \x09-\x0D.
 SPACES = "[\\x20\\x09-\\x0D]"
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df below the shared checkpoint folder and read it back.
 
     Cuts the lineage with files every executor can reach, so a lost executor costs
-    no recomputation of what came before.
+    no recomputation of what came before. The shuffle files of the write have no reader
+    after it and are removed at its end.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, "false")
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -40,10 +49,16 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, upper, upper.lower())
 
 
+def split_at_spaces(column: Column) -> Column:
+    """Parts between \\x20 and \\x09-\\x0D, empty ones included. Where the space is the only
+    separator, the split needs no regular expression, which takes half the time."""
+    others = reduce(or_, [column.contains(c) for c in "\t\n\x0b\x0c\r"])
+    return F.when(others, F.split(column, SPACES + "+")).otherwise(F.split(column, " "))
+
+
 def words_of(column: Column) -> Column:
     """The words [^\\x20\\x09-\\x0D]+ of a text as an array; NULL has none."""
-    parts = F.split(F.translate(F.coalesce(column, F.lit("")), "\t\n\x0b\x0c\r", " " * 5), " ")
-    return F.array_remove(parts, "")
+    return F.array_remove(split_at_spaces(F.coalesce(column, F.lit(""))), "")
 
 
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, words_of
+from .common import split_at_spaces, stored, words_of
 
 SKETCH_BITS = 16  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
 _LOW = 64 - SKETCH_BITS
@@ -22,25 +22,31 @@ def _let(value: Column, body) -> Column:
 
 
 def rarity(hashes: DataFrame) -> DataFrame:
-    """One row: for each bucket of token hashes (their top bits) its place when sorted by count.
+    """One row: for each bucket of token hashes (their top bits) its place when sorted by count,
+    already shifted to where the top bits stand.
 
     ``hashes`` has one row per token of a line (column h). The buckets are a fixed number, so
     the window and the array are bounded.
     """
     buckets = hashes.select(F.shiftrightunsigned("h", _LOW).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
     every = hashes.sparkSession.range(1 << SKETCH_BITS).select(F.col("id").alias("bucket"))
-    ranked = every.join(F.broadcast(buckets), "bucket", "left").select(
-        "bucket", (F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(0)), "bucket")) - 1).alias("rank"))
+    place = F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(0)), "bucket")).cast("bigint") - 1 - (1 << (SKETCH_BITS - 1))
+    ranked = every.join(F.broadcast(buckets), "bucket", "left").select("bucket", F.shiftleft(place, _LOW).alias("rank"))
     return ranked.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "rank"))), lambda x: x["rank"]).alias("ranks"))
 
 
-def _keys(tokens: Column, ranks: Column) -> Column:
+def _hashes(line: Column) -> Column:
+    """The set of a line's tokens as 64-bit hashes."""
+    parts = F.transform(split_at_spaces(F.lower(line)), lambda t: F.xxhash64(t))
+    return F.array_remove(F.array_distinct(parts), F.xxhash64(F.lit("")))
+
+
+def _keys(hashes: Column, ranks: Column) -> Column:
     """Token hashes with the top bits replaced by their bucket's rank, ascending: rare tokens
     first. Ranks permute the buckets, so no bit of the hash is lost."""
-    half = 1 << (SKETCH_BITS - 1)
-    key = lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, _LOW).cast("int")).cast("bigint") - half, _LOW).bitwiseOR(
+    key = lambda h: F.coalesce(F.get(ranks, F.shiftrightunsigned(h, _LOW).cast("int")), F.lit(0).cast("bigint")).bitwiseOR(
         h.bitwiseAND(F.lit((1 << _LOW) - 1)))
-    return F.array_sort(F.transform(tokens, lambda t: key(F.xxhash64(t))))
+    return F.sort_array(F.transform(hashes, key))
 
 
 def _signature(keys: Column) -> Column:
@@ -52,12 +58,12 @@ def _signature(keys: Column) -> Column:
 def candidates(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of line ids that pass all filters of a join at Jaccard num/den.
 
-    ``lines`` has id and tokens. Each line stands under the tokens of its prefix, the rarest
+    ``lines`` has id and hashes. Each line stands under the tokens of its prefix, the rarest
     ones: two similar lines share one there. Length, position (tokens left after the shared one) and
     signature filters are checked inside the join, so what leaves it are near matches only.
     A line's tokens meet nowhere else; verification follows.
     """
-    sized = lines.withColumn("ranks", ranks.scalar()).select("id", _keys(F.col("tokens"), F.col("ranks")).alias("keys"))
+    sized = lines.withColumn("ranks", ranks.scalar()).select("id", _keys(F.col("hashes"), F.col("ranks")).alias("keys"))
     n = F.size("keys")
     prefix = n - F.ceil(n * num / den).cast("int") + 1
     rows = sized.select("id", n.alias("n"), _signature(F.col("keys")).alias("sig"),
@@ -72,6 +78,29 @@ def candidates(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFr
     return pairs.select(x("id").alias("a"), y("id").alias("b")).distinct()
 
 
+def _confirmed(pairs: DataFrame, lines_at, num: int, den: int) -> DataFrame:
+    """(kd, th, ln) of late lines that really are like an early one, verified on words.
+
+    One match settles a line, so each late line is first held against its earliest candidate;
+    only lines this does not settle go on to all of theirs.
+    """
+    ends = pairs.select("early.kd", "early.th", "early.ln").union(pairs.select("late.kd", "late.th", "late.ln")).distinct()
+    asked = ends.groupBy("kd", "th").agg(F.collect_list("ln").alias("asked"))
+    words = stored(lines_at(asked, "asked", tokens_of), "words")
+
+    def alike(some: DataFrame) -> DataFrame:
+        for end in ("early", "late"):
+            some = some.join(words.select(*(F.col(c).alias(f"{end}_{c}") for c in words.columns)), [
+                F.col(f"{end}.{c}") == F.col(f"{end}_{c}") for c in ("kd", "th", "ln")])
+        shared = F.size(F.array_intersect("early_words", "late_words"))
+        return some.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num).select(
+            F.col("late_kd").alias("kd"), F.col("late_th").alias("th"), F.col("late_ln").alias("ln"))
+
+    settled = stored(alike(pairs.groupBy("late").agg(F.min("early").alias("early"))), "settled")
+    rest = pairs.join(settled, [F.col(f"late.{c}") == F.col(c) for c in ("kd", "th", "ln")], "left_anti")
+    return settled.union(alike(rest).distinct())
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """One row per input row: ``row`` (the input's columns), n_lines, n_removed, text (lines left).
 
@@ -93,40 +122,35 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
     firsts = stored(cut.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(F.min(order).alias("o")).select(
         "o", F.xxhash64("o.kd", "o.th", "o.ln").alias("id")), "lines")
     own = firsts.groupBy("o.kd", "o.th").agg(F.collect_list("o.ln").alias("own"))
-    ranks = stored(rarity(cut.select(F.explode(F.transform(tokens_of(F.col("line")), lambda t: F.xxhash64(t))).alias("h"))), "rarity")
+    ranks = stored(rarity(cut.select(F.explode(_hashes(F.col("line"))).alias("h"))), "rarity")
 
-    # Both paths name the same columns, so that texts are shuffled by document once.
-    once = docs.select(doc.alias("doc"), body.alias("body"), "kd", "th").withColumn(
-        "copy", F.row_number().over(Window.partitionBy("kd", "th").orderBy("kd", "th"))).where("copy = 1")
+    # A document listed several times is read once. The order names all columns, so that this and
+    # the last join ask for the same columns and can share one shuffle of the texts.
+    once = docs.withColumn("copy", F.row_number().over(Window.partitionBy("kd", "th").orderBy(
+        *(F.col("row")[c] for c in docs.schema["row"].dataType.names if c != text_col)))).where("copy = 1")
 
-    def lines_at(numbers: DataFrame, column: str) -> DataFrame:
-        """kd, th, ln, tokens of the listed lines of each document."""
-        found = _let(F.split("body", "\n"), lambda cuts: F.transform(column, lambda i: F.struct(
-            i.alias("ln"), tokens_of(F.get(cuts, i)).alias("tokens"))))
-        return once.join(numbers, ["kd", "th"]).select("kd", "th", F.explode(found).alias("l")).select("kd", "th", "l.ln", "l.tokens")
+    def lines_at(numbers: DataFrame, column: str, words) -> DataFrame:
+        """kd, th, ln, words of the listed lines of each document."""
+        found = _let(F.split(body, "\n"), lambda cuts: F.transform(column, lambda i: F.struct(
+            i.alias("ln"), words(F.get(cuts, i)).alias("words"))))
+        return once.join(numbers, ["kd", "th"]).select("kd", "th", F.explode(found).alias("l")).select("kd", "th", "l.ln", "l.words")
 
-    pairs = candidates(lines_at(own, "own").select(F.xxhash64("kd", "th", "ln").alias("id"), "tokens"), ranks, num, den)
+    hashed = lines_at(own, "own", _hashes).select(F.xxhash64("kd", "th", "ln").alias("id"), F.col("words").alias("hashes"))
+    pairs = stored(candidates(hashed, ranks, num, den), "candidates")
     place = lambda c: firsts.select(F.col("id").alias(c), F.col("o").alias(f"o{c}"))
     pairs = stored(pairs.join(place("a"), "a").join(place("b"), "b").select(
         F.least("oa", "ob").alias("early"), F.greatest("oa", "ob").alias("late")), "pairs")
-    asked = pairs.select("early.kd", "early.th", "early.ln").distinct().groupBy("kd", "th").agg(F.collect_list("ln").alias("asked"))
-    near = lines_at(asked, "asked").join(pairs.select("early.kd", "early.th", "early.ln", "late"), ["kd", "th", "ln"]).groupBy(
-        "late.kd", "late.th").agg(F.collect_list(F.struct("late.ln", "tokens")).alias("near"))
-
-    def similar(left: Column, right: Column) -> Column:
-        shared = F.size(F.array_intersect(left, right))
-        return shared * (num + den) >= (F.size(left) + F.size(right)) * num
+    gone = stored(_confirmed(pairs, lines_at, num, den), "gone").groupBy("kd", "th").agg(F.collect_list("ln").alias("gone"))
 
     def outcome(cuts: Column) -> Column:
         numbers = F.sequence(F.lit(0), F.size(cuts) - 1)
         worded = F.filter(numbers, lambda i: F.get(cuts, i).rlike(_WORD))
         again = F.array_except(worded, F.coalesce("own", F.array().cast("array<int>")))
-        like = F.transform(F.filter("near", lambda x: similar(tokens_of(F.get(cuts, x["ln"])), x["tokens"])), lambda x: x["ln"])
-        gone = F.array_union(again, F.coalesce(like, F.array().cast("array<int>")))
-        return _let(gone, lambda g: F.struct(F.size(worded).alias("n_lines"), F.size(g).alias("n_removed"), F.array_join(
+        every = F.array_union(again, F.coalesce("gone", F.array().cast("array<int>")))
+        return _let(every, lambda g: F.struct(F.size(worded).alias("n_lines"), F.size(g).alias("n_removed"), F.array_join(
             F.transform(F.array_except(numbers, g), lambda i: F.get(cuts, i)), "\n").alias("text")))
 
-    rows = docs.join(own, ["kd", "th"], "left").join(near, ["kd", "th"], "left").select(
+    rows = docs.join(own, ["kd", "th"], "left").join(gone, ["kd", "th"], "left").select(
         "row", _let(F.split(F.col("row")[text_col], "\n"), outcome).alias("out"))
     return rows.select("row", F.coalesce("out.n_lines", F.lit(0)).alias("n_lines"), F.coalesce("out.n_removed", F.lit(0)).alias("n_removed"),
                        F.when(F.col("row")[text_col].isNotNull(), F.col("out.text")).alias("text"))

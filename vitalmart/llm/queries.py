@@ -147,8 +147,8 @@ sets AS (SELECT doc_id, ln, row_number() OVER (ORDER BY doc_id, ln) AS id, w, le
 tokens AS (SELECT id, n, unnest(w) AS tok FROM sets),
 rarity AS (SELECT tok, count(*) AS df FROM tokens GROUP BY tok),
 prefix AS (SELECT id, n, tok FROM (
-  SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY df, tok) AS at FROM tokens JOIN rarity USING (tok))
-  WHERE at <= n - CAST(ceil(n * 4 / 5.0) AS BIGINT) + 1),
+  SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY df, tok) AS place FROM tokens JOIN rarity USING (tok))
+  WHERE place <= n - CAST(ceil(n * 4 / 5.0) AS BIGINT) + 1),
 pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.tok = b.tok AND a.id < b.id
   AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
 gone AS (SELECT DISTINCT pairs.b AS id FROM pairs JOIN sets x ON x.id = pairs.a JOIN sets y ON y.id = pairs.b
