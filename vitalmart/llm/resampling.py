@@ -117,11 +117,12 @@ def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", tex
     """
     named = target_ids.select(F.col(target_ids.columns[0]).cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
     rows = text_rows(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    # the one shuffle of texts; adaptive execution splits an id that holds many rows
-    both = rows.join(named.withColumn("target", F.lit(True)), "doc_id", "left").select(
+    # The one shuffle of texts, at any size of the target; adaptive execution splits an id that holds many rows.
+    both = rows.join(named.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))
     sums = both.mapInArrow(_count, "bucket int, raw bigint, target bigint").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most BUCKETS rows
+        F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    sums = stored(sums, "ngrams").toArrow()  # at most BUCKETS rows
     counts = np.zeros((2, BUCKETS))
     counts[:, sums["bucket"].to_numpy()] = sums["raw"].to_numpy(), sums["target"].to_numpy()
     raw, target = ((c + smoothing) / (c.sum() + smoothing * BUCKETS) for c in counts)
