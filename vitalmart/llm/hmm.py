@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import chunks, flat, record_batch, stored, text_rows
 
 END = b""  # no word is empty
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FREQUENT = 4096     # a token with at least 1/FREQUENT of all training tokens is a class of its own
 ENDINGS = 256       # the others fall into this many classes by their last three bytes
 PIECE = 512         # training sequences are cut after this many tokens; scoring never cuts

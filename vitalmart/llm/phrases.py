@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import chunks, flat, record_batch, stored, text_rows
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # on lower-cased UTF-8: the complement of \x00-\x2F \x3A-\x60 \x7B-\x7F
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 WINDOWS_PER_PASS = 200_000
 
 _SEGMENT = pa.schema([("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())),
