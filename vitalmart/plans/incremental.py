@@ -73,9 +73,13 @@ def upsert_partitions(changes: DataFrame, target_path: str, keys: list[str], par
         raise ValueError("partition columns must be part of the key, or a changed row could stay in two partitions")
     spark = changes.sparkSession
     old = (spark.read.schema(schema) if schema else spark.read).parquet(target_path)
-    touched = changes.select(*partition_by).distinct()
-    merged = upsert(old.join(touched, partition_by, "left_semi"), changes, keys)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target_path)
+    if old.inputFiles():
+        touched = changes.select(*partition_by).distinct()
+        merged = upsert(old.join(touched, partition_by, "left_semi"), changes, keys)
+    else:
+        merged = one_per_key(changes, keys)  # nothing to merge with
+    # one file per partition rather than one per task; adaptive execution splits a large one
+    merged.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target_path)
 
 
 def rebuild_partitions(rows: DataFrame, target_path: str, partition_by: list[str]) -> None:
