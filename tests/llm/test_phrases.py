@@ -58,3 +58,36 @@ def test_proximity(spark):
                                (4, "red"), (5, "owl")], "doc_id bigint, text string")
     got = {r.doc_id: (r["items"], r.near_items) for r in phrases.contamination(d, b, reach=6).collect()}
     assert got == {1: ([], ["1"]), 2: (["1"], []), 3: ([], []), 4: ([], []), 5: ([], [])}
+
+
+def plain_near(docs, items, size, reach):
+    """Items with a window whose words all lie around one of them, and no window in the text itself."""
+    out = []
+    for doc_id, text, *_ in docs:
+        w, exact, near = words(text), set(), set()
+        for item, t in items:
+            v = words(t)
+            for win in {tuple(v[i:i + size]) for i in range(max(1, len(v) - size + 1))} if v else ():
+                if any(tuple(w[i:i + len(win)]) == win for i in range(len(w))):
+                    exact.add(str(item))
+                elif any(x in win and set(win) <= set(w[max(0, i - reach):i + reach + 1]) for i, x in enumerate(w)):
+                    near.add(str(item))
+        out.append((doc_id, sorted(near - exact)))
+    return out
+
+
+def test_proximity_is_decided_per_document(spark):
+    """A near document in one block with an exact one, and random texts in one and in many blocks."""
+    b = spark.createDataFrame([(1, "red fox jumps high")], "item_id bigint, text string")
+    d = spark.createDataFrame([(1, "high it jumps the fox so red"), (2, "red fox jumps high")], "doc_id bigint, text string")
+    got = {r.doc_id: (r["items"], r.near_items) for r in phrases.contamination(d.coalesce(1), b, reach=6).collect()}
+    assert got == {1: ([], ["1"]), 2: (["1"], [])}
+    rng = random.Random(4)
+    make = lambda n: " ".join(rng.choice("abcdefghijkl") for _ in range(n))
+    items = [(i, make(n)) for i, n in enumerate([1, 2, 4, 5, 6, 7, 8, 12])]
+    docs = [(i, make(rng.randrange(50))) for i in range(120)]
+    want = sorted(plain_near(docs, items, 5, 6))
+    assert sum(bool(near) for _, near in want) > 20
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    for parts in (1, 40):
+        assert sorted((r.doc_id, r.near_items) for r in phrases.contamination(d.repartition(parts), b, size=5, reach=6).collect()) == want

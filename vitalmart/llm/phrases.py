@@ -74,11 +74,9 @@ def _hits(lists: list[tuple[int, np.ndarray]]) -> np.ndarray:
     return starts
 
 
-def _around(lists: list[np.ndarray], begins: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
-    """Places of the rarest term with every other term within ``reach`` words in the same document."""
-    lists = sorted(lists, key=len)
-    places = lists[0]
-    for other in lists[1:]:
+def _around(places: np.ndarray, lists: list[np.ndarray], begins: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
+    """Those of ``places`` that have a place of every list within ``reach`` words in the same document."""
+    for other in lists:
         if not len(places):
             break
         doc = np.searchsorted(begins, places, side="right") - 1
@@ -88,6 +86,22 @@ def _around(lists: list[np.ndarray], begins: np.ndarray, ends: np.ndarray, reach
     return places
 
 
+def _near(lists: list[np.ndarray], begins: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
+    """Places of any of the terms with every other term within ``reach`` words in the same document.
+
+    Around such a place the block's rarest term has all others within twice the reach, so its
+    places choose the documents; that every term may be the middle makes the outcome of a
+    document the same whatever lies in its block.
+    """
+    lists = sorted(lists, key=len)
+    found = _around(lists[0], lists[1:], begins, ends, 2 * reach)
+    if not len(found):
+        return found
+    docs = np.unique(np.searchsorted(begins, found, side="right") - 1)
+    cut = [x[np.isin(np.searchsorted(begins, x, side="right") - 1, docs)] for x in lists]
+    return np.concatenate([_around(x, cut[:i] + cut[i + 1:], begins, ends, reach) for i, x in enumerate(cut)])
+
+
 def _search(terms: pa.Array, windows: np.ndarray, items: np.ndarray, reach: int,
             batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """windows: rows of term numbers, -1 beyond the end of a short one; items: the item of each."""
@@ -108,8 +122,11 @@ def _search(terms: pa.Array, windows: np.ndarray, items: np.ndarray, reach: int,
                 starts = _hits(list(enumerate(lists)))
                 if len(starts):
                     out.append((starts, starts + len(asked) - 1, items[w], False))
-                elif reach:
-                    places = _around(lists, begins, begins + sizes, reach)
+                if reach:
+                    places = _near([positions[ends[t - 1] if t else 0:ends[t]] for t in set(own[asked].tolist())], begins, begins + sizes, reach)
+                    if len(places) and len(starts):  # a document with the phrase itself is no near one
+                        of = lambda x: np.searchsorted(begins, x, side="right")  # noqa: E731, B023
+                        places = places[~np.isin(of(places), of(starts))]
                     if len(places):
                         out.append((places, places, items[w], True))
             if out:
@@ -142,9 +159,10 @@ def search(index: DataFrame, windows: DataFrame, reach: int = 0) -> DataFrame:
     """Matches (segment, ordinal, item_id, near, first, last) of the windows in a written index.
 
     Exact phrases have near = false and the words first..last of the ordinal-th document of
-    the segment. With ``reach``, a window without exact match in a segment also gives its
-    proximity matches (near = true): places of its rarest term that have all other terms
-    within ``reach`` words of the same document, in any order.
+    the segment. With ``reach``, a window also gives its proximity matches (near = true) in
+    documents that do not hold it exactly: places of one of its terms that have all other
+    terms within ``reach`` words of the same document, in any order. Whether a document
+    matches depends on its own words alone, not on its block.
 
     The windows go over the index in blocks of at most WINDOWS_PER_PASS, so what tasks get
     at once is bounded whatever the benchmark's size; the index is not shuffled.
