@@ -91,3 +91,15 @@ def test_proximity_is_decided_per_document(spark):
     d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     for parts in (1, 40):
         assert sorted((r.doc_id, r.near_items) for r in phrases.contamination(d.repartition(parts), b, size=5, reach=6).collect()) == want
+
+
+def test_registered_query_returns_both_halves(spark, tmp_path):
+    from vitalmart.llm.queries import QUERIES
+
+    spark.createDataFrame([(1, "red fox jumps high")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "high it jumps the fox so red"), (2, "red fox jumps high")], "doc_id bigint, text string").coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    exact = QUERIES["op9_decontamination_index"](spark, str(tmp_path))
+    both = QUERIES["op9_decontamination_proximity"](spark, str(tmp_path))
+    assert both.columns == [*exact.columns, "near_items"]
+    assert {r.doc_id: (r.contaminated, r.near_items) for r in both.collect()} == {1: (False, "1"), 2: (True, "")}

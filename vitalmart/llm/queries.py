@@ -72,6 +72,16 @@ def op9_decontamination_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op9_decontamination_proximity")
+def op9_decontamination_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of the method at the operator's reach: the columns of op9_decontamination_index, whose
+    SQL names exactly those, and the items with proximity matches only."""
+    rows = phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                       F.array_join("near_items", ",").alias("near_items"))
+
+
 @query("op5_bpe_two_tier")
 def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
