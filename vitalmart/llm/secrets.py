@@ -9,6 +9,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,12 +60,46 @@ def _entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+class _Parts:
+    """The parts of one kind; questions about those wholly in [low, start) or [end, high) of a candidate.
+
+    A part counts if it touches the scope [low, high) and does not overlap [start, end): it
+    ends in (low, start] or starts in [end, high).
+    """
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        by_end, by_start = sorted(spans, key=lambda s: s[1]), sorted(spans)
+        self.ends, self.starts = [e for _, e in by_end], [s for s, _ in by_start]
+        self.latest = list(accumulate((s for s, _ in by_end), max))             # largest start up to an end
+        self.earliest = list(accumulate((e for _, e in reversed(by_start)), min))[::-1]  # smallest end from a start on
+
+    def before(self, low: int, start: int) -> tuple[int, int] | None:
+        """(smallest end, largest start) of the parts before the candidate."""
+        i, j = bisect_right(self.ends, low), bisect_right(self.ends, start)
+        return (self.ends[i], self.latest[j - 1]) if i < j else None
+
+    def after(self, end: int, high: int) -> tuple[int, int] | None:
+        """(smallest end, largest start) of the parts after the candidate."""
+        i, j = bisect_left(self.starts, end), bisect_left(self.starts, high)
+        return (self.earliest[i], self.starts[j - 1]) if i < j else None
+
+
+def _inside(spans: list[tuple[int, int]], outer: list[tuple[int, int]]) -> list[bool]:
+    """Does each span lie in one of the outer ones?"""
+    outer = sorted(outer)
+    first, last = [s for s, _ in outer], list(accumulate((e for _, e in outer), max))
+    return [(at := bisect_right(first, s)) > 0 and last[at - 1] >= e for s, e in spans]
+
+
 def linked_spans(text: str, base: list[Span], reach: int) -> list[Span]:
     """Weak candidates that complete each other.
 
     Parts are intervals; a scope is a paragraph (up to a blank line), narrowed to ``reach``
-    code points on either side of the candidate. Sorted starts and ends answer whether a
-    complementary part lies in it, so a text of n parts costs n log n.
+    code points on either side of the candidate. A part counts only if it shares no character
+    with the candidate, and an endpoint needs an identifier and a secret that share none
+    either. A blob inside a certain span or an endpoint is that span's text and completes nothing;
+    in an endpoint it is itself reported only beside an identifier. Sorted starts and ends
+    answer all of it, so a text of n parts costs n log n.
     """
     weak = []
     for kind, part, pattern in _WEAK:
@@ -75,26 +110,35 @@ def linked_spans(text: str, base: list[Span], reach: int) -> list[Span]:
             weak.append((start, end, kind, part))
     if not weak:
         return []
-    parts: dict[str, list[tuple[int, int]]] = {"identifier": [], "secret": [], "endpoint": []}
+    places = [(s, e) for s, e, *_ in weak]
+    in_base = _inside(places, [(s, e) for s, e, _ in base])
+    in_endpoint = _inside(places, [(s, e) for s, e, kind, _ in weak if kind == "endpoint"])
+    spans: dict[str, list[tuple[int, int]]] = {"identifier": [], "secret": [], "endpoint": []}
     for start, end, kind in base:
-        parts[PART_OF_BASE[kind]].append((start, end))
-    for start, end, _, part in weak:
-        parts[part].append((start, end))
-    starts = {k: sorted(s for s, _ in v) for k, v in parts.items()}
-    ends = {k: sorted(e for _, e in v) for k, v in parts.items()}
+        spans[PART_OF_BASE[kind]].append((start, end))
+    for (start, end, kind, part), certain, held in zip(weak, in_base, in_endpoint):
+        if kind != "blob" or not (certain or held):
+            spans[part].append((start, end))
+    parts = {k: _Parts(v) for k, v in spans.items()}
     breaks = [m.start() for m in _BLANK.finditer(text)]
 
-    def near(part: str, low: int, high: int) -> bool:
-        """Does a part of this kind touch [low, high)? All that start before high, less those that end at or before low."""
-        return bisect_left(starts[part], high) > bisect_right(ends[part], low)
+    def near(needed: tuple[str, ...], low: int, start: int, end: int, high: int) -> bool:
+        """Are parts of these kinds (one or two) in the scope, apart from the candidate and from each other?"""
+        sides = [(parts[p].before(low, start), parts[p].after(end, high)) for p in needed]
+        if not all(any(s) for s in sides):
+            return False
+        if len(sides) == 1:
+            return True
+        (a, b), (c, d) = sides
+        return bool((a and d) or (b and c)) or any(x[0] <= y[1] or y[0] <= x[1] for x, y in ((a, c), (b, d)) if x and y)
 
     found = []
-    for start, end, kind, part in weak:
+    for (start, end, kind, part), held in zip(weak, in_endpoint):
         at = bisect_left(breaks, start)
         low = max(start - reach, breaks[at - 1] if at else 0)
         at = bisect_left(breaks, end)
         high = min(end + reach, breaks[at] if at < len(breaks) else len(text))
-        if any(all(near(p, low, high) for p in needed) for needed in NEEDS[part]):
+        if any(near(needed, low, start, end, high) for needed in NEEDS[part] if not (held and kind == "blob" and needed == ("endpoint",))):
             found.append((start, end, kind))
     covered = sorted((s, e) for s, e, _ in base)
     first = [s for s, _ in covered]
@@ -134,7 +178,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
 
     spans lists kind:start:end by start, in code points, end exclusive; base_sha256 is the
     digest of the certain ones alone. Weak candidates (account, blob, endpoint) are listed only
-    with a complementary part in their scope and outside certain spans. NULL and empty texts
+    with a complementary part in their scope, made of other characters, and outside certain spans. NULL and empty texts
     have no spans; each row stands for itself, so repeated rows and NULL ids stay. The work is
     one pass over each text, without a shuffle.
     """
