@@ -67,3 +67,12 @@ def test_pieces_of_a_long_text_give_all_ngrams(monkeypatch):
     whole = np.bincount(np.concatenate(list(langid.grams(sample))), minlength=langid.BUCKETS)
     monkeypatch.setattr(langid, "_PIECE", 64)
     assert (np.bincount(np.concatenate(list(langid.grams(sample))), minlength=langid.BUCKETS) == whole).all()
+
+
+def test_every_row_follows_its_own_verdict(spark):
+    data = [(*r, 1) for r in rows(list(SYLLABLES))]
+    odd = [(None, "123 ### 4!", None, 1), (None, data[1][1], "bb", 1), (3, "### 5", None, 1), (3, None, None, 1)]
+    docs = spark.createDataFrame(data + odd, "doc_id bigint, text string, lang string, score int")
+    found = {(r.doc_id, r.text) for r in langid.keep_identified(docs).collect()}
+    assert not found & {(i, t) for i, t, _, _ in (odd[0], odd[2], odd[3])}
+    assert {(None, data[1][1]), (3, data[3][1])} <= found

@@ -103,3 +103,13 @@ def test_registered_query_returns_both_halves(spark, tmp_path):
     both = QUERIES["op9_decontamination_proximity"](spark, str(tmp_path))
     assert both.columns == [*exact.columns, "near_items"]
     assert {r.doc_id: (r.contaminated, r.near_items) for r in both.collect()} == {1: (False, "1"), 2: (True, "")}
+
+
+def test_pipeline_stage_drops_rows_by_their_own_verdict(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "red fox jumps high")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "a red fox jumps high"), (None, "clean"), (3, "red fox jumps high"), (3, "clean too"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(None, "clean"), (3, "clean too"), (4, None)}

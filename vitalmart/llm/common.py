@@ -43,6 +43,17 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Dat
                        F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("text"), *more)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """64-bit hash of id and text that also tells NULL from a value: a name for rows whose id is NULL or repeated."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose ``row_key`` is not in the one column of ``keys``."""
+    gone = keys.toDF("rejected_row_key").distinct()
+    return docs.join(gone, row_key(id_col, text_col) == F.col("rejected_row_key"), "left_anti")
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, record_batch, stored, text_rows
+from .common import chunks, record_batch, row_key, stored, text_rows, without_rows
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -189,8 +189,12 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return rows.mapInArrow(partial(_decode, model.languages, model.code, scale, trust, gap), result)
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **more) -> DataFrame:
-    """The input's rows without those that are ``und`` or ambiguous. Rows with NULL id cannot be
-    named and stay; of rows sharing an id all go if one is rejected."""
-    out = predict(docs, id_col, text_col, lang_col, **more).where((F.col("lang_pred") == UNKNOWN) | F.col("ambiguous"))
-    return docs.join(out.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti")
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    held_out: Column | None = None, **more) -> DataFrame:
+    """The input's rows without those that are ``und`` or ambiguous. Every row follows its own
+    verdict, also where ids are NULL or repeated."""
+    held_out = held_out_column(id_col) if held_out is None else held_out
+    rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                       held_out.alias("held_out"))
+    out = predict(rows, "key", held_out=F.col("held_out"), **more).where((F.col("lang_pred") == UNKNOWN) | F.col("ambiguous"))
+    return without_rows(docs, out.select("doc_id"), id_col, text_col)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, flat, record_batch, stored, text_rows
+from .common import chunks, flat, record_batch, row_key, stored, text_rows, without_rows
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # on lower-cased UTF-8: the complement of \x00-\x2F \x3A-\x60 \x7B-\x7F
 SEGMENT_BYTES = 4 << 20
@@ -213,8 +213,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         as_text("near").alias("near_items"))
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The input's rows whose text holds no window of an item. Rows with NULL id cannot be
-    named and stay; of rows sharing an id all go if one is contaminated."""
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         by_row: bool = False, **more) -> DataFrame:
+    """The input's rows whose text holds no window of an item. With ``by_row`` every row follows
+    its own verdict, also where ids are NULL or repeated. Otherwise ids are dropped: rows with
+    NULL id cannot be named and stay; of rows sharing an id all go if one is contaminated."""
+    if by_row:
+        rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+        hit = contamination(rows, items, "key", reach=0, **more).where("n_hit > 0")
+        return without_rows(docs, hit.select("doc_id"), id_col, text_col)
     hit = contamination(docs, items, id_col, text_col, reach=0, **more).where("n_hit > 0")
     return docs.join(hit.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti")
