@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hmm, langid, lines, phrases, quality, resampling, secrets, simhash
+from . import (bpe, chat, hmm, langid, lines, mixing, periodic, phrases, quality, resampling, secrets, simhash,
+               whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +210,47 @@ def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
     return resampling.resample(table(spark, sf_dir, "documents"), good)
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.periodic_runs(table(spark, sf_dir, "documents"), planted_tails=True, texts=False)
+    # of the longest runs the first, of those the shortest period: the listing is in that order
+    longest = F.array_max(F.transform("runs", lambda r: r["length"]))
+    first = F.filter("runs", lambda r: r["length"] == F.col("longest"))
+    return rows.withColumn("longest", longest).withColumn("run", F.try_element_at(first, F.lit(1))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "run.start", "run.length", "run.period",
+        F.expr("run.length * 1000 div run.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@query("op13_source_mix", """
+WITH sizes AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sources),
+filled AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS DOUBLE) AS rest,
+    CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS weights
+  FROM weighed WINDOW before AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+capped AS (SELECT *, bool_and(rest * weight / weights > 3 * source_size) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+    ROWS UNBOUNDED PRECEDING) AS full_up FROM filled),
+shared AS (SELECT sum(source_size) - coalesce(sum(3 * source_size) FILTER (WHERE full_up), 0) AS rest,
+    sum(weight) FILTER (WHERE NOT full_up) AS weights FROM capped),
+targets AS (SELECT source, source_size, CASE WHEN full_up THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(s.rest AS DOUBLE) * weight / CAST(s.weights AS DOUBLE) END AS target FROM capped, shared s),
+budgets AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets),
+placed AS (SELECT d.doc_id, d.size, b.*, target - whole * source_size AS rest,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY h ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM sizes d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+  size * (whole + CASE WHEN before < rest AND rest - before >= size / 2 THEN 1 ELSE 0 END) AS taken
+FROM placed
+""")
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
