@@ -90,3 +90,23 @@ def sort_bucket(x: Column | str, per_octave: int = 4096) -> Column:
     infinite = float("inf")
     return (F.when(F.isnan(x), edge(2 ** 62)).when(x == infinite, edge(2 ** 61)).when(x == -infinite, edge(-2 ** 61))
             .when(x > 0, bucket).when(x < 0, -bucket).when(x == 0, edge(0)))
+
+
+def sort_key(x: Column | str) -> Column:
+    """A double as the bigint that sorts like it: exponent and mantissa of its size, and below zero the complement.
+
+    Different values have different keys (-0.0 has -1, 0.0 has 0), NaN has the largest. Any leading
+    bits of the key are a bucket that keeps the order.
+    """
+    x = col(x).cast("double")
+    size = F.abs(x)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022)).cast("double")
+    # log2 may be off by one step next to a power of two
+    exponent = F.when(size >= F.pow(F.lit(2.0), guess + 1), guess + 1).when(
+        (size < F.pow(F.lit(2.0), guess)) & (guess > -1022), guess - 1).otherwise(guess)
+    mantissa = size / F.pow(F.lit(2.0), exponent)  # below 1 for the smallest numbers only
+    scale = F.lit(float(2 ** 52))
+    bits = ((exponent + 1022).cast("bigint") * F.lit(2 ** 52) + (mantissa * scale).cast("bigint"))
+    whole = (F.when(size == float("inf"), F.lit(2047 * 2 ** 52)).when(size == 0, F.lit(0).cast("bigint")).otherwise(bits))
+    below = (x < 0) | ((x == 0) & (F.pow(x, F.lit(-1.0)) < 0))  # of the zeros, -0.0 has a negative inverse
+    return F.when(x.isNull(), F.lit(None)).when(F.isnan(x), F.lit(2 ** 63 - 1)).when(below, F.bitwise_not(whole)).otherwise(whole)

@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalmart.functions.numeric import col, flag
+from vitalmart.sources.writers import held
 
-# Bins a band table is cut into; they reach every task as one row.
-BAND_BINS = 128
+from .windows import number_rows
+
+BANDS_PER_BIN = 4  # of bands that do not overlap
+MOST_BINS = 65_536  # their cuts reach every task as one row
+SMALL_BANDS = 20_000  # bands sent to all tasks
+PIECES = 256  # tasks that at least share the rows, whatever the values
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
@@ -64,23 +69,69 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return marked.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def band_join(df: DataFrame, bands: DataFrame, x: str, lo: str, hi: str, how: str = "left", bins: int = BAND_BINS) -> DataFrame:
-    """Rows with the band [lo, hi) that holds x; bands must not overlap.
+def _bin_of(value: Column, cuts: Column, n: int) -> Column:
+    """Number of cuts <= value by binary search in the sorted array ``cuts`` of n doubles; NULL is in bin 0.
 
-    Bins are cut at quantiles of the lower ends, at most ``bins`` of them, and reach all tasks
-    as one row. A band stands in every bin it touches: without overlaps that adds at most one
-    row per bin, and open ends (infinity) are ordinary values. Rows meet bands on equal bins
-    and the exact test follows, the same way for any size of the band table.
+    The comparisons are Spark's: NaN is the largest value.
+    """
+    top = 1 << max(0, n.bit_length() - 1)
+    steps = F.array(*[F.lit(top >> i) for i in range(top.bit_length())])
+
+    def step(at: Column, by: Column) -> Column:
+        return F.when((at + by <= n) & (F.try_element_at(cuts, at + by) <= value), at + by).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _cuts(bands: DataFrame, low: Column, bins: int, n_bands: int, small: bool) -> tuple[Column, int]:
+    """Every so many-th of the bands' lower ends in order, as one array, and their number. The array is a constant of
+    the plan: every task has it once, where a joined column would be copied from row to row."""
+    ends, every = bands.select(low.alias("_end")), -(-n_bands // bins) or 1
+    if small:
+        cuts = sorted(r["_end"] for r in ends.collect())[::every]
+    else:
+        cuts = [r["_end"] for r in number_rows(ends, [], ["_end"], "_nth").where(F.col("_nth") % every == 1 % every).orderBy("_end").collect()]
+    cuts = list(dict.fromkeys(cuts))
+    # one text is one call to the JVM; the optimizer reads it once
+    return F.split(F.lit(",".join(map(repr, cuts))), ",").try_cast("array<double>"), len(cuts)
+
+
+def band_join(df: DataFrame, bands: DataFrame, x: str, lo: str, hi: str, how: str = "left", bins: int | None = None,
+              small: int = SMALL_BANDS) -> DataFrame:
+    """Rows with every band [lo, hi) that holds x; bands may overlap and have open ends.
+
+    Bins are cut at quantiles of the bands' lower ends, a few bands to a bin, so the number of bins
+    follows the number of bands. A band stands in every bin it touches, a row in one, and
+    the exact test follows on equal bins. A band table counted to have at most ``small`` rows is sent
+    to all tasks and df is not shuffled. Beyond, both sides are shuffled by bin; the rows of every bin
+    are counted first, and a bin with more than its share of them is dealt over several tasks, each with the
+    bands of that bin. NULL and NaN values, and bands with NULL ends, match nothing.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("bands are repeated per bin, so the rows must drive the join")
     value = F.col(x).cast("double")
+    low, high = F.col(lo).cast("double"), F.col(hi).cast("double")
     inside = (value >= F.col(lo)) & (value < F.col(hi))
-    shares = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    cuts = bands.agg(F.array_distinct(F.percentile_approx(F.col(lo).cast("double"), shares, 10 * bins)).alias("_cuts"))
-    bin_of = lambda v: F.coalesce(F.size(F.filter("_cuts", lambda c: c <= v)), F.lit(0))
-    binned = bands.crossJoin(F.broadcast(cuts)).withColumn("_band_bin", F.explode(F.sequence(
-        bin_of(F.col(lo).cast("double")), F.greatest(bin_of(F.col(lo).cast("double")), bin_of(F.col(hi).cast("double")))))).drop("_cuts")
-    rows = df.crossJoin(F.broadcast(cuts)).withColumn("_row_bin", bin_of(value)).drop("_cuts")
-    return rows.join(binned, (F.col("_row_bin") == F.col("_band_bin")) & inside, how).drop("_band_bin", "_row_bin")
+    bands = held(bands.where(low.isNotNull() & high.isNotNull()), "bands", small)
+    n_bands = bands.count()
+    cuts, n = _cuts(bands, low, bins or min(MOST_BINS, 1 + n_bands // BANDS_PER_BIN), n_bands, n_bands <= small)
+    first = _bin_of(low, cuts, n)
+    binned = bands.withColumn("_band_bin", F.explode(F.sequence(first, F.greatest(first, _bin_of(high, cuts, n)))))
+    rows = df.withColumn("_row_bin", _bin_of(value, cuts, n))
+    same = F.col("_row_bin") == F.col("_band_bin")
+    if n_bands <= small:
+        return rows.join(F.broadcast(binned), same & inside, how).drop("_band_bin", "_row_bin")
+    counts = rows.groupBy("_row_bin").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    # at most PIECES bins are above their share, in at most 2 * PIECES pieces
+    hot = held(counts.select(F.col("_row_bin").alias("_hot_bin"), F.ceil(F.col("_n") * PIECES / F.lit(max(total, 1))).cast("int").alias("_pieces"))
+               .where("_pieces > 1"), "hot-bins", PIECES)
+    piece = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce("_pieces", F.lit(1))).cast("int")
+    rows = rows.join(F.broadcast(hot), F.col("_row_bin") == F.col("_hot_bin"), "left").withColumn("_row_piece", piece).drop("_hot_bin", "_pieces")
+    binned = binned.join(F.broadcast(hot), F.col("_band_bin") == F.col("_hot_bin"), "left").withColumn(
+        "_band_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_hot_bin", "_pieces")
+    return rows.join(binned, same & (F.col("_row_piece") == F.col("_band_piece")) & inside, how).drop(
+        "_band_bin", "_row_bin", "_band_piece", "_row_piece")
 
 
 def half_open(bands: list[tuple], names: list[str], spark) -> DataFrame:

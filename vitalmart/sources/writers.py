@@ -22,6 +22,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def held(df: DataFrame, name: str, most: int) -> DataFrame:
+    """A result computed once: kept by the driver up to ``most`` rows, else written like ``staged``.
+
+    For small tables steered by (cut points, thresholds, wanted buckets), where a file costs more than the rows.
+    """
+    rows = df.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return staged(df, name)
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
 def write_bronze(df: DataFrame, parquet_path: str, csv_path: str | None = None) -> None:
     df.write.mode("overwrite").parquet(parquet_path)
     if csv_path:
