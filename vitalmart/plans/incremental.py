@@ -129,49 +129,6 @@ def layer_statistics(layers: list[tuple[str, str, DataFrame, str, str | None]])
     return reduce(DataFrame.unionByName, parts)
 
 
-def health_insights(gold: DataFrame, report_date: str = "processing_date") -> DataFrame:
-    """Cohort rows of the daily insight table."""
-    high = F.col("health_risk_level").isin("High", "Critical")
-    keys = {"report_date": report_date, "age_group": "age_group", "health_risk_category": "health_risk_level",
-            "bmi_category": "bmi_category"}
-    avg = lambda c, d: rnd(F.avg(c), d)
-    return report(gold, keys, {
-        "total_patients": n(), "diabetic_patients": n_if(F.col("diabetes") == 1), "high_risk_patients": n_if(high),
-        "avg_bmi": avg("bmi", 2), "avg_glucose": avg("glucose", 2), "avg_age": avg("age", 2),
-        "avg_risk_score": avg("risk_score", 3), "high_risk_count": n_if(high), "high_risk_percentage": rate(high, 2)})
-
-
-def daily_statistics(gold: DataFrame, day: str = "processing_date") -> DataFrame:
-    """Daily totals, means and category shares."""
-    c = F.col
-    high = c("health_risk_level").isin("High", "Critical")
-    return report(gold, {"stat_date": day}, {
-        "total_records": n(), "diabetic_cases": n_if(c("diabetes") == 1), "high_risk_cases": n_if(high),
-        "avg_glucose": rnd(F.avg("glucose"), 2), "avg_bmi": rnd(F.avg("bmi"), 2), "avg_age": rnd(F.avg("age"), 1),
-        "avg_risk_score": rnd(F.avg("risk_score"), 4),
-        "glucose_normal_pct": rate(c("glucose_category") == "Normal", 1),
-        "glucose_prediabetic_pct": rate(c("glucose_category") == "Prediabetic", 1),
-        "glucose_diabetic_pct": rate(c("glucose_category").isin("Diabetic", "Severely Diabetic"), 1),
-        "bmi_normal_pct": rate(c("bmi_category") == "Normal Weight", 1),
-        "bmi_overweight_pct": rate(c("bmi_category") == "Overweight", 1),
-        "bmi_obese_pct": rate(c("bmi_category").like("Obese%"), 1),
-        "age_young_pct": rate(c("age") < 35, 1), "age_middle_pct": rate((c("age") >= 35) & (c("age") < 55), 1),
-        "age_senior_pct": rate(c("age") >= 55, 1),
-        "immediate_care_needed": n_if(c("intervention_priority") == "Immediate"),
-        "routine_monitoring_needed": n_if(c("intervention_priority") == "Monitor")})
-
-
-def insight_rates(insights: DataFrame, day: str = "processing_date") -> DataFrame:
-    """Daily counts and rates of the insight table."""
-    c = F.col
-    level = lambda v: n_if(c("risk_category") == v)
-    return report(insights, {"aggregation_date": day}, {
-        "total_patients": n(), "high_risk_count": level("HIGH_RISK"), "moderate_risk_count": level("MODERATE_RISK"),
-        "low_risk_count": level("LOW_RISK"), "avg_diabetes_risk_score": rnd(F.avg("diabetes_risk_score"), 4),
-        "obesity_rate": rate(c("bmi_category").like("obese%"), 6), "diabetes_rate": rate(c("glucose_category") == "diabetic", 6),
-        "hypertension_rate": rate(c("blood_pressure_category").like("%hypertension%"), 6)})
-
-
 def metric_snapshot(gold: DataFrame) -> DataFrame:
     """Long latest-metrics rows, every metric out of one pass."""
     high = F.col("health_risk_level").isin("High", "Critical")

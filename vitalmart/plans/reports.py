@@ -21,6 +21,7 @@ from vitalmart.operators.quantiles import exact_percentiles
 from vitalmart.operators.windows import previous, trailing_mean, trend_label
 from vitalmart.rules import clinical as R
 
+from . import daily
 from .layers import annual_cost, has_anomaly
 
 C = F.col
@@ -87,10 +88,7 @@ def hour_text(ts: str) -> Column:
 
 # ---- compact feature table -------------------------------------------------
 def daily_stats(features: DataFrame, day: str = "processing_date") -> DataFrame:
-    return report(features, {"date": day}, {
-        "total_records": n(), "diabetic_count": n_if(C("outcome") == 1), "non_diabetic_count": n_if(C("outcome") == 0),
-        "avg_glucose": mean("glucose", 2), "avg_bmi": mean("bmi", 2), "avg_age": mean("age", 2),
-        "avg_risk_score": mean("risk_score", 2), "high_risk_count": n_if(C("high_risk_flag"))}).orderBy(C("date").desc())
+    return daily.daily_stats(day).full(features).orderBy(C("date").desc())
 
 
 def _cohort(features: DataFrame, keys, averages: list[str]) -> DataFrame:
@@ -121,12 +119,7 @@ def latest_metrics(features: DataFrame) -> DataFrame:
 
 # ---- gold: daily, level and priority ---------------------------------------
 def enhanced_daily_stats(gold: DataFrame) -> DataFrame:
-    return report(gold, {"date": "processing_date"}, {
-        "total_records": n(), "diabetic_count": n_if(sick()), "non_diabetic_count": n_if(C("diabetes") == 0),
-        **{f"avg_{c}": mean(c, 2) for c in ("glucose", "bmi", "age", "risk_score")},
-        "avg_prediction_confidence": mean("prediction_probability", 2), "high_risk_count": n_if(level("High")),
-        "critical_risk_count": n_if(level("Critical")), "immediate_intervention_count": n_if(urgent()),
-        "avg_data_quality": mean("quality_score", 2)}).orderBy(C("date").desc())
+    return daily.enhanced_daily_stats().full(gold).orderBy(C("date").desc())
 
 
 def risk_level_analysis(gold: DataFrame) -> DataFrame:
@@ -184,24 +177,6 @@ def executive_kpis(silver: DataFrame) -> DataFrame:
     return rows.withColumn("description", recode("metric_name", text))
 
 
-def daily_outcome_stats(silver: DataFrame, day: str = "processing_date") -> DataFrame:
-    """The daily aggregate load: one row per day."""
-    cat = lambda v: n_if(C("risk_category") == v)
-    return report(silver, {"date_key": day}, {
-        "total_patients": n(), "diabetic_patients": n_if(C("outcome") == 1), "non_diabetic_patients": n_if(C("outcome") == 0),
-        "diabetic_rate": mean("outcome", 6), "avg_glucose": mean("glucose", 6), "avg_bmi": mean("bmi", 6),
-        "avg_age": mean("age", 6), "high_risk_patients": cat("High"), "medium_risk_patients": cat("Medium"),
-        "low_risk_patients": cat("Low")})
-
-
-def risk_by_demographics(silver: DataFrame, day: str = "processing_date") -> DataFrame:
-    """The daily aggregate load by age group and BMI category."""
-    ordinal = recode("risk_category", {"High": 3, "Medium": 2}, 1)
-    return report(silver, {"date_key": day, "age_group": "age_group", "bmi_category": "bmi_category"}, {
-        "total_patients": n(), "diabetic_patients": n_if(C("outcome") == 1), "diabetic_rate": mean("outcome", 6),
-        "avg_risk_score": mean(ordinal, 6), "avg_glucose": mean("glucose", 6), "avg_bmi": mean("bmi", 6)})
-
-
 def daily_trend_analysis(daily: DataFrame) -> DataFrame:
     """Daily rows turned into (time, metric, value)."""
     wide = daily.select(C("date_key").alias("time"), C("total_patients").cast("double").alias("total_patients"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -11,14 +13,18 @@ from vitalmart.functions.bands import band
 from vitalmart.functions.numeric import pct, ratio, rnd
 from vitalmart.operators import aggregate as A
 from vitalmart.operators import metrics as K
+from vitalmart.operators import sketches as SK
 from vitalmart.operators.quantiles import exact_percentiles, percentiles_of_columns
 from vitalmart.plans.reports import seconds_between
 from vitalmart.rules import clinical as R
+from vitalmart.sources.writers import scratch_path
 
 from . import sql as S
 from .base import query
 
 C = F.col
+# days of a report over kept sketches, and the day between two loads
+_FIRST, _LAST, _SPLIT = dt.date(2024, 1, 5), dt.date(2024, 1, 24), dt.date(2024, 1, 15)
 
 
 @query("a1_global_kpis", S.WITH_CLINICAL + S.select({
@@ -77,10 +83,31 @@ def _(t):
     return A.report(t.events, ["event_type"], {"users": F.count_distinct("user_id"), "days": F.count_distinct(C("ts").cast("date"))})
 
 
-@query("a6_distinct_count_approx", None)
+@query("a6_distinct_count_approx", "SELECT event_type, COUNT(DISTINCT user_id) AS users, true AS within_error FROM events GROUP BY event_type")
 def _(t):
-    """Rows-only: the sketch (3% relative deviation) for columns too wide for exact counting."""
-    return A.report(t.events, ["event_type"], {"users": F.approx_count_distinct("user_id", 0.03)})
+    """The sketch (3 % standard error) for columns too wide for exact counting, held against the exact count at four deviations."""
+    out = A.report(t.events, ["event_type"], {"users": F.count_distinct("user_id"), "_sketch": F.approx_count_distinct("user_id", 0.03)})
+    return out.select("event_type", "users", (F.abs(C("_sketch") - C("users")) <= F.ceil(C("users") * 0.12)).alias("within_error"))
+
+
+def _kept_event_days(t, name):
+    """Day sketches of the events in three loads: early days, late days, and one of the early days once more."""
+    path = scratch_path(t.spark, name)
+    events = t.events.select(C("ts").cast("date").alias("day"), "event_type", "user_id", "value")
+    for days in (C("day") < F.lit(_SPLIT), C("day") >= F.lit(_SPLIT), C("day") == F.lit(_SPLIT) - F.make_interval(days=F.lit(1))):
+        sketches = SK.day_sketches(events.where(days), "day", ["event_type"], {"users": "user_id"}, {"value": "value"})
+        SK.add_days(sketches, path, "day")
+    return path
+
+
+@query("a6_distinct_from_day_sketches", "SELECT event_type, COUNT(*) AS n_rows, COUNT(DISTINCT user_id) AS users, true AS within_error FROM events"
+       f" WHERE CAST(ts AS DATE) BETWEEN DATE '{_FIRST}' AND DATE '{_LAST}' GROUP BY event_type")
+def _(t):
+    """Distinct users of a range of days from the kept sketches of those days alone."""
+    kept = SK.kept_days(t.spark, _kept_event_days(t, "a6"), "day", _FIRST, _LAST)
+    out = SK.merged(kept, ["event_type"], distinct=["users"])
+    exact = A.report(t.events.where(C("ts").cast("date").between(_FIRST, _LAST)), ["event_type"], {"users": F.count_distinct("user_id")})
+    return out.join(exact, "event_type").select("event_type", "n_rows", "users", SK.distinct_within("users", "users").alias("within_error"))
 
 
 @query("a7_sample_deviation", S.report({"l_returnflag": "l_returnflag"}, {
@@ -137,6 +164,21 @@ def _(t):
         f"{k}_within_bound") for k, p in _P.items()])
 
 
+@query("a10_percentiles_from_month_sketches", "SELECT o_orderpriority, COUNT(*) AS n, " + ", ".join(f"true AS {k}_within_bound" for k in _P)
+       + f" FROM orders WHERE o_orderdate >= DATE '1995-01-01' GROUP BY o_orderpriority")
+def _(t):
+    """Percentiles from 1995 on, merged from sketches kept per month and held against their rank bound by a count."""
+    path = scratch_path(t.spark, "a10")
+    orders = t.orders.withColumn("month", F.trunc("o_orderdate", "month"))
+    SK.add_days(SK.day_sketches(orders, "month", ["o_orderpriority"], ranked={"price": "o_totalprice"}), path, "month")
+    kept = SK.merged(SK.kept_days(t.spark, path, "month", dt.date(1995, 1, 1)), ["o_orderpriority"], ranked=["price"])
+    found = kept.select("o_orderpriority", C("price_n").alias("n"), *[SK.percentile("price", p).alias(k) for k, p in _P.items()])
+    late = t.orders.where(C("o_orderdate") >= F.lit(dt.date(1995, 1, 1)))
+    counts = late.join(found, "o_orderpriority").groupBy("o_orderpriority", "n").agg(*[
+        c for k in _P for c in (F.count_if(C("o_totalprice") < C(k)).alias(f"{k}_below"), F.count_if(C("o_totalprice") <= C(k)).alias(f"{k}_upto"))])
+    return counts.select("o_orderpriority", "n", *[SK.rank_within(f"{k}_below", f"{k}_upto", "n", p).alias(f"{k}_within_bound") for k, p in _P.items()])
+
+
 _PROF = ["glucose", "bmi", "age", "blood_pressure"]
 
 
@@ -214,10 +256,33 @@ def _(t):
     return t.part.select("p_size").summary("count", "min", "max")
 
 
-@query("a18_describe_full", None)
+_FULL = ["glucose", "bmi", "age"]
+
+
+@query("a18_describe_full", S.WITH_CLINICAL + " UNION ALL ".join(f"SELECT '{name}' AS summary, " + ", ".join(
+    f"{S.r(f'{f}({c})', 6)} AS {c}" for c in _FULL) + " FROM clinical" for name, f in (
+    ("count", "COUNT"), ("mean", "AVG"), ("stddev", "stddev_samp"), ("min", "MIN"), ("max", "MAX"))))
+def _(t):
+    """The printed summary, its texts read as numbers."""
+    out = t.clinical.select(*_FULL).summary("count", "mean", "stddev", "min", "max")
+    return out.select("summary", *[rnd(C(c).cast("double"), 6).alias(c) for c in _FULL])
+
+
+@query("a18_profile_from_day_sketches", "SELECT event_type, COUNT(value) AS n, MIN(value) AS min, MAX(value) AS max, " + S.avg("value", 6)
+       + " AS mean, " + S.sd("value", 6) + " AS std, true AS quartiles_within_bound FROM events WHERE CAST(ts AS DATE) BETWEEN"
+       f" DATE '{_FIRST}' AND DATE '{_LAST}' GROUP BY event_type")
 def _(t):
-    """Rows-only: summary() prints unrounded text."""
-    return t.clinical.select("glucose", "bmi", "age").summary("count", "mean", "stddev", "min", "max")
+    """A profile of a range of days without their rows: exact extremes, mean and deviation, quartiles within their bound."""
+    kept = SK.merged(SK.kept_days(t.spark, _kept_event_days(t, "a18"), "day", _FIRST, _LAST), ["event_type"], ranked=["value"])
+    quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    found = kept.select("event_type", C("value_n").alias("n"), C("value_min").alias("min"), C("value_max").alias("max"),
+                        rnd(F.try_divide("value_sum", "value_n"), 6).alias("mean"), rnd(SK.deviation("value"), 6).alias("std"),
+                        *[SK.percentile("value", p).alias(q) for q, p in quartiles.items()])
+    rows = t.events.where(C("ts").cast("date").between(_FIRST, _LAST)).select("event_type", "value")
+    counts = rows.join(found, "event_type").groupBy("event_type", "n", "min", "max", "mean", "std").agg(*[
+        c for q in quartiles for c in (F.count_if(C("value") < C(q)).alias(f"{q}_below"), F.count_if(C("value") <= C(q)).alias(f"{q}_upto"))])
+    within = reduce(and_, [SK.rank_within(f"{q}_below", f"{q}_upto", "n", p) for q, p in quartiles.items()])
+    return counts.select("event_type", "n", "min", "max", "mean", "std", within.alias("quartiles_within_bound"))
 
 
 _SHAPE = ["glucose", "bmi", "insulin", "age"]

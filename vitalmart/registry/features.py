@@ -142,11 +142,20 @@ def _filled(columns, fill):
     return ", ".join(f"{S.r(f'COALESCE({c}, (SELECT {fill(c)} FROM z))', 6)} AS {c}" for c in columns)
 
 
-@query("x1_mean_median_imputation", None)
+@query("x1_mean_median_imputation", _ZEROED + " SELECT id, " + _filled(["glucose", "blood_pressure", "skin_thickness", "bmi"], lambda c: f"AVG({c})")
+       + ", insulin AS insulin_known, true AS insulin_within_bound FROM z")
 def _(t):
-    """Rows-only: the insulin median is the approximate one (see x1_exact_median for the exact form)."""
+    """The insulin median is a sketch's (see x1_exact_median for the exact form), held against its rank bound by a count."""
+    means = ["glucose", "blood_pressure", "skin_thickness", "bmi"]
     z = zero_to_null(t.clinical, R.ZERO_IS_MISSING).select("id", *R.ZERO_IS_MISSING)
-    return st.impute(z, mean=["glucose", "blood_pressure", "skin_thickness", "bmi"], median=["insulin"])
+    out = st.impute(z.withColumn("insulin_known", C("insulin").cast("double")), mean=means, median=["insulin"])
+    filled = out.agg(F.max(F.when(C("insulin_known").isNull(), C("insulin"))).alias("_filled"))
+    ranks = st.with_stats(z, "_m", filled).agg(F.count_if(C("insulin") < C("_m._filled")).alias("below"), F.count_if(C("insulin") <= C("_m._filled")).alias("upto"),
+                                               F.count("insulin").alias("n"), F.max("_m._filled").alias("filled"))
+    slack = C("_r.n") / 10_000 + 1  # the sketch's accuracy
+    within = (C("_r.below") <= C("_r.n") / 2 + slack) & (C("_r.upto") >= C("_r.n") / 2 - slack)
+    return st.with_stats(out, "_r", ranks).select("id", *[rnd(c, 6).alias(c) for c in means], "insulin_known", F.when(
+        C("insulin_known").isNull(), within & (C("insulin") == C("_r.filled"))).otherwise(C("insulin") == C("insulin_known")).alias("insulin_within_bound"))
 
 
 @query("x1_exact_median", _ZEROED + " SELECT id, " + _filled(["glucose"], lambda c: f"AVG({c})") + ", "
@@ -192,12 +201,26 @@ def _(t):
     return out.select("p_partkey", *[rnd(c, 6).alias(c) for c in _NUM])
 
 
-@query("x5_iqr_cap_approx", None)
+_SKETCHED = ["glucose", "blood_pressure", "bmi", "insulin"]
+
+
+@query("x5_iqr_cap_approx", S.WITH_CLINICAL + "SELECT id, " + ", ".join(f"true AS {c}_within_bound" for c in _SKETCHED) + " FROM clinical")
 def _(t):
-    """Rows-only: sketch-based fences, the default for large tables."""
-    z = zero_to_null(t.clinical, R.ZERO_IS_MISSING)
-    return st.cap_outliers(z, ["glucose", "blood_pressure", "bmi", "insulin"]).select(
-        "id", "glucose", "blood_pressure", "bmi", "insulin")
+    """Sketch-based fences, the default for large tables: every capped value lies between those that the exact
+    quartiles of ranks 0.2 % of the rows below and above would give."""
+    z = zero_to_null(t.clinical, R.ZERO_IS_MISSING).select("id", *_SKETCHED)
+    step, k = 2e-3, 1.5
+    edges = st.column_percentiles(z, _SKETCHED, {"a": 0.25 - step, "b": 0.25 + step, "c": 0.75 - step, "d": 0.75 + step}, exact=True)
+    capped = st.cap_outliers(z.withColumns({f"_{c}": C(c).cast("double") for c in _SKETCHED}), _SKETCHED)
+
+    def within(c):
+        a, b, lo, hi = (C(f"_e.{c}.{q}") for q in "abcd")
+        clip = lambda low, high: F.when(C(f"_{c}") < low, low).when(C(f"_{c}") > high, high).otherwise(C(f"_{c}"))
+        least, most = clip(a - k * (hi - a), lo - k * (b - lo)), clip(b - k * (lo - b), hi + k * (hi - a))
+        low, high = F.least(least, most), F.greatest(least, most)
+        return (C(c).isNull() & C(f"_{c}").isNull()) | F.coalesce(C(c).between(low, high), F.lit(False))
+
+    return st.with_stats(capped, "_e", edges).select("id", *[within(c).alias(f"{c}_within_bound") for c in _SKETCHED])
 
 
 @query("x6_iqr_to_null", _FENCE + "SELECT p_partkey, " + ", ".join(

@@ -11,12 +11,12 @@ from vitalmart.functions.numeric import rnd
 from vitalmart.operators import quality as Q
 from vitalmart.operators.aggregate import n, report
 from vitalmart.plans import incremental as I
-from vitalmart.plans import jobs, layers, reports, samples
+from vitalmart.plans import daily, jobs, layers, reports, samples
 from vitalmart.rules import clinical as R
 from vitalmart.sources import writers
 
 from . import sql as S
-from .base import query
+from .base import ORACLES, query
 from .features import _TIGHT
 from .reports_clinical import CLEAN_WEARABLE, JOBS
 from .reports_gold import HIGH, SICK, _is, _stamp, _text
@@ -142,12 +142,21 @@ def _(t):
                                ("gold", "clinical_gold", t.gold, at, "quality_score")])
 
 
+def _loaded(t, rows, spec):
+    """The daily table after two loads: rows up to a day and most later ones, then late rows of many days."""
+    path = writers.scratch_path(t.spark, "i8")
+    late = (C(spec.day[1]) >= F.lit(dt.date(1996, 7, 1))) & (F.pmod(F.xxhash64("glucose"), F.lit(4)) == 0)
+    for load_id, part in (("first", F.coalesce(~late, F.lit(True))), ("late", late)):
+        daily.load(rows.where(part), spec, path, load_id)
+    return daily.read_report(t.spark, spec, path)
+
+
 @query("i8_daily_outcome_stats", S.report({"date_key": "processing_date"}, {
     "total_patients": S.cnt(), "diabetic_patients": S.cnt("outcome = 1"), "non_diabetic_patients": S.cnt("outcome = 0"),
     "diabetic_rate": S.avg("outcome", 6), "avg_glucose": S.avg("glucose", 6), "avg_bmi": S.avg("bmi", 6), "avg_age": S.avg("age", 6),
     **{f"{v.lower()}_risk_patients": S.cnt(_is("risk_category", v)) for v in ("High", "Medium", "Low")}}, "categories", S.WITH_CATEGORIES))
 def _(t):
-    return reports.daily_outcome_stats(t.categories)
+    return _loaded(t, t.categories, daily.outcome_stats(unit="year"))
 
 
 @query("i8_risk_by_demographics", S.report({"date_key": "processing_date", "age_group": "age_group", "bmi_category": "bmi_category"}, {
@@ -155,7 +164,7 @@ def _(t):
     "avg_risk_score": S.avg("CASE risk_category WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 ELSE 1 END", 6), "avg_glucose": S.avg("glucose", 6),
     "avg_bmi": S.avg("bmi", 6)}, "categories", S.WITH_CATEGORIES))
 def _(t):
-    return reports.risk_by_demographics(t.categories)
+    return _loaded(t, t.categories, daily.risk_by_demographics(unit="year"))
 
 
 _GLU = {"normal": "glucose_category = 'Normal'", "prediabetic": "glucose_category = 'Prediabetic'",
@@ -171,7 +180,7 @@ _GLU = {"normal": "glucose_category = 'Normal'", "prediabetic": "glucose_categor
     "immediate_care_needed": S.cnt(_is("intervention_priority", "Immediate")),
     "routine_monitoring_needed": S.cnt(_is("intervention_priority", "Monitor"))}, "gold", S.WITH_GOLD))
 def _(t):
-    return I.daily_statistics(t.gold)
+    return _loaded(t, t.gold, daily.daily_statistics(unit="year"))
 
 
 @query("i8_health_insights", S.report({"report_date": "processing_date", "age_group": "age_group", "health_risk_category": "health_risk_level",
@@ -180,7 +189,7 @@ def _(t):
     "avg_glucose": S.avg("glucose", 2), "avg_age": S.avg("age", 2), "avg_risk_score": S.avg("risk_score", 3), "high_risk_count": S.cnt(HIGH),
     "high_risk_percentage": S.rate(HIGH, 2)}, "gold", S.WITH_GOLD))
 def _(t):
-    return I.health_insights(t.gold)
+    return _loaded(t, t.gold, daily.health_insights(unit="year"))
 
 
 _RISKCAT = ("CASE WHEN outcome = 1 THEN 'HIGH_RISK' WHEN glucose > 126 OR bmi > 30 THEN 'MODERATE_RISK' WHEN glucose > 100 OR bmi > 25 THEN"
@@ -198,7 +207,7 @@ def _cat(v: str) -> str:
     "obesity_rate": S.rate("bmi >= 30", 6), "diabetes_rate": S.rate("glucose >= 126", 6), "hypertension_rate": S.rate("blood_pressure >= 140", 6)},
     "(SELECT * FROM tight WHERE is_valid)"))
 def _(t):
-    return I.insight_rates(layers.gold_insights(layers.silver_tagged(t.clinical)))
+    return _loaded(t, layers.gold_insights(layers.silver_tagged(t.clinical)), daily.insight_rates(unit="year"))
 
 
 # ---- whole jobs ------------------------------------------------------------
@@ -306,10 +315,20 @@ def _(t):
     return jobs.processing_report(counts, checks, AT)
 
 
+@query("v1_daily_stats_loaded", ORACLES["v1_daily_stats"])
+def _(t):
+    return _loaded(t, t.features, daily.daily_stats(unit="year"))
+
+
+@query("v6_enhanced_daily_stats_loaded", ORACLES["v6_enhanced_daily_stats"])
+def _(t):
+    return _loaded(t, t.gold, daily.enhanced_daily_stats(unit="year"))
+
+
 @query("u5_refresh_procedure", S.WITH_GOLD + "SELECT COUNT(DISTINCT processing_date) AS days, COUNT(*) AS patients FROM gold")
 def _(t):
     """Refresh of the daily table as a job: aggregate, rewrite its partitions, read back."""
     path = writers.scratch_path(t.spark, "u5")
-    daily = I.daily_statistics(t.gold).withColumn("stat_year", F.year("stat_date"))
-    I.rebuild_partitions(daily, path, ["stat_year"])
+    stats = daily.daily_statistics().full(t.gold).withColumn("stat_year", F.year("stat_date"))
+    I.rebuild_partitions(stats, path, ["stat_year"])
     return t.spark.read.parquet(path).agg(n().alias("days"), F.sum("total_records").alias("patients"))

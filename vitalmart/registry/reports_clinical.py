@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vitalmart.functions.bands import band
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators.aggregate import most_common, value_distribution
-from vitalmart.plans import jobs, reports, samples
+from vitalmart.plans import daily, jobs, reports, samples
 from vitalmart.rules import clinical as R
 from vitalmart.sources.writers import staged
 
@@ -80,7 +80,7 @@ def _(t):
        " UNION ALL SELECT time, 'diabetic_patients', CAST(s AS DOUBLE) FROM d UNION ALL SELECT time, 'diabetic_rate_pct', "
        + S.r(S.r("s / n", 6) + " * 1e2", 2) + " FROM d")
 def _(t):
-    return reports.daily_trend_analysis(reports.daily_outcome_stats(t.categories))
+    return reports.daily_trend_analysis(daily.outcome_stats().full(t.categories))
 
 
 @query("v14_risk_distribution", S.report({"category": "risk_category"}, {

@@ -10,7 +10,7 @@ from vitalmart import streaming as T
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators.aggregate import mean, metric_rows, n, n_if
 from vitalmart.sources.writers import scratch_path
-from vitalmart.streaming.jobs import PRESSURE_LIMITS, event_measures
+from vitalmart.streaming.jobs import PRESSURE_LIMITS, closed_measures, event_measures
 
 from . import sql as S
 from .base import query
@@ -41,12 +41,18 @@ def _target(t, name):
     return scratch_path(t.spark, name)
 
 
+def _with_end(t, after):
+    """The event stream and a clock that stands ``after`` the newest event, so that every window closes."""
+    path = _target(t, "clock")
+    t.events.agg((F.max("ts").cast("timestamp") + after).alias("ts")).write.parquet(path)
+    return T.with_heartbeat(_events(t), T.open_stream(t.spark, path, "ts timestamp"), "ts")
+
+
 def _windows(t, every, name, start=None):
-    """Windows upserted as they change, in partitions by day."""
-    windows = T.tumbling(_events(t), "ts", every, event_measures(), start=start)
-    windows = windows.withColumn("day", C("window_start").cast("date"))
-    run = T.run_upsert(windows, _target(t, name), ["day", "window_start"], ["day"])
-    return _text(run.finished().drop("day"), "window_start", "window_end")
+    """Windows appended once, when the watermark closes them."""
+    windows = T.tumbling(_with_end(t, F.make_dt_interval(days=F.lit(9))), "ts", every, closed_measures(), start=start)
+    run = T.run_append(windows.where("events > 0"), _target(t, name))
+    return _text(run.finished(), "window_start", "window_end")
 
 
 @query("t1_tumbling_hourly", _tumbling_sql("hour", "1 HOUR"))
@@ -64,17 +70,23 @@ def _(t):
     return _windows(t, "7 days", "t1-week", start="4 days")
 
 
+@query("t1_tumbling_hourly_upserted", _tumbling_sql("hour", "1 HOUR"))
+def _(t):
+    """Windows that may still change, upserted in partitions by day."""
+    windows = T.tumbling(_events(t), "ts", "1 hour", event_measures()).withColumn("day", C("window_start").cast("date"))
+    run = T.run_upsert(windows, _target(t, "t1-upsert"), ["day", "window_start"], ["day"])
+    return _text(run.finished().drop("day"), "window_start", "window_end")
+
+
 @query("t2_sliding_alerts", "WITH x AS (SELECT ts, event_type, unnest(range(24)) AS back FROM events), w AS (SELECT date_trunc('hour', ts) -"
        " to_hours(CAST(back AS INTEGER)) AS s, event_type FROM x), a AS (SELECT s, COUNT(*) AS events, " + S.rate("event_type = 'error'", 4)
        + " AS current_value FROM w GROUP BY s) SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 24 HOUR,"
        " '%Y-%m-%d %H:%M:%S') AS window_end, events, current_value, CASE WHEN current_value > 22 THEN 'Critical' ELSE 'Warning' END AS alert_level"
        " FROM a WHERE current_value > 20")
 def _(t):
-    """Hourly sums come from the stream; the overlapping windows are made of these few rows."""
-    hours = T.tumbling(_events(t), "ts", "1 hour", {"events": n(), "errors": n_if(C("event_type") == "error")})
-    hours = hours.withColumn("day", C("window_start").cast("date"))
-    sums = T.run_upsert(hours, _target(t, "t2"), ["day", "window_start"], ["day"]).finished()
-    return _text(T.sliding_alerts(sums, "window_start", ("events", "errors"), 24, 22.0, 20.0), "window_start", "window_end")
+    """Windows, rates and levels are made in the stream; the sink holds the alerts."""
+    alerts = T.sliding_alerts(_with_end(t, F.make_dt_interval(days=F.lit(2))), "ts", "24 hours", "1 hour", C("event_type") == "error", 22.0, 20.0)
+    return _text(T.run_append(alerts, _target(t, "t2")).finished(), "window_start", "window_end")
 
 
 @query("t3_metrics_collection", "SELECT 'events' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM events UNION ALL SELECT 'avg_value', "
@@ -105,3 +117,16 @@ def _(t):
 def _(t):
     now = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
     return _text(T.run_complete(T.freshness(_events(t), "ts", now, ["event_type"]), _target(t, "t6")).finished(), "newest")
+
+
+_SILENT = 6 * 3600
+
+
+@query("t6_silence_alerts", "WITH e AS (SELECT CAST(user_id AS VARCHAR) AS key, ts, COUNT(*) OVER (PARTITION BY user_id ORDER BY ts) AS events_before,"
+       " LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events) SELECT key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS silent_since,"
+       f" events_before FROM e WHERE next IS NULL OR epoch_us(next) - epoch_us(ts) > {_SILENT * 1_000_000}")
+def _(t):
+    """Users without an event for six hours; nobody sends any after the end, which only the clock tells."""
+    alerts = T.silences(_with_end(t, F.make_dt_interval(days=F.lit(2))), "user_id", "ts", _SILENT)
+    out = T.run_append(alerts, _target(t, "t6-silence")).finished()
+    return out.withColumn("silent_since", F.date_format("silent_since", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
