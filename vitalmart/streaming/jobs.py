@@ -49,21 +49,38 @@ def daily(df: DataFrame, ts: str, measures: dict[str, Column], keys: list[str],
         F.col("window_start").cast("date").alias("day"), *keys, *measures)
 
 
-def sliding_alerts(sums: DataFrame, start: str, counts: tuple[str, str], hours: int, crit: float, warn: float, digits: int = 4) -> DataFrame:
-    """Alert level of a rate over windows of ``hours`` hours that begin every hour, Normal ones left out.
+def with_heartbeat(events: DataFrame, beats: DataFrame, ts: str) -> DataFrame:
+    """Events and the time stamps of a clock as one stream, ``is_beat`` telling them apart.
 
-    ``sums`` has one row per hour, so only these few rows stand in several windows;
-    ``counts`` names the rows counted and those among them that raise the rate.
+    A watermark moves with what arrives, so windows of a source that fell silent would never close. Rows of
+    ``beats`` (column ``ts``) move it; they count in no measure of ``counted``.
     """
-    total, bad = counts
-    begins = F.transform(F.sequence(F.lit(0), F.lit(hours - 1)), lambda h: F.col(start) - F.make_dt_interval(hours=h))
-    slid = sums.select(F.explode(begins).alias("window_start"), total, bad).groupBy("window_start").agg(
-        F.sum(total).alias("events"), F.sum(bad).alias("_bad"))
-    found = slid.withColumn("current_value", pct("_bad", "events", digits))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name != ts]
+    beat = beats.select(F.col(ts).cast("timestamp").alias(ts), *empty, F.lit(True).alias("is_beat"))
+    return events.withColumn("is_beat", F.lit(False)).unionByName(beat)
+
+
+def counted(measures: dict[str, Column]) -> dict[str, Column]:
+    """Count of the real rows of a stream with heartbeats, and the measures (which skip NULL)."""
+    return {"events": n_if(~F.col("is_beat")), **measures}
+
+
+def sliding_alerts(df: DataFrame, ts: str, size: str, slide: str, bad: Column, crit: float, warn: float, lateness: str = "1 hour",
+                   digits: int = 4) -> DataFrame:
+    """Alert level of the share of bad rows (percent) over overlapping windows, Normal ones left out.
+
+    Windows are kept in the stream's state as two counts each. In append mode a window's alert goes out
+    once, when the watermark closes the window; a restarted stream continues from its state and repeats none.
+    Rows with ``is_beat`` (see ``with_heartbeat``) only move time.
+    """
+    real = ~F.col("is_beat") if "is_beat" in df.columns else F.lit(True)
+    slid = df.withWatermark(ts, lateness).groupBy(F.window(ts, size, slide).alias("w")).agg(
+        n_if(real).alias("events"), n_if(real & bad).alias("_bad"))
+    found = slid.where(F.col("events") > 0).withColumn("current_value", pct("_bad", "events", digits))
     v = F.col("current_value")
     level = first_match([(v > crit, "Critical"), (v > warn, "Warning")], "Normal")
-    return found.select("window_start", (F.col("window_start") + F.make_dt_interval(hours=F.lit(hours))).alias("window_end"), "events",
-                        "current_value", level.alias("alert_level")).where(F.col("alert_level") != "Normal")
+    return found.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events", "current_value",
+                        level.alias("alert_level")).where(F.col("alert_level") != "Normal")
 
 
 def clean_stream(df: DataFrame, key: str, ts: str, bounds: dict, lateness: str = "1 hour") -> DataFrame:
@@ -166,4 +183,9 @@ def event_measures() -> dict[str, Column]:
     return {"events": n(), "errors": n_if(F.col("event_type") == "error"), "avg_value": rnd(F.avg("value"), 6)}
 
 
+# for windows closed by heartbeats, which have no event type
+def closed_measures() -> dict[str, Column]:
+    return counted({"errors": n_if(F.col("event_type") == "error"), "avg_value": rnd(F.avg("value"), 6)})
+
+
 PRESSURE_LIMITS = {"value": R.Bounds(1, 200, False)}
