@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from vitalmart.functions.numeric import rnd
@@ -53,3 +55,36 @@ def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "row_
     return (dealt.withColumn("_rn", inside).join(before, same)
             .withColumn(out, (F.col("_before") + F.col("_rn")).cast("bigint"))
             .select(*df.columns, out))
+
+
+def series_windows(df: DataFrame, by: list[str], order: list[str], reach: int, columns: dict[str, Callable[[WindowSpec], Column]],
+                   chunk: int = 100_000) -> DataFrame:
+    """Window columns that look at most ``reach`` rows back, over series of any length.
+
+    A plain window sorts a whole series in one task, and all rows if there is no ``by``. Here rows are numbered
+    along the series (by ranges, see ``number_rows``) and cut into pieces of ``chunk`` rows; the last ``reach``
+    rows of a piece also stand before the next one, where they are looked at and left out. Each entry
+    of ``columns`` gets the window, ordered and cut so that ``lag`` and trailing frames are right.
+    """
+    if not 0 < reach <= chunk:
+        raise ValueError("the rows looked back to must lie in the piece before")
+    numbered = number_rows(df, by, order, "_nth")
+    own = F.floor((F.col("_nth") - 1) / chunk)
+    ahead = (F.col("_nth") - 1) % chunk >= chunk - reach
+    copies = F.when(ahead, F.array(own, own + 1)).otherwise(F.array(own))
+    window = Window.partitionBy(*by, "_piece").orderBy("_nth")
+    rows = numbered.withColumn("_own", own).withColumn("_piece", F.explode(copies))
+    return rows.withColumns({name: make(window) for name, make in columns.items()}).where("_piece = _own").select(*df.columns, *columns)
+
+
+def trailing_mean_of(x: Column | str, rows: int, digits: int) -> Callable[[WindowSpec], Column]:
+    return lambda w: rnd(F.avg(x).over(w.rowsBetween(-(rows - 1), 0)), digits)
+
+
+def change_of(x: str) -> Callable[[WindowSpec], Column]:
+    """Increasing / Decreasing / Stable against the row before."""
+    def label(w: WindowSpec) -> Column:
+        before = F.lag(x).over(w)
+        return F.when(F.col(x) > before, F.lit("Increasing")).when(F.col(x) < before, F.lit("Decreasing")).otherwise(F.lit("Stable"))
+
+    return label

@@ -17,6 +17,8 @@ from vitalmart.functions.bands import recode
 from vitalmart.functions.numeric import rnd
 from vitalmart.operators.aggregate import metric_rows, n, n_if, rate, report, text_number
 from vitalmart.operators.joins import new_rows
+from vitalmart.sources.keystore import KeyStore
+from vitalmart.sources.writers import staged
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -54,12 +56,21 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFr
     return target.unionByName(fresh.select(*target.columns))
 
 
-def append_new(source: DataFrame, target_path: str, key: str, partition_by: list[str] = ()) -> None:
-    """Insert rows with unseen keys into the Parquet table at target_path."""
+def append_new(source: DataFrame, target_path: str, key: str, partition_by: list[str] = (), store: KeyStore | None = None) -> None:
+    """Insert rows with unseen keys into the Parquet table at target_path.
+
+    With a ``store`` of the target's keys the target is not read: the store answers which rows are new, and
+    learns their keys when they are inserted. After a run that ended between the two, add the target's keys to
+    the store before the next load.
+    """
     spark = source.sparkSession
-    fresh = new_rows(source, spark.read.parquet(target_path), key)
+    fresh = store.unseen(source, key) if store else new_rows(source, spark.read.parquet(target_path), key)
+    if store:
+        fresh = staged(fresh, "fresh-rows")  # written to the target and asked for its keys
     writer = fresh.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target_path)
+    if store:
+        store.add(fresh.select(key))
 
 
 def upsert_partitions(changes: DataFrame, target_path: str, keys: list[str], partition_by: list[str], schema=None) -> None:

@@ -11,9 +11,10 @@ from vitalmart.functions.numeric import rnd
 from vitalmart.operators import quality as Q
 from vitalmart.operators.aggregate import n, report
 from vitalmart.plans import incremental as I
-from vitalmart.plans import daily, jobs, layers, reports, samples
+from vitalmart.plans import daily, jobs, layers, reports, retention, runner, samples
 from vitalmart.rules import clinical as R
 from vitalmart.sources import writers
+from vitalmart.sources.keystore import KeyStore
 
 from . import sql as S
 from .base import ORACLES, query
@@ -35,6 +36,18 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("i1_insert_new_by_key_store", "SELECT o_orderkey, o_orderstatus FROM orders")
+def _(t):
+    """The same with the target's keys in a store; the second load is given twice."""
+    path = writers.scratch_path(t.spark, "i1")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    store = KeyStore(t.spark, writers.scratch_name("i1_keys"), "o_orderkey", int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    for load in (rows.where(C("o_orderstatus") == "F"), rows, rows):
+        I.append_new(load, path, "o_orderkey", store=store)
+    store.drop()
+    return t.spark.read.parquet(path)
+
+
 _CHANGES = ("SELECT o_orderkey, o_orderstatus, 0e0 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT -1 - o_orderkey,"
             " o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority = '5-LOW'")
 
@@ -88,16 +101,31 @@ def _(t):
     return report(t.spark.read.parquet(path), {"y": C("y").cast("bigint")}, {"orders": n(), "total": rnd(F.sum("o_totalprice"), 2)})
 
 
-@query("i5_retention", "SELECT 'kept' AS part, COUNT(*) FILTER (WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - 14) AS n_rows FROM events UNION ALL"
-       " SELECT 'archived', COUNT(*) FILTER (WHERE CAST(ts AS DATE) < DATE '2024-01-31' - 14) FROM events UNION ALL SELECT 'retained',"
-       " COUNT(*) FILTER (WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - 14) FROM events")
+_CUT = "DATE '2024-01-31' - 14"
+
+
+@query("i5_retention", f"SELECT 'kept' AS part, event_id FROM events WHERE CAST(ts AS DATE) >= {_CUT} UNION ALL"
+       f" SELECT 'archived', event_id FROM events WHERE CAST(ts AS DATE) < {_CUT}")
+def _(t):
+    """The table after the delete, and its archive: one month, cut within it."""
+    return _after_retention(t, "month", [0])
+
+
+@query("i5_retention_by_day", f"SELECT 'kept' AS part, event_id FROM events WHERE CAST(ts AS DATE) >= {_CUT} UNION ALL"
+       f" SELECT 'archived', event_id FROM events WHERE CAST(ts AS DATE) < {_CUT}")
 def _(t):
-    day = t.events.select(C("ts").cast("date").alias("day"))
-    as_of = F.lit(dt.date(2024, 1, 31))
-    kept, old = I.archive_split(day, "day", as_of, 14)
-    parts = {"kept": kept, "archived": old, "retained": I.retain(day, "day", as_of, 14)}
-    out = [df.agg(n().alias("n_rows")).select(F.lit(k).alias("part"), "n_rows") for k, df in parts.items()]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    """Daily partitions, cut on two days in turn: whole folders leave, none is rewritten."""
+    return _after_retention(t, "day", [5, 0])
+
+
+def _after_retention(t, unit, days_before):
+    table, root = writers.scratch_name("i5_events"), writers.scratch_path(t.spark, "i5")
+    retention.create_by_period(t.events.select("event_id", "ts"), table, "ts", unit, f"{root}/table")
+    for back in days_before:
+        retention.expire(t.spark, table, "ts", dt.date(2024, 1, 31) - dt.timedelta(back), 14, unit, f"{root}/archive")
+    t.spark.sql(f"DROP TABLE {table}")
+    kept = t.spark.read.parquet(f"{root}/table").select(F.lit("kept").alias("part"), "event_id")
+    return kept.unionByName(retention.archived(t.spark, f"{root}/archive", ["event_id"]).withColumn("part", F.lit("archived")))
 
 
 _STATUS = {"view": "running", "click": "running", "purchase": "completed", "error": "failed"}
@@ -306,6 +334,42 @@ def _(t):
     return t.spark.read.schema("bmi_category string, total_count bigint, diabetes_rate double").json(f"{root}/report")
 
 
+def _resumed_load(t):
+    """Bronze, features and report as a job whose second stage fails at first and which is then started again."""
+    tries, ticks = [], iter(range(1000))
+
+    def features(done):
+        tries.append(1)
+        if len(tries) == 1:
+            raise RuntimeError("no space left")
+        return layers.gold_features(layers.silver_basic(done["bronze"]))
+
+    stages = [("bronze", lambda _: t.clinical), ("features", features), ("report", lambda done: reports.bmi_category_analysis(done["features"]))]
+    job = runner.Job(t.spark, writers.scratch_path(t.spark, "i12-job"), "load", stages, lambda: AT + dt.timedelta(seconds=next(ticks)))
+    try:
+        job.run("run-1")
+    except RuntimeError:
+        pass
+    return job, job.run("run-1")
+
+
+@query("i12_resumed_load", ORACLES["i12_load_clean_export"])
+def _(t):
+    return _resumed_load(t)[1].select("bmi_category", "total_count", "diabetes_rate")
+
+
+@query("i6_run_log_of_a_resumed_job", S.WITH_FEATURES + "SELECT 'bronze' AS stage, 'completed' AS status, COUNT(*) AS records, 1 AS starts, 0 AS failures,"
+       " 1e0 AS duration_seconds FROM clinical UNION ALL SELECT 'features', 'completed', COUNT(*), 2, 1, 3e0 FROM features UNION ALL"
+       " SELECT 'report', 'completed', COUNT(DISTINCT bmi_category), 1, 0, 1e0 FROM features")
+def _(t):
+    """What the job wrote about itself: the finished first stage was started once, the failed one twice."""
+    log = _resumed_load(t)[0].log()
+    states = I.run_states(log).select(C("pipeline_stage").alias("stage"), "status", C("records_processed").alias("records"), "duration_seconds")
+    counts = report(log, {"stage": "pipeline_stage"}, {"starts": F.count_if(C("status") == "running").cast("int"),
+                                                       "failures": F.count_if(C("status") == "failed").cast("int")})
+    return states.join(counts, "stage")
+
+
 @query("i13_processing_report", S.WITH_GOLD + "SELECT 0 AS section, 'Processing report 2024-01-15 12:00:00' AS line FROM gold GROUP BY 1 UNION ALL SELECT 1,"
        " 'bronze: ' || COUNT(*) || ' records' FROM clinical UNION ALL SELECT 1, 'gold: ' || COUNT(*) || ' records' FROM gold UNION ALL SELECT 2,"
        " 'records: ' || COUNT(*) || '.0 (ok)' FROM gold")

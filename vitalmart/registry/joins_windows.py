@@ -11,9 +11,11 @@ from vitalmart.operators import joins as J
 from vitalmart.operators import windows as W
 from vitalmart.plans import samples
 from vitalmart.rules import clinical as R
+from vitalmart.sources.keystore import KeyStore
+from vitalmart.sources.writers import scratch_name, staged
 
 from . import sql as S
-from .base import query
+from .base import ORACLES, query
 from .reports_gold import PERFORMANCE
 
 C = F.col
@@ -26,6 +28,17 @@ def _(t):
     return J.new_rows(t.orders, t.lineitem, "o_orderkey", "l_orderkey").select("o_orderkey", "o_orderstatus")
 
 
+@query("j1_incremental_by_key_store", ORACLES["j1_incremental_anti_join"])
+def _(t):
+    """The target's keys stand bucketed in a store, filled by two loads: only the asking side moves."""
+    store = KeyStore(t.spark, scratch_name("j1_keys"), "l_orderkey", int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    for part in (C("l_linenumber") < 3, F.lit(True)):
+        store.add(t.lineitem.where(part).select("l_orderkey"))
+    out = staged(store.unseen(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey"), "j1")
+    store.drop()
+    return out
+
+
 @query("j2_one_row_aggregates", S.select({"patients": S.cnt("TRUE"), "share_of_orders": S.pct("COUNT(*)", "(SELECT COUNT(*) FROM orders)", 4),
                                           "avg_balance": S.avg("c_acctbal", 4)}, "customer"))
 def _(t):
@@ -136,6 +149,30 @@ def _(t):
                           "trend": W.trend_label("accuracy", "evaluation_date", ["model_id"])})
 
 
+_LINE = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+_LINES = "ORDER BY " + ", ".join(_LINE)
+
+
+@query("w2_trailing_mean_of_lines", "SELECT l_orderkey, l_linenumber, " + S.r(f"AVG(l_quantity) OVER ({_LINES} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4)
+       + " AS ma7 FROM lineitem")
+def _(t):
+    """One series over all order lines, in pieces."""
+    rows = t.lineitem.select(*_LINE, "l_quantity")
+    out = W.series_windows(rows, [], _LINE, 6, {"ma7": W.trailing_mean_of("l_quantity", 7, 4)}, 5_000)
+    return out.select("l_orderkey", "l_linenumber", "ma7")
+
+
+@query("w3_change_between_lines", f"WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, LAG(l_quantity) OVER (PARTITION BY l_returnflag {_LINES}) AS prev"
+       " FROM lineitem) SELECT l_orderkey, l_linenumber, prev, CASE WHEN l_quantity > prev THEN 'Increasing' WHEN l_quantity < prev THEN 'Decreasing'"
+       " ELSE 'Stable' END AS trend FROM l")
+def _(t):
+    """Three long series (one per flag), each in pieces."""
+    rows = t.lineitem.select("l_returnflag", *_LINE, "l_quantity")
+    out = W.series_windows(rows, ["l_returnflag"], _LINE, 1,
+                           {"prev": lambda w: F.lag("l_quantity").over(w), "trend": W.change_of("l_quantity")}, 5_000)
+    return out.select("l_orderkey", "l_linenumber", "prev", "trend")
+
+
 @query("w4_row_number_per_file", "SELECT o_orderstatus, o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS BIGINT)"
        " AS row_number FROM orders")
 def _(t):

@@ -15,6 +15,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitalmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_name(name: str) -> str:
+    """Fresh name for a catalog table."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written below the shared checkpoint folder and read back: a step others read several times."""
     path = scratch_path(df.sparkSession, name)
