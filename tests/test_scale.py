@@ -201,3 +201,17 @@ def test_measures_of_groups_without_values(spark):
     m = {"avg": partials.mean("v", 2), "sd": partials.deviation("v", 2), "share": partials.rate(C("v") > 1, 1), "n": partials.count()}
     got = {r["g"]: tuple(r)[1:] for r in partials.full_report(df, {"g": "g"}, m).collect()}
     assert got == {"a": (None, None, 0.0, 1), "b": (2.0, None, 100.0, 1)}
+
+
+# ---- gathered levels -------------------------------------------------------
+def test_levels_are_counted_before_they_are_gathered(spark):
+    from vitalmart.operators import aggregate as A
+    from vitalmart.sources.writers import report_document
+    df = spark.range(300).select((C("id") % 2).alias("g"), F.when(C("id") > 5, (C("id") % 100).cast("string")).alias("v"))
+    assert {r["g"]: r["t"].count("-") for r in A.joined_values(df, ["g"], "v", "-", "t").collect()} == {0: 49, 1: 49}
+    for gather in (A.joined_values, lambda d, k, x, s, out, most: A.value_distribution(d, k, x, out, most)):
+        with pytest.raises(ValueError, match="value_counts"):
+            gather(df, ["g"], "v", "-", "t", 49)
+    with pytest.raises(ValueError, match="write_json"):
+        report_document({"all": df}, F.lit("now"), 299)
+    assert report_document({"all": df}, F.lit("now"), 300).count() == 1

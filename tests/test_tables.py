@@ -307,3 +307,15 @@ def test_business_metric_denominators(spark):
     by_class, over_all = E.business_metrics(cm).first(), E.business_metrics(cm, "all").first()
     assert by_class["false_negative_rate"] == 20.0 and over_all["false_negative_rate"] == 2.0
     assert by_class["cost_of_false_negatives"] == 2000 and by_class["cost_of_false_positives"] == 1000
+
+
+def test_a_constant_classifier_fails_the_model_queries(spark):
+    """The rows of m4 to m7 tell a fit that learned nothing."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from vitalmart.registry import base, models
+    t = base.Tables(spark, "/root/testdata/sf0.001")
+    stump = DecisionTreeClassifier(featuresCol="features", labelCol="label", maxDepth=0)
+    row = models._evaluated(t, stump, 0.93, 0.93).first()
+    assert (row["ranks_right"], row["decides_right"], row["beats_constant"]) == (False, False, False)
+    early = models._optimal(t, maxIter=0).first()
+    assert not early["gradient_vanishes"]

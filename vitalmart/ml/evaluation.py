@@ -56,6 +56,28 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     return predictions.sparkSession.createDataFrame([Row(**values)])
 
 
+def penalised_gradient(model: PipelineModel, scored: DataFrame, label: str = LABEL) -> DataFrame:
+    """How far a logistic fit is from the optimum of its loss, over the rows it was fitted to: one row with the rows
+    fitted, the positives and the largest absolute (sub)gradient of the mean penalised loss.
+
+    Features must have deviation one, as ``feature_pipeline`` makes them. A coefficient of zero
+    may have any slope up to its share of the absolute penalty.
+    """
+    fit = classifier_of(model)
+    weights, reg, mix = fit.coefficients.toArray(), fit.getRegParam(), fit.getElasticNetParam()
+    miss = positive_probability() - C(label)
+    x = vector_to_array("features")
+    slopes = scored.where(C("prediction").isNotNull() & C(label).isNotNull()).agg(
+        n().alias("fitted"), F.sum(label).cast("bigint").alias("positives"), F.avg(miss).alias("_b"),
+        *[F.avg(miss * x[i]).alias(f"_{i}") for i in range(len(weights))])
+    parts = [F.abs("_b")]
+    for i, w in enumerate(weights):
+        smooth = C(f"_{i}") + F.lit(reg * (1 - mix) * float(w))
+        edge = reg * mix
+        parts.append(F.abs(smooth + F.lit(edge if w > 0 else -edge)) if w else F.greatest(F.abs(smooth) - F.lit(edge), F.lit(0.0)))
+    return slopes.select("fitted", "positives", F.greatest(*parts).alias("gradient"))
+
+
 def prediction_distribution(predictions: DataFrame, predicted: str = "prediction") -> DataFrame:
     """Rows and percentage per predicted class."""
     counted = predictions.groupBy(C(predicted).cast("bigint").alias("class_label")).agg(n().alias("count"))

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from vitalmart.functions.numeric import col, fold_sum, pct, ratio, rnd
 
 
+# levels of a category that may be gathered into one value
+LEVELS = 10_000
+
+
 # ---- measures --------------------------------------------------------------
 def n() -> Column:
     return F.count(F.lit(1))
@@ -139,10 +143,22 @@ def value_counts(df: DataFrame, keys: list[str], x: str, out: str = "n_rows") ->
     return df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(n().alias(out))
 
 
-def value_distribution(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
+def few_levels(levels: DataFrame, keys: list[str], most: int = LEVELS) -> DataFrame:
+    """``levels`` (one row per key and value) unchanged, once it is known that no key has more than ``most`` of them.
+
+    Gathering makes one value of a key's levels, in one task. More levels than a reader can use are an error
+    that names the form for them.
+    """
+    widest = levels.groupBy(*keys).agg(n().alias("_n")).agg(F.max("_n").alias("m")).first()["m"] or 0
+    if widest > most:
+        raise ValueError(f"a group has {widest} different values, more than {most}: take value_counts, which lists them as rows")
+    return levels
+
+
+def value_distribution(df: DataFrame, keys: list[str], x: str, out: str, most: int = LEVELS) -> DataFrame:
     """Map value -> count per key, for categories: the map is one value and holds all levels
-    of a group. Counts are made before they are gathered. Wide columns take ``value_counts``."""
-    counted = value_counts(df, keys, x, "_n")
+    of a group, at most ``most``. Counts are made before they are gathered. Wide columns take ``value_counts``."""
+    counted = few_levels(value_counts(df, keys, x, "_n"), keys, most)
     entries = F.array_sort(F.collect_list(F.struct(F.col(x).alias("key"), F.col("_n").alias("value"))))
     return counted.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
 
@@ -157,10 +173,16 @@ def most_common(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
     return counted.groupBy(*keys).agg(best.getField("v").alias(out))
 
 
-def joined_values(x: Column | str, sep: str) -> Column:
-    """Distinct values of a category as sorted text: one value that holds all levels of a group.
-    Wide columns take ``value_counts``, which lists them as rows."""
-    return F.array_join(F.array_sort(F.collect_set(col(x))), sep)
+def joined_values(df: DataFrame, keys: list[str], x: str, sep: str, out: str, most: int = LEVELS) -> DataFrame:
+    """Per key the different values of a category as sorted text, at most ``most`` of them.
+    Values are made distinct by all tasks before a group is gathered."""
+    levels = few_levels(df.where(F.col(x).isNotNull()).select(*keys, x).distinct(), keys, most)
+    return levels.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(x)), sep).alias(out))
+
+
+def joined_labels(label: Column | str, sep: str) -> Column:
+    """The same as a measure, for labels that a rule gives: their number is bounded by the rule, not by the data."""
+    return F.array_join(F.array_sort(F.collect_set(col(label))), sep)
 
 
 # ---- classification --------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import band, first_match, order_rank, recode
 from vitalmart.functions.numeric import pct, ratio, rnd
-from vitalmart.operators.aggregate import (confusion_counts, corr, joined_values, mean, mean_if,
+from vitalmart.operators.aggregate import (confusion_counts, corr, joined_labels, mean, mean_if,
                                            metric_rows, n, n_if, rate, report, sd, struct_rows,
                                            text_number, total)
 from vitalmart.operators.quantiles import exact_percentiles
@@ -134,7 +134,7 @@ def intervention_priority_analysis(gold: DataFrame) -> DataFrame:
     return report(gold, ["intervention_priority"], {
         "patient_count": n(), "diabetic_count": n_if(sick()), "avg_risk_score": mean("risk_score", 2),
         "avg_prediction_confidence": mean("prediction_probability", 2),
-        "cost_categories": joined_values("estimated_cost_category", ", ")},
+        "cost_categories": joined_labels("estimated_cost_category", ", ")},
         {"percentage": ("patient_count", 2)}).orderBy(order_rank("intervention_priority", R.PRIORITY_ORDER))
 
 
@@ -412,7 +412,7 @@ def treatment_intervention_analysis(gold: DataFrame, as_of: date) -> DataFrame:
         "patient_count": n(), "referral_needed": n_if(refer), "referral_rate": rate(refer, 1),
         "avg_risk_score": mean("risk_score", 3), "avg_glucose": mean("glucose", 1), "avg_bmi": mean("bmi", 1),
         "estimated_total_cost": total(annual_cost()), "avg_cost_per_patient": F.floor(total(annual_cost()) / n()).cast("double"),
-        "clinical_recommendations": joined_values(text, "; ")}, {"distribution_percentage": ("patient_count", 1)}).orderBy(
+        "clinical_recommendations": joined_labels(text, "; ")}, {"distribution_percentage": ("patient_count", 1)}).orderBy(
         order_rank("intervention_priority", R.PRIORITY_ORDER[:3]), order_rank("followup_frequency", R.FOLLOWUP_ORDER))
 
 

@@ -192,7 +192,7 @@ def _(t):
 @query("a12_string_aggregation", "SELECT o_orderstatus, string_agg(DISTINCT o_orderpriority, '; ' ORDER BY o_orderpriority) AS priorities"
        " FROM orders GROUP BY o_orderstatus")
 def _(t):
-    return A.report(t.orders, ["o_orderstatus"], {"priorities": A.joined_values("o_orderpriority", "; ")})
+    return A.joined_values(t.orders, ["o_orderstatus"], "o_orderpriority", "; ", "priorities")
 
 
 @query("a13_value_distribution", "SELECT o_orderstatus, '{' || string_agg('\"' || o_orderpriority || '\":' || CAST(c AS VARCHAR), ','"

@@ -78,14 +78,16 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def report_document(sets: dict[str, DataFrame], at: Column) -> DataFrame:
+def report_document(sets: dict[str, DataFrame], at: Column, most: int = 100_000) -> DataFrame:
     """Several small result sets as one JSON document (a one-row table).
 
-    The sets are reports (one row per group), so gathering each into an array is
-    bounded by its groups.
+    The sets are reports (one row per group). One of more than ``most`` rows is no report and an error:
+    ``write_json`` writes it as lines.
     """
     cells = {}
     for name, df in sets.items():
+        if df.limit(most + 1).count() > most:
+            raise ValueError(f"{name} has more than {most} rows, too many for one document: take write_json")
         cells[name] = df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias("rows")).scalar()
     spark = next(iter(sets.values())).sparkSession
     one = spark.range(1).select(*[c.alias(n) for n, c in cells.items()], at.cast("string").alias("timestamp"))
