@@ -22,9 +22,9 @@ PADDED = 200_000    # tokens, padding included, of one batch of sequences
 
 _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
                     ("sizes", pa.list_(pa.int32())), ("tokens", pa.list_(pa.binary())), ("counts", pa.list_(pa.int32())),
-                    ("sequence", pa.list_(pa.int32()))])
+                    ("sequence", pa.binary())])
 _BLOCK_SQL = ("block bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, tokens array<binary>, "
-              "counts array<int>, sequence array<int>")
+              "counts array<int>, sequence binary")
 _CODED = pa.schema([("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
                     ("known", pa.list_(pa.int32())), ("base", pa.list_(pa.float64())), ("within", pa.list_(pa.float64())),
                     ("classes", pa.list_(pa.int16()))])
@@ -32,6 +32,18 @@ _CODED_SQL = ("doc_ids array<bigint>, held array<boolean>, sizes array<int>, kno
               "within array<double>, classes array<smallint>")
 
 
+def _packed(sequence: np.ndarray, distinct: int) -> bytes:
+    """Token numbers of a block in two bytes where they fit, else four, compressed: this is what a block
+    writes, moves and reads again, besides its dictionary."""
+    width = 2 if distinct <= 1 << 16 else 4
+    return bytes([width]) + pa.compress(sequence.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, length: int) -> np.ndarray:
+    width = packed[0]
+    return np.frombuffer(pa.decompress(packed[1:], length * width, codec="zstd"), f"<u{width}").astype(np.int32)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents coded against a dictionary of their block; counts are of training documents."""
     from pyspark import TaskContext
@@ -45,7 +57,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = np.fromiter(map(ids.__getitem__, flat(found)), dtype=np.int32, count=int(sizes.sum()))
         held = np.array(batch.column("held_out").to_pylist(), dtype=bool)
         counts = np.bincount(sequence[np.repeat(~held, sizes)], minlength=len(ids)).astype(np.int32)
-        yield record_batch(_BLOCK, [[task + number], [batch.column("doc_id").to_pylist()], [held], [sizes], [list(ids)], [counts], [sequence]])
+        yield record_batch(_BLOCK, [[task + number], [batch.column("doc_id").to_pylist()], [held], [sizes], [list(ids)], [counts],
+                                   [_packed(sequence, len(ids))]])
 
 
 def _class_column(token: Column) -> Column:
@@ -147,7 +160,8 @@ def _code(train: int, distinct: int, totals: np.ndarray, kinds: np.ndarray, batc
             places = looked.field("place").to_numpy()
             counts, classes = np.zeros(len(places), dtype=np.int64), np.zeros(len(places), dtype=np.int64)
             counts[places], classes[places] = looked.field("c").to_numpy(), looked.field("class").to_numpy()
-            sizes, sequence = get("sizes").to_numpy().astype(np.int64), get("sequence").to_numpy()
+            sizes = get("sizes").to_numpy().astype(np.int64)
+            sequence = _unpacked(batch.column("sequence")[row].as_py(), int(sizes.sum()))
             begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             base = np.log10(counts + 1.0) - floor
             # a class of its own is the token; the others share their class by add-one counts, with one part for the unseen
