@@ -76,3 +76,14 @@ def test_every_row_follows_its_own_verdict(spark):
     found = {(r.doc_id, r.text) for r in langid.keep_identified(docs).collect()}
     assert not found & {(i, t) for i, t, _, _ in (odd[0], odd[2], odd[3])}
     assert {(None, data[1][1]), (3, data[3][1])} <= found
+
+
+def test_stage_with_a_clashing_column(spark):
+    """Columns named like the operator's own neither break nor change the verdicts."""
+    docs = spark.createDataFrame([(i, "the cat sat on the mat and the dog" if i % 2 else "der Hund und die Katze auf der Matte", "en" if i % 2 else "de", 7)
+                                  for i in range(60)] + [(60, "12345", "en", 7)], "doc_id bigint, text string, lang string, rejected int")
+    clashing = docs.withColumn("rejected_", docs.rejected).withColumn("key", docs.rejected)
+    kept = langid.keep_identified(clashing)
+    assert kept.columns == clashing.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in langid.keep_identified(docs.drop("rejected")).collect())
+    assert 60 not in {r.doc_id for r in kept.collect()}

@@ -50,8 +50,10 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs whose ``row_key`` is not in the one column of ``keys``."""
-    gone = keys.toDF("rejected_row_key").distinct()
-    return docs.join(gone, row_key(id_col, text_col) == F.col("rejected_row_key"), "left_anti")
+    name = "rejected"
+    while name in docs.columns:  # of whatever columns the input has
+        name += "_"
+    return docs.join(keys.toDF(name).distinct(), row_key(id_col, text_col) == F.col(name), "left_anti")
 
 
 def ascii_lower(column: Column) -> Column:
