@@ -71,3 +71,19 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = spark.createDataFrame([(1, "a b\nc")], "doc_id bigint, text string")
     lines.dedup(docs).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_lines_of_one_template_give_pairs_in_proportion(spark):
+    """20 common words and one of its own: every two lines are alike, yet each line meets one earlier line per token."""
+    from pyspark.sql import functions as F
+    common = " ".join(f"c{i}" for i in range(20))
+    for n in (300, 600):
+        table = spark.range(n).select("id", F.concat(F.lit(common + " own"), F.col("id").cast("string")).alias("line"))
+        hashed = table.select("id", lines._hashes(F.col("line")).alias("hashes"))
+        rows = lines.prefix_rows(hashed, lines.rarity(hashed.select(F.explode("hashes").alias("h"))), 4, 5).cache()
+        pairs = lines.earliest_candidates(rows, 4, 5)
+        assert {(r.early, r.late) for r in pairs.collect()} == {(0, i) for i in range(1, n)}
+        rest = rows.where("id = 0")  # all others are settled
+        assert lines.candidates(rows, rest, 4, 5).count() == 0
+        out = lines.dedup(table.select(F.col("id").alias("doc_id"), F.col("line").alias("text")))
+        assert {r["row"].doc_id for r in out.where("n_removed = 0").collect()} == {0}

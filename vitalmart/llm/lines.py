@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalmart.operators.windows import number_rows
+
 from .common import split_at_spaces, stored, words_of
 
 SKETCH_BITS = 16  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
+HOT = 1000
 _LOW = 64 - SKETCH_BITS
 _WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -55,50 +58,47 @@ def _signature(keys: Column) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(bit(k)))
 
 
-def candidates(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of line ids that pass all filters of a join at Jaccard num/den.
+def prefix_rows(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
+    """Each line (id, hashes) once per token of its prefix, the rarest ones: two lines at Jaccard num/den share one there.
 
-    ``lines`` has id and hashes. Each line stands under the tokens of its prefix, the rarest
-    ones: two similar lines share one there. Length, position (tokens left after the shared one) and
-    signature filters are checked inside the join, so what leaves it are near matches only.
-    A line's tokens meet nowhere else; verification follows.
+    Rows carry what the filters of the join need: number of tokens, place of the token, signature.
     """
     sized = lines.withColumn("ranks", ranks.scalar()).select("id", _keys(F.col("hashes"), F.col("ranks")).alias("keys"))
     n = F.size("keys")
     prefix = n - F.ceil(n * num / den).cast("int") + 1
-    rows = sized.select("id", n.alias("n"), _signature(F.col("keys")).alias("sig"),
-                        F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("at", "key"))
-    a, b = rows.alias("x"), rows.alias("y")
-    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    return sized.select("id", n.alias("n"), _signature(F.col("keys")).alias("sig"), F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("at", "key"))
+
+
+def _close(x, y, num: int, den: int) -> Column:
+    """Length, position (tokens left after the shared one) and signature filters."""
     both = x("n") + y("n")
     least = F.ceil(both * num / (num + den))
-    close = (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & (
+    return (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & (
         F.least(x("n") - x("at"), y("n") - y("at")) >= least) & (F.bit_count(x("sig").bitwiseXOR(y("sig"))) <= both - 2 * least)
-    pairs = a.join(b, (x("key") == y("key")) & (x("id") < y("id")) & close)
-    return pairs.select(x("id").alias("a"), y("id").alias("b")).distinct()
 
 
-def _confirmed(pairs: DataFrame, lines_at, num: int, den: int) -> DataFrame:
-    """(kd, th, ln) of late lines that really are like an early one, verified on words.
+def earliest_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (early, late) of each line with the earliest line under each of its prefix tokens.
 
-    One match settles a line, so each late line is first held against its earliest candidate;
-    only lines this does not settle go on to all of theirs.
+    At most one per line and token, so lines that all resemble each other give pairs in proportion
+    to their number. A token's rows are summed up before they are shuffled; those of tokens with more than
+    1/HOT of all rows (fewer than HOT tokens) meet their earliest line where they lie.
     """
-    ends = pairs.select("early.kd", "early.th", "early.ln").union(pairs.select("late.kd", "late.th", "late.ln")).distinct()
-    asked = ends.groupBy("kd", "th").agg(F.collect_list("ln").alias("asked"))
-    words = stored(lines_at(asked, "asked", tokens_of), "words")
-
-    def alike(some: DataFrame) -> DataFrame:
-        for end in ("early", "late"):
-            some = some.join(words.select(*(F.col(c).alias(f"{end}_{c}") for c in words.columns)), [
-                F.col(f"{end}.{c}") == F.col(f"{end}_{c}") for c in ("kd", "th", "ln")])
-        shared = F.size(F.array_intersect("early_words", "late_words"))
-        return some.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num).select(
-            F.col("late_kd").alias("kd"), F.col("late_th").alias("th"), F.col("late_ln").alias("ln"))
-
-    settled = stored(alike(pairs.groupBy("late").agg(F.min("early").alias("early"))), "settled")
-    rest = pairs.join(settled, [F.col(f"late.{c}") == F.col(c) for c in ("kd", "th", "ln")], "left_anti")
-    return settled.union(alike(rest).distinct())
+    heads = rows.groupBy("key").agg(F.min(F.struct("id", "n", "sig", "at")).alias("head"), F.count("*").alias("lines")).where("lines > 1")
+    heads = stored(heads, "heads")
+    hot = F.broadcast(heads.where(F.col("lines") * HOT > F.lit(rows.count())))
+    x, y = (lambda c: F.col(f"head.{c}")), F.col
+    cool = rows.join(hot.select("key"), "key", "left_anti").join(heads, "key")
+    found = rows.join(hot, "key").unionByName(cool).where((x("id") < y("id")) & _close(x, y, num, den))
+    return found.select(x("id").alias("early"), y("id").alias("late")).distinct()
+
+
+def candidates(rows: DataFrame, late: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs (early, late) that pass the filters, of the ``late`` rows with all before them."""
+    a, b = rows.alias("x"), late.alias("y")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    pairs = a.join(b, (x("key") == y("key")) & (x("id") < y("id")) & _close(x, y, num, den))
+    return pairs.select(x("id").alias("early"), y("id").alias("late")).distinct()
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
@@ -112,16 +112,20 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
     same lines. Tokens are compared by 64-bit hashes in the join and as strings when verified.
 
     Equal lines are one line of the join (its first occurrence), so a line that holds a third of
-    all rows is one row per task before the shuffle and one row after.
+    all rows is one row per task before the shuffle and one row after. One earlier match settles
+    a line, so each is first held against the earliest line under each of its prefix tokens; only lines
+    that this does not settle are joined with all lines before them.
     """
     docs = docs.select(F.struct(*docs.columns).alias("row")).select("row", F.xxhash64(f"row.{id_col}").alias("kd"),
                                                                     F.xxhash64(f"row.{text_col}").alias("th"))
     doc, body = F.col("row")[id_col], F.col("row")[text_col]
     cut = docs.select(doc.alias("doc"), "kd", "th", F.posexplode(F.split(body, "\n")).alias("ln", "line")).where(F.col("line").rlike(_WORD))
-    order = F.struct(F.col("doc").isNull().alias("last"), "doc", "th", "ln", "kd")
-    firsts = stored(cut.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(F.min(order).alias("o")).select(
-        "o", F.xxhash64("o.kd", "o.th", "o.ln").alias("id")), "lines")
-    own = firsts.groupBy("o.kd", "o.th").agg(F.collect_list("o.ln").alias("own"))
+    order = ["last", "doc", "th", "ln", "kd"]
+    firsts = cut.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(
+        F.min(F.struct(F.col("doc").isNull().alias("last"), *order[1:])).alias("o")).select("o.*")
+    # the number of a line in that order is its id: ids compare as lines do
+    firsts = stored(number_rows(firsts, [], order, "id").select("kd", "th", "ln", "id"), "lines")
+    own = firsts.groupBy("kd", "th").agg(F.collect_list(F.struct("ln", "id")).alias("own"))
     ranks = stored(rarity(cut.select(F.explode(_hashes(F.col("line"))).alias("h"))), "rarity")
 
     # A document listed several times is read once. The order names all columns, so that this and
@@ -130,22 +134,32 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
         *(F.col("row")[c] for c in docs.schema["row"].dataType.names if c != text_col)))).where("copy = 1")
 
     def lines_at(numbers: DataFrame, column: str, words) -> DataFrame:
-        """kd, th, ln, words of the listed lines of each document."""
+        """id and words of the listed lines (ln, id) of each document."""
         found = _let(F.split(body, "\n"), lambda cuts: F.transform(column, lambda i: F.struct(
-            i.alias("ln"), words(F.get(cuts, i)).alias("words"))))
-        return once.join(numbers, ["kd", "th"]).select("kd", "th", F.explode(found).alias("l")).select("kd", "th", "l.ln", "l.words")
+            i["id"].alias("id"), words(F.get(cuts, i["ln"])).alias("words"))))
+        return once.join(numbers, ["kd", "th"]).select(F.explode(found).alias("l")).select("l.id", "l.words")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Ids of late lines of pairs that really are alike, verified on words."""
+        ends = pairs.select(F.explode(F.array("early", "late")).alias("id")).distinct()
+        asked = firsts.join(ends, "id").groupBy("kd", "th").agg(F.collect_list(F.struct("ln", "id")).alias("asked"))
+        words = stored(lines_at(asked, "asked", tokens_of), "words")
+        for end in ("early", "late"):
+            pairs = pairs.join(words.select(F.col("id").alias(end), F.col("words").alias(f"{end}_words")), end)
+        shared = F.size(F.array_intersect("early_words", "late_words"))
+        return pairs.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num).select(F.col("late").alias("id")).distinct()
 
-    hashed = lines_at(own, "own", _hashes).select(F.xxhash64("kd", "th", "ln").alias("id"), F.col("words").alias("hashes"))
-    pairs = stored(candidates(hashed, ranks, num, den), "candidates")
-    place = lambda c: firsts.select(F.col("id").alias(c), F.col("o").alias(f"o{c}"))
-    pairs = stored(pairs.join(place("a"), "a").join(place("b"), "b").select(
-        F.least("oa", "ob").alias("early"), F.greatest("oa", "ob").alias("late")), "pairs")
-    gone = stored(_confirmed(pairs, lines_at, num, den), "gone").groupBy("kd", "th").agg(F.collect_list("ln").alias("gone"))
+    rows = stored(prefix_rows(lines_at(own, "own", _hashes).withColumnRenamed("words", "hashes"), ranks, num, den), "prefixes")
+    settled = stored(alike(stored(earliest_candidates(rows, num, den), "earliest")), "settled")
+    late = rows.join(settled, "id", "left_anti")
+    pairs = stored(candidates(rows, late, num, den), "pairs")
+    others = stored(alike(pairs), "others")
+    gone = firsts.join(settled.union(others), "id").groupBy("kd", "th").agg(F.collect_list("ln").alias("gone"))
 
     def outcome(cuts: Column) -> Column:
         numbers = F.sequence(F.lit(0), F.size(cuts) - 1)
         worded = F.filter(numbers, lambda i: F.get(cuts, i).rlike(_WORD))
-        again = F.array_except(worded, F.coalesce("own", F.array().cast("array<int>")))
+        again = F.array_except(worded, F.coalesce("own.ln", F.array().cast("array<int>")))
         every = F.array_union(again, F.coalesce("gone", F.array().cast("array<int>")))
         return _let(every, lambda g: F.struct(F.size(worded).alias("n_lines"), F.size(g).alias("n_removed"), F.array_join(
             F.transform(F.array_except(numbers, g), lambda i: F.get(cuts, i)), "\n").alias("text")))
