@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from .common import split_at_spaces, stored, words_of
 
 SKETCH_BITS = 16  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
 HOT = 1000
+SLICES = 4
 _LOW = 64 - SKETCH_BITS
 _WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -77,6 +80,16 @@ def _close(x, y, num: int, den: int) -> Column:
         F.least(x("n") - x("at"), y("n") - y("at")) >= least) & (F.bit_count(x("sig").bitwiseXOR(y("sig"))) <= both - 2 * least)
 
 
+def _slices(rows: DataFrame) -> list[DataFrame]:
+    """The prefix rows by token, in parts that are joined one after the other: a join then keeps
+    only a part of the rows in shuffle files."""
+    return [rows.where(F.pmod(F.xxhash64("key"), F.lit(SLICES)) == k) for k in range(SLICES)]
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def earliest_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (early, late) of each line with the earliest line under each of its prefix tokens.
 
@@ -84,21 +97,26 @@ def earliest_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     to their number. A token's rows are summed up before they are shuffled; those of tokens with more than
     1/HOT of all rows (fewer than HOT tokens) meet their earliest line where they lie.
     """
-    heads = rows.groupBy("key").agg(F.min(F.struct("id", "n", "sig", "at")).alias("head"), F.count("*").alias("lines")).where("lines > 1")
-    heads = stored(heads, "heads")
-    hot = F.broadcast(heads.where(F.col("lines") * HOT > F.lit(rows.count())))
+    total, found = rows.count(), []
     x, y = (lambda c: F.col(f"head.{c}")), F.col
-    cool = rows.join(hot.select("key"), "key", "left_anti").join(heads, "key")
-    found = rows.join(hot, "key").unionByName(cool).where((x("id") < y("id")) & _close(x, y, num, den))
-    return found.select(x("id").alias("early"), y("id").alias("late")).distinct()
+    for part in _slices(rows):
+        heads = part.groupBy("key").agg(F.min(F.struct("id", "n", "sig", "at")).alias("head"), F.count("*").alias("lines")).where("lines > 1")
+        heads = stored(heads, "heads")
+        hot = F.broadcast(heads.where(F.col("lines") * HOT > F.lit(total)))
+        cool = part.join(hot.select("key"), "key", "left_anti").join(heads, "key")
+        near = part.join(hot, "key").unionByName(cool).where((x("id") < y("id")) & _close(x, y, num, den))
+        found.append(stored(near.select(x("id").alias("early"), y("id").alias("late")), "earliest"))
+    return _united(found)
 
 
 def candidates(rows: DataFrame, late: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs (early, late) that pass the filters, of the ``late`` rows with all before them."""
-    a, b = rows.alias("x"), late.alias("y")
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    pairs = a.join(b, (x("key") == y("key")) & (x("id") < y("id")) & _close(x, y, num, den))
-    return pairs.select(x("id").alias("early"), y("id").alias("late")).distinct()
+    found = []
+    for a, b in zip(_slices(rows), _slices(late)):
+        pairs = a.alias("x").join(b.alias("y"), (x("key") == y("key")) & (x("id") < y("id")) & _close(x, y, num, den))
+        found.append(stored(pairs.select(x("id").alias("early"), y("id").alias("late")).distinct(), "pairs"))
+    return _united(found)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
