@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vitalmart.functions.bands import recode
+from vitalmart.operators.aggregate import text_number
 from vitalmart.operators.partials import Measure, count, figures, full_report, kept_parts, mean, merged_parts, rate
 
 from .incremental import rebuild_partitions
@@ -159,3 +160,19 @@ def enhanced_daily_stats(day: str = "processing_date", unit: str = "day") -> Dai
         "avg_prediction_confidence": mean("prediction_probability", 2), "high_risk_count": level("High"),
         "critical_risk_count": level("Critical"), "immediate_intervention_count": count(_c("intervention_priority") == "Immediate"),
         "avg_data_quality": mean("quality_score", 2)}, unit=unit)
+
+
+def snapshot_metrics(day: str = "processing_date", unit: str = "day") -> DailyReport:
+    sick = _c("diabetes") == 1
+    return DailyReport(("stat_date", day), {
+        "total_patients": count(), "diabetic_patients": count(sick), "high_risk_patients": count(_high()), "avg_glucose": mean("glucose", 1),
+        "avg_bmi": mean("bmi", 1), "diabetes_rate": rate(sick, 1), "high_risk_rate": rate(_high(), 1)}, unit=unit)
+
+
+def snapshot(parts: DataFrame, report: DailyReport) -> DataFrame:
+    """Long latest-metrics rows out of the kept parts of all days: counts, averages and percentages as text."""
+    kinds = {name: "count" if set(m.keep) == {"n"} else "percentage" if "hits" in m.keep else "average" for name, m in report.measures.items()}
+    wide = combined(parts, [], report.measures)
+    text = {name: _c(name).cast("string") if kind == "count" else text_number(_c(name), 1) for name, kind in kinds.items()}
+    rows = wide.select(*[c.alias(name) for name, c in text.items()]).unpivot([], list(kinds), "metric_name", "metric_value")
+    return rows.withColumn("metric_type", recode("metric_name", kinds))

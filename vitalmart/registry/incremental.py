@@ -170,13 +170,17 @@ def _(t):
                                ("gold", "clinical_gold", t.gold, at, "quality_score")])
 
 
-def _loaded(t, rows, spec):
-    """The daily table after two loads: rows up to a day and most later ones, then late rows of many days."""
+def _two_loads(t, rows, spec):
+    """Path of a daily table after two loads: rows up to a day and most later ones, then late rows of many days."""
     path = writers.scratch_path(t.spark, "i8")
     late = (C(spec.day[1]) >= F.lit(dt.date(1996, 7, 1))) & (F.pmod(F.xxhash64("glucose"), F.lit(4)) == 0)
     for load_id, part in (("first", F.coalesce(~late, F.lit(True))), ("late", late)):
         daily.load(rows.where(part), spec, path, load_id)
-    return daily.read_report(t.spark, spec, path)
+    return path
+
+
+def _loaded(t, rows, spec):
+    return daily.read_report(t.spark, spec, _two_loads(t, rows, spec))
 
 
 @query("i8_daily_outcome_stats", S.report({"date_key": "processing_date"}, {
@@ -312,6 +316,13 @@ def _(t):
     return I.upsert(old, new, ["metric_name"])
 
 
+@query("i10_metric_snapshot_from_parts", ORACLES["i10_metric_snapshot"])
+def _(t):
+    """The same metrics refreshed from what two loads kept, without their rows."""
+    spec = daily.snapshot_metrics(unit="year")
+    return daily.snapshot(daily.read_parts(t.spark, _two_loads(t, t.gold, spec)), spec)
+
+
 @query("i11_wearable_cleaning_job", CLEAN_WEARABLE + "SELECT person_id, gender, medical_conditions, " + S.r("heart_rate", 6) + " AS heart_rate, "
        + S.r("health_score", 6) + " AS health_score, health_risk_category, stress_level, mood, bmi_calculated, sleep_efficiency,"
        " CAST(timestamp_parsed AS DATE) AS day FROM people")
