@@ -13,7 +13,7 @@ from .common import split_at_spaces, stored, words_of
 
 SKETCH_BITS = 16  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
 HOT = 1000
-SLICES = 4
+SLICES = 2  # parts of a join, one after the other
 _LOW = 64 - SKETCH_BITS
 _WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -80,10 +80,10 @@ def _close(x, y, num: int, den: int) -> Column:
         F.least(x("n") - x("at"), y("n") - y("at")) >= least) & (F.bit_count(x("sig").bitwiseXOR(y("sig"))) <= both - 2 * least)
 
 
-def _slices(rows: DataFrame) -> list[DataFrame]:
-    """The prefix rows by token, in parts that are joined one after the other: a join then keeps
-    only a part of the rows in shuffle files."""
-    return [rows.where(F.pmod(F.xxhash64("key"), F.lit(SLICES)) == k) for k in range(SLICES)]
+def _slices(rows: DataFrame, by: str = "key") -> list[DataFrame]:
+    """Rows in parts by a column, joined one after the other: a join then keeps only a part of
+    the rows in shuffle files."""
+    return [rows.where(F.pmod(F.xxhash64(by), F.lit(SLICES)) == k) for k in range(SLICES)]
 
 
 def _united(parts: list[DataFrame]) -> DataFrame:
@@ -158,14 +158,18 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
         return once.join(numbers, ["kd", "th"]).select(F.explode(found).alias("l")).select("l.id", "l.words")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        """Ids of late lines of pairs that really are alike, verified on words."""
+        """Ids of late lines of pairs that really are alike, verified on words, slice by slice: pairs carry
+        the words of both lines when they are held against each other."""
         ends = pairs.select(F.explode(F.array("early", "late")).alias("id")).distinct()
         asked = firsts.join(ends, "id").groupBy("kd", "th").agg(F.collect_list(F.struct("ln", "id")).alias("asked"))
         words = stored(lines_at(asked, "asked", tokens_of), "words")
-        for end in ("early", "late"):
-            pairs = pairs.join(words.select(F.col("id").alias(end), F.col("words").alias(f"{end}_words")), end)
-        shared = F.size(F.array_intersect("early_words", "late_words"))
-        return pairs.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num).select(F.col("late").alias("id")).distinct()
+        shared, found = F.size(F.array_intersect("early_words", "late_words")), []
+        for part in _slices(pairs, "late"):
+            for end in ("early", "late"):
+                part = part.join(words.select(F.col("id").alias(end), F.col("words").alias(f"{end}_words")), end)
+            same = part.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num)
+            found.append(stored(same.select(F.col("late").alias("id")).distinct(), "alike"))
+        return _united(found)
 
     rows = stored(prefix_rows(lines_at(own, "own", _hashes).withColumnRenamed("words", "hashes"), ranks, num, den), "prefixes")
     settled = stored(alike(stored(earliest_candidates(rows, num, den), "earliest")), "settled")
