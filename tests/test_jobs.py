@@ -106,6 +106,21 @@ def test_a_cut_period_without_young_rows_is_dropped(spark, tmp_path):
         retention.create_by_period(spark.range(1), table, "id", "decade", f"{tmp_path}/u")
 
 
+def test_a_period_is_rewritten_in_a_session_with_static_overwrite(spark, tmp_path):
+    table, mode = scratch_name("kept"), "spark.sql.sources.partitionOverwriteMode"
+    retention.create_by_period(spark.createDataFrame([(i, dt.date(2024, 1 + i // 20, 1 + i % 20)) for i in range(40)], "id int, d date"),
+                               table, "d", "month", f"{tmp_path}/t")
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        assert retention.expire(spark, table, "d", dt.date(2024, 1, 11), 0, "month", f"{tmp_path}/a") == {"dropped": 0, "rewritten": 1}
+    finally:
+        spark.conf.set(mode, before)
+    assert sorted(r["id"] for r in spark.table(table).collect()) == list(range(10, 40))
+    assert sorted(r["id"] for r in retention.archived(spark, f"{tmp_path}/a", ["id"]).collect()) == list(range(10))
+    spark.sql(f"DROP TABLE {table}")
+
+
 # ---- jobs ------------------------------------------------------------------
 def test_finished_stages_are_not_computed_again(spark, tmp_path):
     calls, broken, ticks = [], [True], iter(range(100))
