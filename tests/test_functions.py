@@ -1,4 +1,5 @@
 import math
+from datetime import datetime
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -7,9 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import Ladder, band, order_rank, recode, recode_text
-from vitalmart.functions.numeric import clamp, clamp_ignoring_null, ratio, rnd, rnd_pos, sort_bucket
+from vitalmart.functions.numeric import clamp, clamp_ignoring_null, plain_text, ratio, rnd, rnd_pos, sort_bucket
 from vitalmart.functions.scores import (additive_quality, all_hold, completeness, flag_struct, joined_tags, logistic_score,
                                         penalty_quality, tag_text, tags)
+from vitalmart.plans.jobs import processing_report
 from vitalmart.rules import clinical as R
 
 C = F.col
@@ -109,3 +111,15 @@ def test_logistic_score_uses_defaults(spark):
 def test_published_ladders_are_complete():
     ladders = [v for v in vars(R).values() if isinstance(v, Ladder)]
     assert len(ladders) >= 25
+
+
+def test_large_numbers_have_plain_text(spark):
+    xs = [36000000.0, 9999999.0, 12345678.9, -2.5e8, 4e15, 0.25, 0.0, None, float("inf"), 1e30]
+    assert values(spark, xs, plain_text("x")) == ["36000000.0", "9999999.0", "12345678.9", "-250000000.0", "4000000000000000.0", "0.25", "0.0", None, "Infinity", "1.0E30"]
+
+
+def test_report_lines_of_large_tables(spark):
+    counts = spark.createDataFrame([("gold", 36000000)], "layer string, record_count bigint")
+    checks = spark.createDataFrame([("records", 36000000.0, True, "fail")], "check_name string, value double, passed boolean, severity string")
+    lines = [r["line"] for r in processing_report(counts, checks, datetime(2024, 1, 15, 12)).collect()]
+    assert lines[1:] == ["gold: 36000000 records", "records: 36000000.0 (ok)"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalmart.functions.bands import band, first_match, recode_text
-from vitalmart.functions.numeric import ratio, rnd
+from vitalmart.functions.numeric import plain_text, ratio, rnd
 from vitalmart.operators import quality as Q
 from vitalmart.operators.clean import rename, zero_to_null
 from vitalmart.operators.statistics import cap_outliers, impute, min_max, outliers_to_null
@@ -113,6 +113,6 @@ def processing_report(counts: DataFrame, checks: DataFrame, at: datetime) -> Dat
     layers = counts.select(F.lit(1).alias("section"),
                            F.format_string("%s: %d records", C("layer"), C("record_count")).alias("line"))
     results = checks.select(F.lit(2).alias("section"), F.format_string(
-        "%s: %s (%s)", C("check_name"), C("value").cast("string"), F.when(C("passed"), F.lit("ok")).otherwise(C("severity")))
+        "%s: %s (%s)", C("check_name"), plain_text("value"), F.when(C("passed"), F.lit("ok")).otherwise(C("severity")))
         .alias("line"))
     return head.unionByName(layers).unionByName(results).orderBy("section", "line")
