@@ -147,6 +147,18 @@ def test_report_shares_and_rates(spark):
     assert {r["k"]: (r["n"], r["p"], r["share"]) for r in out.collect()} == {"a": (2, 50.0, 50.0), "b": (2, 50.0, 50.0)}
 
 
+def test_moments_run_as_compiled_code(spark):
+    """Columns share the code that updates their sums; that of six columns at once was too long to be compiled."""
+    names = [f"c{i}" for i in range(6)]
+    df = spark.range(200).select(*[(C("id") % (i + 3)).cast("double").alias(c) for i, c in enumerate(names)])
+    out = A.moments(df, names)
+    assert {r["column_name"]: (r["min"], r["max"]) for r in out.collect()} == {c: (0.0, i + 2.0) for i, c in enumerate(names)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("kurtosis(") <= 4  # as for one column; rounding names it several times
+    nothing = A.moments(df.where("false"), names[:2]).collect()
+    assert sorted(r["column_name"] for r in nothing) == names[:2] and all(r["mean"] is None and r["kurtosis"] is None for r in nothing)
+
+
 def test_metric_and_struct_rows_on_empty_input(spark):
     empty = spark.createDataFrame([], "x double")
     assert {r["metric_name"]: r["metric_value"] for r in A.metric_rows(empty, {"n": A.n(), "m": A.mean("x", 1)}).collect()} == {"n": 0.0, "m": None}

@@ -110,17 +110,18 @@ def moments(df: DataFrame, columns: list[str], bias_corrected: bool = True, digi
 
     bias_corrected gives the sample versions that data-frame libraries print.
     """
-    rows = {}
-    for c in columns:
-        k = F.count(F.col(c)).cast("double")
-        skew, kurt = F.skewness(c), F.kurtosis(c)
-        if bias_corrected:
-            skew = ratio(skew * F.sqrt(k * (k - 1.0)), k - 2.0)
-            kurt = ratio((k - 1.0) * ((k + 1.0) * kurt + 6.0), (k - 2.0) * (k - 3.0))
-        rows[c] = {"mean": rnd(F.avg(c), digits), "std": rnd(F.stddev_samp(c), digits),
-                   "min": F.min(c).cast("double"), "max": F.max(c).cast("double"),
-                   "skewness": rnd(skew, digits), "kurtosis": rnd(kurt, digits)}
-    return struct_rows(df, rows, "column_name")
+    x = F.col("x")
+    k = F.count(x).cast("double")
+    skew, kurt = F.skewness(x), F.kurtosis(x)
+    if bias_corrected:
+        skew = ratio(skew * F.sqrt(k * (k - 1.0)), k - 2.0)
+        kurt = ratio((k - 1.0) * ((k + 1.0) * kurt + 6.0), (k - 2.0) * (k - 3.0))
+    # grouped by name, the update code of one column serves all; that of all columns at once is too long to be compiled
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "x")
+    found = long.groupBy("column_name").agg(rnd(F.avg(x), digits).alias("mean"), rnd(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"),
+                                            F.max(x).alias("max"), rnd(skew, digits).alias("skewness"), rnd(kurt, digits).alias("kurtosis"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(F.broadcast(found), "column_name", "left")  # an empty table has its rows, too
 
 
 def missing(x: str, dtype: str) -> Column:
