@@ -65,6 +65,17 @@ def test_levels_of_many_keys_and_copies(spark):
             assert [r[q] for q in probs] == pytest.approx([np.quantile(xs, p) for p in probs.values()], rel=1e-12, abs=1e-300)
 
 
+def test_buckets_of_one_value_end_the_levels(spark):
+    """Whole numbers held by more rows than a task shall rank: the first level has the answer, no row is read again."""
+    values = [*range(5), -0.0, 7.5, math.inf, math.nan]
+    df = spark.range(9000, numPartitions=4).select(F.element_at(F.array(*[F.lit(float(v)) for v in values]), (C("id") % 9 + 1).cast("int")).alias("x"))
+    probs = {"low": 0.01, "q1": 0.25, "m": 0.5, "high": 0.8, "top": 1.0}
+    rows = df.select(C("x").alias("_v"), sort_key("x").alias("_k"))
+    assert [(shift, few) for shift, _, few in wanted_buckets(rows, [], probs, 100)] == [(40, None)]
+    got = exact_percentiles(df, [], "x", probs, most=100).first()
+    assert [str(got[q]) for q in probs] == ["-0.0", "1.0", "3.0", "inf", "nan"]
+
+
 # ---- interval join ---------------------------------------------------------
 def plain_bands(xs, bands):
     return sorted((str(x), b) for x in xs for lo, hi, b in bands if x is not None and lo is not None and hi is not None and lo <= x < hi)

@@ -5,7 +5,8 @@ selected by rank in several levels: the first pass counts buckets of leading bit
 order-preserving key, which partial sums shrink to a few thousand rows per task before
 the shuffle. Only buckets that hold a wanted rank are looked into; while one has more rows
 than a task shall rank, its rows alone are counted again by the next bits, with the rank at
-which the bucket starts carried along. All bits of the key are one value, so the levels end.
+which the bucket starts carried along. All bits of the key are one value, so the levels end;
+a bucket whose least and largest values are equal is one value already and ends at once.
 A group holding a third of all rows is spread like any other.
 """
 
@@ -21,6 +22,7 @@ from vitalmart.sources.writers import held
 
 RANKED = 100_000  # rows of a bucket one task ranks by value
 _SHIFTS = (40, 27, 14, 0)  # bits of the key a level leaves out
+_BUCKET = ("_n", "_v", "_top", "_k")
 _BROADCAST = 20_000  # wanted buckets sent to all tasks; more meet the rows in a shuffled join
 
 
@@ -42,20 +44,30 @@ def _inside(rows: DataFrame, wanted: DataFrame, keys: list[str], shift: int, few
     return found.select(*keys, "_v", "_k", "_b", "_before", "_total")
 
 
-def wanted_buckets(rows: DataFrame, keys: list[str], probs: dict[str, float], most: int = RANKED) -> list[tuple[int, DataFrame, bool]]:
+def _counted(rows: DataFrame, *by: Column | str) -> DataFrame:
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v"), F.max("_v").alias("_top"), F.min("_k").alias("_k"))
+
+
+def wanted_buckets(rows: DataFrame, keys: list[str], probs: dict[str, float], most: int = RANKED) -> list[tuple[int, DataFrame, bool | None]]:
     """Buckets that hold a wanted rank, narrowed until each has at most ``most`` rows or is one value.
 
     Rows need ``_v`` and its ``_k``. Each entry is the shift that makes its ``_b`` of a key, the buckets
-    (keys, _b, _n, _before, _total), and whether they are few enough to broadcast.
+    (keys, _b, _n, _before, _total), and whether they are few enough to broadcast; or None where each bucket is
+    one value (then also _v, _k), so that its rows need not be read again.
     """
     holds = F.exists(F.array(*_edges(probs)), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))
-    counts = rows.groupBy(*keys, F.shiftright("_k", _SHIFTS[0]).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    buckets = counts.select(*keys, "_b", "_n", (F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_n")).alias("_before"),
+    counts = _counted(rows, *keys, F.shiftright("_k", _SHIFTS[0]).alias("_b"))
+    buckets = counts.select(*keys, "_b", *_BUCKET, (F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_n")).alias("_before"),
                             F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"))
     found = []
     for shift, finer in zip(_SHIFTS, (*_SHIFTS[1:], None)):
-        wanted = held(buckets.where(holds), "percentile-buckets", _BROADCAST)
+        every = held(buckets.where(holds), "percentile-buckets", _BROADCAST)
+        one = F.col("_v") == F.col("_top")
+        found.append((shift, every.where(one).select(*keys, "_b", "_v", "_k", "_n", "_before", "_total"), None))
+        wanted = every.where(~one).select(*keys, "_b", "_n", "_before", "_total")
         size = wanted.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_n") > most).alias("wide")).first()
+        if not size["n"]:
+            break
         few = size["n"] <= _BROADCAST
         if finer is None or not size["wide"]:
             found.append((shift, wanted, few))
@@ -63,10 +75,10 @@ def wanted_buckets(rows: DataFrame, keys: list[str], probs: dict[str, float], mo
         if size["wide"] < size["n"]:
             found.append((shift, wanted.where(F.col("_n") <= most), few))
         inside = _inside(rows, wanted.where(F.col("_n") > most), keys, shift, few)
-        counts = inside.groupBy(*keys, F.col("_b").alias("_in"), "_before", "_total", F.shiftright("_k", finer).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        counts = _counted(inside, *keys, F.col("_b").alias("_in"), "_before", "_total", F.shiftright("_k", finer).alias("_b"))
         start = F.sum("_n").over(Window.partitionBy(*keys, "_in").orderBy("_b")) - F.col("_n")
-        buckets = counts.select(*keys, "_b", "_n", (F.col("_before") + start).alias("_before"), "_total")
-    return found
+        buckets = counts.select(*keys, "_b", *_BUCKET, (F.col("_before") + start).alias("_before"), "_total")
+    return [entry for entry in found if entry[2] is not None or entry[1].head(1)] or found
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
@@ -89,6 +101,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     order = Window.partitionBy(*keys, "_b").orderBy("_v", "_k")
     parts = []
     for shift, wanted, few in wanted_buckets(rows, keys, probs, most):
+        if few is None:  # the sum makes one value of both zeros, as grouping does
+            parts.append(wanted.select(*keys, "_b", (F.col("_v") + F.lit(0.0)).alias("_v"), "_k", "_before", "_total", "_n",
+                                       (F.col("_before") + F.col("_n")).alias("_end"), F.col("_before").alias("_start")))
+            continue
         inside = _inside(rows, wanted, keys, shift, few or few_keys or not keys)
         counted = inside.groupBy(*keys, "_b", "_v", "_k", "_before", "_total").agg(F.count(F.lit(1)).alias("_n"))
         parts.append(counted.withColumn("_end", F.col("_before") + F.sum("_n").over(order)).withColumn("_start", F.col("_end") - F.col("_n")))
