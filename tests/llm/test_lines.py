@@ -87,3 +87,14 @@ def test_lines_of_one_template_give_pairs_in_proportion(spark):
         assert lines.candidates(rows, rest, 4, 5).count() == 0
         out = lines.dedup(table.select(F.col("id").alias("doc_id"), F.col("line").alias("text")))
         assert {r["row"].doc_id for r in out.where("n_removed = 0").collect()} == {0}
+
+
+def test_words_travel_as_one_string(spark, monkeypatch):
+    """Arrays of strings filled the disk when pairs carried both lines' words into verification."""
+    seen, stored = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, name: seen.append((name, dict(df.dtypes))) or stored(df, name))
+    docs = spark.createDataFrame([(1, "a B\tc d e\nf"), (2, "E d c  b a x"), (3, "a b c d x\ny")], "doc_id bigint, text string")
+    out = {r["row"].doc_id: r.text for r in lines.dedup(docs).collect()}
+    assert out == {1: "a B\tc d e\nf", 2: "", 3: "y"}
+    words = [types for name, types in seen if name == "words"]
+    assert words and all(types == {"id": "bigint", "n": "int", "words": "string"} for types in words)

@@ -159,15 +159,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Ids of late lines of pairs that really are alike, verified on words, slice by slice: pairs carry
-        the words of both lines when they are held against each other."""
+        the words of both lines when they are held against each other. They travel as one string, which takes
+        a fraction of an array of strings in shuffle files, and are cut where they meet."""
         ends = pairs.select(F.explode(F.array("early", "late")).alias("id")).distinct()
         asked = firsts.join(ends, "id").groupBy("kd", "th").agg(F.collect_list(F.struct("ln", "id")).alias("asked"))
-        words = stored(lines_at(asked, "asked", tokens_of), "words")
-        shared, found = F.size(F.array_intersect("early_words", "late_words")), []
+        words = lines_at(asked, "asked", tokens_of).select("id", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
+        words = stored(words, "words")
+        shared, found = F.size(F.array_intersect(F.split("early_words", " "), F.split("late_words", " "))), []
         for part in _slices(pairs, "late"):
             for end in ("early", "late"):
-                part = part.join(words.select(F.col("id").alias(end), F.col("words").alias(f"{end}_words")), end)
-            same = part.where(shared * (num + den) >= (F.size("early_words") + F.size("late_words")) * num)
+                part = part.join(words.select(F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("words").alias(f"{end}_words")), end)
+            same = part.where(shared * (num + den) >= (F.col("early_n") + F.col("late_n")) * num)
             found.append(stored(same.select(F.col("late").alias("id")).distinct(), "alike"))
         return _united(found)
 
