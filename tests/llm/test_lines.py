@@ -98,3 +98,49 @@ def test_words_travel_as_one_string(spark, monkeypatch):
     assert out == {1: "a B\tc d e\nf", 2: "", 3: "y"}
     words = [types for name, types in seen if name == "words"]
     assert words and all(types == {"id": "bigint", "n": "int", "words": "string"} for types in words)
+
+
+def test_signatures_are_made_once_per_line(spark, capsys):
+    """Made behind the explode, they were made again for each token of a prefix."""
+    from pyspark.sql import functions as F
+    hashed = spark.createDataFrame([(1, list(range(40)))], "id bigint, hashes array<bigint>")
+    rows = lines.prefix_rows(hashed, lines.rarity(hashed.select(F.explode("hashes").alias("h"))), 4, 5)
+    assert rows.count() == 9
+    rows.explain()
+    plan = capsys.readouterr().out.splitlines()
+    assert next(i for i, x in enumerate(plan) if "Generate posexplode" in x) < min(i for i, x in enumerate(plan) if "aggregate(" in x)
+
+
+def test_two_signatures_leave_few_pairs_that_are_not_alike(spark):
+    """Lines of 60 tokens with one rare token and half of the others in common: one signature passes pairs in a share that grows with their square."""
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    sets = [(i, [1] + rng.sample(range(2, 92), 59)) for i in range(1200)]
+    table = spark.createDataFrame(sets, "id bigint, tokens array<bigint>").select("id", F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
+    apart = lambda a, b: len(set(a) ^ set(b))
+    assert min(apart(sets[i][1], sets[j][1]) for i, j in [(0, 1), (5, 900), (70, 71)]) > 13
+    ranks = spark.createDataFrame([([0] * (1 << lines.SKETCH_BITS),)], "ranks array<bigint>")
+    signed = lines.prefixes(table, ranks, 4, 5).cache()
+    x, y = signed.alias("x"), signed.alias("y")
+    near = lambda s: F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) <= 12
+    pairs = x.join(y, F.expr("x.id < y.id"))
+    one, both = pairs.where(near("sig")).count(), pairs.where(near("sig") & near("sig2")).count()
+    assert one > 100 and both * 20 < one
+
+
+def test_scratch_tables_go_when_nothing_reads_them(spark, monkeypatch):
+    """All stayed on disk until the session's end, under every later stage of the pipeline."""
+    import os
+    seen, stored = [], lines.stored
+
+    def noted(df, name):
+        seen.append((name, stored(df, name)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(lines, "stored", noted)
+    docs = spark.createDataFrame([(1, "a b c d e f\ng"), (2, "a b c d e x\ng"), (3, "f e d c b a")], "doc_id bigint, text string")
+    out = lines.dedup(docs)
+    there = lambda t: os.path.exists(t.scratch.removeprefix("file:"))
+    left = {name for name, t in seen if there(t)}
+    assert not left & {"heads", "prefixes", "rarity", "words"} and {"lines", "settled", "others"} <= left
+    assert {r["row"].doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 1}

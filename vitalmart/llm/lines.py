@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from vitalmart.operators.windows import number_rows
 
-from .common import split_at_spaces, stored, words_of
+from .common import discard, split_at_spaces, stored, words_of
 
-SKETCH_BITS = 16  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
+SKETCH_BITS = 18  # rarity is counted in 2**SKETCH_BITS buckets of token hashes, whatever the vocabulary
 HOT = 1000
 SLICES = 2  # parts of a join, one after the other
 _LOW = 64 - SKETCH_BITS
@@ -55,29 +55,44 @@ def _keys(hashes: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(hashes, key))
 
 
-def _signature(keys: Column) -> Column:
-    """64 parities of the tokens' low bits: two signatures differ in no more bits than their sets in tokens."""
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
+def _signature(keys: Column, shift: int) -> Column:
+    """64 parities of six of the tokens' low bits: two signatures differ in no more bits than their sets in tokens."""
+    bit = lambda k: F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, shift).bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(bit(k)))
 
 
-def prefix_rows(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
-    """Each line (id, hashes) once per token of its prefix, the rarest ones: two lines at Jaccard num/den share one there.
+def prefixes(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
+    """Each line (id, hashes) with the tokens of its prefix, the rarest ones: two lines at Jaccard num/den share one there.
 
-    Rows carry what the filters of the join need: number of tokens, place of the token, signature.
+    Beside them what the filters of the join need: number of tokens and two signatures. All is made
+    once per line, before its tokens become rows.
     """
-    sized = lines.withColumn("ranks", ranks.scalar()).select("id", _keys(F.col("hashes"), F.col("ranks")).alias("keys"))
     n = F.size("keys")
     prefix = n - F.ceil(n * num / den).cast("int") + 1
-    return sized.select("id", n.alias("n"), _signature(F.col("keys")).alias("sig"), F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("at", "key"))
+    made = _let(_keys(F.col("hashes"), F.col("ranks")), lambda k: F.struct(
+        k.alias("keys"), _signature(k, 0).alias("sig"), _signature(k, 6).alias("sig2")))
+    sized = lines.withColumn("ranks", ranks.scalar()).select("id", made.alias("made")).select("id", "made.*")
+    return sized.select("id", n.alias("n"), "sig", "sig2", F.slice("keys", F.lit(1), prefix).alias("prefix"))
+
+
+def _rows(lines: DataFrame) -> DataFrame:
+    """A row per token of each prefix, with its place there."""
+    return lines.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("at", "key"))
+
+
+def prefix_rows(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
+    return _rows(prefixes(lines, ranks, num, den))
 
 
 def _close(x, y, num: int, den: int) -> Column:
-    """Length, position (tokens left after the shared one) and signature filters."""
+    """Length, position (tokens left after the shared one) and signature filters. By one signature lines of many common
+    words pass in a share that grows with the square of their number; by both hardly any does that is not alike."""
     both = x("n") + y("n")
     least = F.ceil(both * num / (num + den))
-    return (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & (
-        F.least(x("n") - x("at"), y("n") - y("at")) >= least) & (F.bit_count(x("sig").bitwiseXOR(y("sig"))) <= both - 2 * least)
+    near = lambda sig: F.bit_count(x(sig).bitwiseXOR(y(sig))) <= both - 2 * least
+    return (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & near("sig") & near("sig2") & (
+        F.least(x("n") - x("at"), y("n") - y("at")) >= least)
 
 
 def _slices(rows: DataFrame, by: str = "key") -> list[DataFrame]:
@@ -100,12 +115,14 @@ def earliest_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     total, found = rows.count(), []
     x, y = (lambda c: F.col(f"head.{c}")), F.col
     for part in _slices(rows):
-        heads = part.groupBy("key").agg(F.min(F.struct("id", "n", "sig", "at")).alias("head"), F.count("*").alias("lines")).where("lines > 1")
-        heads = stored(heads, "heads")
+        first = [F.min("id").alias("id"), *(F.min_by(c, "id").alias(c) for c in ("n", "sig", "sig2", "at"))]  # not of a struct: that sorts all rows
+        heads = part.groupBy("key").agg(*first, F.count("*").alias("lines")).where("lines > 1")
+        heads = stored(heads.select("key", F.struct("id", "n", "sig", "sig2", "at").alias("head"), "lines"), "heads")
         hot = F.broadcast(heads.where(F.col("lines") * HOT > F.lit(total)))
         cool = part.join(hot.select("key"), "key", "left_anti").join(heads, "key")
         near = part.join(hot, "key").unionByName(cool).where((x("id") < y("id")) & _close(x, y, num, den))
         found.append(stored(near.select(x("id").alias("early"), y("id").alias("late")), "earliest"))
+        discard(heads)
     return _united(found)
 
 
@@ -144,7 +161,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
     # the number of a line in that order is its id: ids compare as lines do
     firsts = stored(number_rows(firsts, [], order, "id").select("kd", "th", "ln", "id"), "lines")
     own = firsts.groupBy("kd", "th").agg(F.collect_list(F.struct("ln", "id")).alias("own"))
-    ranks = stored(rarity(cut.select(F.explode(_hashes(F.col("line"))).alias("h"))), "rarity")
+    # for rarity a word counts as often as it occurs: any order of the tokens gives the same result
+    lowered = cut.select(F.lower("line").alias("line")).select(F.explode(split_at_spaces(F.col("line"))).alias("word"))
+    ranks = stored(rarity(lowered.select(F.xxhash64("word").alias("h"))), "rarity")
 
     # A document listed several times is read once. The order names all columns, so that this and
     # the last join ask for the same columns and can share one shuffle of the texts.
@@ -171,13 +190,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num:
                 part = part.join(words.select(F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("words").alias(f"{end}_words")), end)
             same = part.where(shared * (num + den) >= (F.col("early_n") + F.col("late_n")) * num)
             found.append(stored(same.select(F.col("late").alias("id")).distinct(), "alike"))
+        discard(words)
         return _united(found)
 
-    rows = stored(prefix_rows(lines_at(own, "own", _hashes).withColumnRenamed("words", "hashes"), ranks, num, den), "prefixes")
-    settled = stored(alike(stored(earliest_candidates(rows, num, den), "earliest")), "settled")
-    late = rows.join(settled, "id", "left_anti")
-    pairs = stored(candidates(rows, late, num, den), "pairs")
+    sets = stored(prefixes(lines_at(own, "own", _hashes).withColumnRenamed("words", "hashes"), ranks, num, den), "prefixes")
+    early = stored(earliest_candidates(_rows(sets), num, den), "earliest")
+    settled = stored(alike(early), "settled")
+    late = sets.join(settled, "id", "left_anti")
+    pairs = stored(candidates(_rows(sets), _rows(late), num, den), "pairs")
+    discard(sets, ranks, early)
     others = stored(alike(pairs), "others")
+    discard(pairs)
     gone = firsts.join(settled.union(others), "id").groupBy("kd", "th").agg(F.collect_list("ln").alias("gone"))
 
     def outcome(cuts: Column) -> Column:
