@@ -55,23 +55,23 @@ def _keys(hashes: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(hashes, key))
 
 
-def _signature(keys: Column, shift: int) -> Column:
-    """64 parities of six of the tokens' low bits: two signatures differ in no more bits than their sets in tokens."""
-    bit = lambda k: F.call_function(
-        "shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, shift).bitwiseAND(F.lit(63)).cast("int"))
+def _signature(keys: Column, half: int) -> Column:
+    """One half of 128 parities of the tokens' low bits: two signatures differ in no more bits than their sets in tokens."""
+    mine = lambda k: F.shiftright(k if half else F.bitwise_not(k), 6).bitwiseAND(F.lit(1).cast("bigint"))
+    bit = lambda k: F.call_function("shiftleft", mine(k), k.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(bit(k)))
 
 
 def prefixes(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
     """Each line (id, hashes) with the tokens of its prefix, the rarest ones: two lines at Jaccard num/den share one there.
 
-    Beside them what the filters of the join need: number of tokens and two signatures. All is made
+    Beside them what the filters of the join need: number of tokens and the halves of a signature. All is made
     once per line, before its tokens become rows.
     """
     n = F.size("keys")
     prefix = n - F.ceil(n * num / den).cast("int") + 1
     made = _let(_keys(F.col("hashes"), F.col("ranks")), lambda k: F.struct(
-        k.alias("keys"), _signature(k, 0).alias("sig"), _signature(k, 6).alias("sig2")))
+        k.alias("keys"), _signature(k, 0).alias("sig"), _signature(k, 1).alias("sig2")))
     sized = lines.withColumn("ranks", ranks.scalar()).select("id", made.alias("made")).select("id", "made.*")
     return sized.select("id", n.alias("n"), "sig", "sig2", F.slice("keys", F.lit(1), prefix).alias("prefix"))
 
@@ -86,13 +86,13 @@ def prefix_rows(lines: DataFrame, ranks: DataFrame, num: int, den: int) -> DataF
 
 
 def _close(x, y, num: int, den: int) -> Column:
-    """Length, position (tokens left after the shared one) and signature filters. By one signature lines of many common
-    words pass in a share that grows with the square of their number; by both hardly any does that is not alike."""
+    """Length, position (tokens left after the shared one) and signature filters. Both halves count together: 64
+    parities of two lines of 130 tokens and more differ in about 32 bits, which is never too many for such lines."""
     both = x("n") + y("n")
     least = F.ceil(both * num / (num + den))
-    near = lambda sig: F.bit_count(x(sig).bitwiseXOR(y(sig))) <= both - 2 * least
-    return (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & near("sig") & near("sig2") & (
-        F.least(x("n") - x("at"), y("n") - y("at")) >= least)
+    differ = F.bit_count(x("sig").bitwiseXOR(y("sig"))) + F.bit_count(x("sig2").bitwiseXOR(y("sig2")))
+    return (F.greatest(x("n"), y("n")) * num <= F.least(x("n"), y("n")) * den) & (
+        F.least(x("n") - x("at"), y("n") - y("at")) >= least) & (differ <= both - 2 * least)
 
 
 def _slices(rows: DataFrame, by: str = "key") -> list[DataFrame]:
