@@ -113,3 +113,20 @@ def test_pipeline_stage_drops_rows_by_their_own_verdict(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     left = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
     assert {(r.doc_id, r.text) for r in left.collect()} == {(None, "clean"), (3, "clean too"), (4, None)}
+
+
+def test_blocks_of_the_index_are_written_one_by_one(spark, monkeypatch):
+    """Parquet's writer held up to 100 blocks of megabytes in memory, and their readers got them at once."""
+    import glob
+
+    import pyarrow.parquet as pq
+    kept, stored = [], phrases.stored
+    monkeypatch.setattr(phrases, "stored", lambda df, name, **options: kept.append(stored(df, name, **options)) or kept[-1])
+    long = " ".join(f"w{i % 5000}" for i in range(500_000))
+    docs = spark.createDataFrame([(i, f"{i} {long}") for i in range(4)], "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame([(7, "w1 w2 w3")], "item_id bigint, text string")
+    out = phrases.contamination(docs, items, reach=0).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in out) == [(i, 500_001, 300, ["7"]) for i in range(4)]
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(kept[0].scratch.removeprefix("file:") + "/*.parquet")]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert len(groups) >= 3 and set(groups) == {1}

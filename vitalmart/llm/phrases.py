@@ -18,6 +18,8 @@ from .common import chunks, flat, record_batch, row_key, stored, text_rows, with
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # on lower-cased UTF-8: the complement of \x00-\x2F \x3A-\x60 \x7B-\x7F
 SEGMENT_BYTES = 4 << 20
 WINDOWS_PER_PASS = 200_000
+# Parquet's writer first looks at its buffer after 100 rows, and readers take a row group's rows at once: blocks are megabytes each.
+_ONE_BY_ONE = {"parquet.block.row.count.limit": 1}
 
 _SEGMENT = pa.schema([("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())),
                       ("terms", pa.list_(pa.binary())), ("ends", pa.list_(pa.int32())), ("positions", pa.list_(pa.int32()))])
@@ -196,7 +198,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     word-less texts have no words; repeated rows and repeated or NULL doc_ids stay rows of
     their own. NULL item_ids read as -1. No items: nothing is hit.
     """
-    index = stored(build_index(docs, id_col, text_col), "postings")
+    index = stored(build_index(docs, id_col, text_col), "postings", **_ONE_BY_ONE)
     found = search(index, windows_of(items, item_id_col, item_text_col, size), reach)
     spans = F.array_sort(F.collect_set(F.when(~F.col("near"), F.struct("first", "last"))))
     covered = F.aggregate("spans", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("end")), lambda acc, s: F.struct(
